@@ -110,15 +110,20 @@ def _landed_pages(spark, sf_dir):
 
     Every ninth list lacks its last page (when it has more than one).
     """
-    lines = F.split("text", "\n")
     count = F.ceil(F.size("lines") / F.lit(10)).cast("int")
-    lists = table(spark, sf_dir, "documents").select("doc_id", lines.alias("lines")).withColumn("pages", count)
-    page = F.explode(F.concat(F.array(F.lit(0)), F.sequence(F.lit(0), F.col("pages") - 1))).alias("page")
-    landed = lists.select("doc_id", "lines", "pages", page).where(
-        (F.pmod("doc_id", F.lit(9)) != 0) | (F.col("pages") == 1) | (F.col("page") < F.col("pages") - 1)
+    lists = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
+    numbers = F.concat(F.array(F.lit(0)), F.sequence(F.lit(0), F.col("pages") - 1))
+
+    def page(no):
+        return F.struct(no.alias("page"), F.slice("lines", no * 10 + 1, F.lit(10)).alias("items"))
+
+    pages = lists.withColumn("pages", count).select(
+        "doc_id", "pages", F.size("lines").alias("total"), F.explode(F.transform(numbers, page)).alias("at")
+    )
+    landed = pages.where(
+        (F.pmod("doc_id", F.lit(9)) != 0) | (F.col("pages") == 1) | (F.col("at.page") < F.col("pages") - 1)
     )
-    items = F.slice("lines", F.col("page") * 10 + 1, F.lit(10))
-    return landed.select("doc_id", "page", "pages", items.alias("items"), F.size("lines").alias("total"))
+    return landed.select("doc_id", "at.page", "pages", "at.items", "total")
 
 
 _SQL_LINES = """

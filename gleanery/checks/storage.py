@@ -8,7 +8,7 @@ from ..operators import export_csv, keyed_replace, snapshot_replace
 from ..operators.export import CSV_OPTIONS, drop_audit
 from ..plans import news, rates
 from ..session import scratch_path
-from ..sources import TableStore, read_atom, read_rates, read_staged, write_documents, write_intervals
+from ..sources import TableStore, read_atom, read_rates, write_documents, write_intervals, write_staged
 from ..streaming import atom_stream, ingest
 from .base import Registry, table
 from .flows import NEWS_COLUMNS, SQL_NEWS, page_entries, page_manifest
@@ -149,5 +149,5 @@ def stored_history(spark, sf_dir):
 @checks.add("SELECT doc_id, text, lang FROM documents")
 def staged_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "staged")
-    table(spark, sf_dir, "documents").select("doc_id", "text", "lang").write.json(path)
+    write_staged(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), path)
     return spark.read.schema("doc_id BIGINT, text STRING, lang STRING").json(path)

@@ -295,7 +295,7 @@ def type_classify(spark, sf_dir):
 """)
 def code_prefix_set(spark, sf_dir):
     words = F.split("text", " ")
-    codes = F.array_join(F.array_sort(code_prefixes(words)), " ")
+    codes = F.array_join(F.sort_array(code_prefixes(words)), " ")
     return table(spark, sf_dir, "documents").select("doc_id", codes.alias("codes"))
 
 

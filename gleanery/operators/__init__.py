@@ -10,6 +10,7 @@ from .maintain import (
     insert_ignore,
     keyed_replace,
     new_rows,
+    not_yet_stored,
     snapshot_replace,
     split_parent_child,
     surrogate_key,
@@ -45,6 +46,7 @@ __all__ = [
     "lookup",
     "nearest_name",
     "new_rows",
+    "not_yet_stored",
     "normalise_names",
     "open_items",
     "org_list",

@@ -17,7 +17,9 @@ def agg_text(df: DataFrame, by: list[str], col: str, out: str, sep: str = "; ")
     """
     counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
     again = F.repeat(F.concat(F.lit(sep), F.col(col)), (F.col("_n") - 1).cast("int"))
-    runs = counts.withColumn("_run", F.concat(F.col(col), again))
+    # Distinct texts cannot be combined any further, so they are moved by key as they are
+    # instead of being put into partial lists first.
+    runs = counts.withColumn("_run", F.concat(F.col(col), again)).repartition(*by)
     quoted = sep.replace("'", "''")
     joined = F.expr(f"listagg(_run, '{quoted}') within group (order by `{col}`)")
     return runs.groupBy(*by).agg(joined.alias(out))

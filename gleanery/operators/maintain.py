@@ -65,6 +65,12 @@ def surrogate_key(*parts: str | Column) -> Column:
     return F.xxhash64(*parts)
 
 
+def not_yet_stored(table: DataFrame, children: DataFrame, parent_id: str) -> DataFrame:
+    """Child rows of parents without stored children, so a load that is run again adds none twice."""
+    stored = table.select(parent_id).join(children.select(parent_id).distinct(), parent_id, "left_semi")
+    return children.join(stored, parent_id, "left_anti")
+
+
 def split_parent_child(
     df: DataFrame, id_parts: list[str], children: dict[str, list[str]], parent_id: str
 ) -> tuple[DataFrame, dict[str, DataFrame]]:

@@ -57,6 +57,7 @@ def nearest_name(
     scored = (
         split.withColumn("block", F.explode(visits.cast("array<bigint>")))
         .join(packed, "block", "left")
+        .where(settled | F.col("entries").isNotNull())
         .select(
             "name",
             F.when(settled, equal_best)
@@ -66,7 +67,7 @@ def nearest_name(
     )
     if blocks > 1:
         scored = scored.groupBy("name").agg(F.max("best").alias("best"))
-    result = scored.where("best IS NOT NULL").select(
+    result = scored.select(
         "name",
         F.col("best.id").alias("match_id"),
         F.col("best.title").alias("match_title"),

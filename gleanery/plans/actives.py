@@ -18,17 +18,17 @@ from ..functions import (
 from ..functions.text import STORAGE_BASE
 from ..operators import (
     agg_codes,
-    counted,
     drop_audit,
     keyed_replace,
     latest_per_key,
     live,
     lookup,
+    not_yet_stored,
     split_parent_child,
     total_items,
     unnest_map,
 )
-from ..sources import TableStore
+from ..sources import TableStore, stage
 
 TABLE, BRIDGE = "rosrid_active", "rosrid_active_oecd"
 
@@ -104,16 +104,22 @@ def load_actives(
     """Stamp the stored rows of the batch's objects, add the batch; returns the batch's size.
 
     An empty batch changes nothing. With ``only_live`` the archive is neither read nor written.
+    A load that is run again with the same ``now`` leaves the same tables.
     """
-    batch, seen = counted(rows.withColumn("created_at", naive_timestamp(F.lit(now))))
+    at = naive_timestamp(F.lit(now))
+    batch, size = stage(rows.withColumn("created_at", at), "actives")
+    if size == 0:
+        return 0
     parents, bridge, _ = split_actives(batch, codes)
-    store.append(BRIDGE, bridge)
+    store.append(BRIDGE, not_yet_stored(store.read(BRIDGE), bridge, "active_id"))
+    stored = store.read_live(TABLE) if only_live else store.read(TABLE)
+    before = stored.where(~F.col("created_at").eqNullSafe(at))
+    state = keyed_replace(before, parents, "object_id", now, only_live)
     if only_live:
-        state = keyed_replace(store.read_live(TABLE), parents, "object_id", now, only_live=True)
         store.replace_live(TABLE, state)
     else:
-        store.replace(TABLE, keyed_replace(store.read(TABLE), parents, "object_id", now))
-    return seen.get["rows"]
+        store.replace(TABLE, state)
+    return size
 
 
 def actives_report(

@@ -19,7 +19,7 @@ from ..functions import (
     url_domain,
 )
 from ..operators import counted, new_rows, surrogate_key, with_fetch
-from ..sources import TableStore
+from ..sources import TableStore, stage
 
 TABLE = "google_alerts_newsfeed"
 
@@ -63,7 +63,8 @@ def first_entry() -> list[Column]:
 
 def load_news(store: TableStore, rows: DataFrame) -> int:
     """Add the rows with a new hash; returns how many."""
-    fresh, seen = counted(new_rows(store.read(TABLE), rows, "hash", *first_entry()))
+    batch, _ = stage(rows, "news")
+    fresh, seen = counted(new_rows(store.read(TABLE), batch, "hash", *first_entry()))
     store.append(TABLE, fresh)
     return seen.get["rows"]
 

@@ -18,12 +18,12 @@ from ..functions import (
 from ..operators import (
     agg_text,
     climb_to_top,
-    counted,
     drop_audit,
     latest_per_key,
     live,
     lookup,
     nearest_name,
+    not_yet_stored,
     reshape_structs,
     salary_fields,
     snapshot_replace,
@@ -31,7 +31,7 @@ from ..operators import (
     with_children,
 )
 from ..functions.values import BASE_CURRENCY
-from ..sources import TableStore
+from ..sources import TableStore, stage
 from .rates import latest_rates
 
 TABLE, SKILLS, ROLES = "hh_vacancy", "hh_skill", "hh_professional_role"
@@ -123,23 +123,27 @@ def transform_vacancies(
 def load_vacancies(store: TableStore, rows: DataFrame, now: str) -> int:
     """End all live vacancies, add the batch and its children; returns the batch's size.
 
-    Children go first: until the parents are published nothing points to them. Ids depend on
-    the document and the load's time, so a retried load writes the same ids.
+    Children go first: until the parents are published nothing points to them. A load that is
+    run again with the same ``now`` gives the same ids and leaves the same tables: it skips the
+    children and replaces the vacancies of its first try.
     """
-    batch, seen = counted(rows)
+    at = naive_timestamp(F.lit(now))
+    batch, size = stage(rows.withColumn("created_at", at), "vacancies")
     parents, children = split_parent_child(
-        batch.withColumn("created_at", naive_timestamp(F.lit(now))),
+        batch,
         ["hh_id", "created_at"],
         {"skills": ["title"], "professional_roles": ["hh_professional_role_dict_id", "title"]},
         "vacancy_id",
     )
-    at = naive_timestamp(F.lit(now))
     skills = children["skills"].withColumns({"created_at": at, "id": F.xxhash64("vacancy_id", "ordinal")})
     roles = children["professional_roles"].withColumn("created_at", at)
     for name, child in ((SKILLS, skills), (ROLES, roles)):
-        store.append(name, child)
-    store.replace_live(TABLE, snapshot_replace(store.read_live(TABLE), parents, now))
-    return seen.get["rows"]
+        # The filter on the load's time keeps other loads' rows out of the read.
+        earlier = store.read(name).where(F.col("created_at") == at)
+        store.append(name, not_yet_stored(earlier, child, "vacancy_id"))
+    before = store.read_live(TABLE).where(~F.col("created_at").eqNullSafe(at))
+    store.replace_live(TABLE, snapshot_replace(before, parents, now))
+    return size
 
 
 def vacancy_dims(

@@ -5,6 +5,7 @@ from .documents import (
     interval_path,
     read_documents,
     read_staged,
+    stage,
     write_documents,
     write_intervals,
     write_staged,
@@ -28,6 +29,7 @@ __all__ = [
     "read_documents",
     "read_rates",
     "read_staged",
+    "stage",
     "write_documents",
     "write_intervals",
     "write_staged",

@@ -7,7 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.aggregate import counted
 from ..operators.dedupe import latest_document
+from ..session import scratch_path
 
 # Fixed value: run stamps in landing paths.
 STAMP = "yyyy-MM-dd-HH-mm-ss"
@@ -45,3 +47,15 @@ def write_intervals(df: DataFrame, path: str, at: str = "interval_end") -> None:
 def write_documents(df: DataFrame, path: str, key: str, *fetch_order: str) -> None:
     """The last fetched document per key, replacing those of an earlier run."""
     write_staged(latest_document(df, key, *fetch_order), path)
+
+
+def stage(df: DataFrame, label: str = "batch") -> tuple[DataFrame, int]:
+    """Write a batch once to the shared folder; returns it as read from there and its size.
+
+    A load reads its batch several times (keys, rows, children). Staged, the documents are
+    parsed once and each reader takes the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, label)
+    batch, seen = counted(df)
+    batch.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]

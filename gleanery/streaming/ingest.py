@@ -35,7 +35,10 @@ def ingest(
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        store.append(table, new_rows(store.read(table), prepare(batch), key, *order))
+        # Read twice, for its keys and its rows.
+        rows = prepare(batch).persist()
+        store.append(table, new_rows(store.read(table), rows, key, *order))
+        rows.unpersist()
 
     return (
         stream.writeStream.trigger(availableNow=True)
