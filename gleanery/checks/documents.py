@@ -17,7 +17,8 @@ QUERIES, ORACLES = checks.queries, checks.oracles
 @checks.add("""
     SELECT source AS topic, lang AS keyword, unnest(string_split(text, chr(10))) AS feed, doc_id AS topic_no,
         CAST(unnest(range(len(string_split(text, chr(10))))) AS INTEGER) AS feed_no,
-        doc_id || '-' || unnest(range(len(string_split(text, chr(10))))) AS feed_key
+        doc_id || '-' || unnest(range(len(string_split(text, chr(10))))) AS feed_key,
+        'feed-' || doc_id || '-' || unnest(range(len(string_split(text, chr(10))))) || '.xml' AS feed_file
     FROM documents
 """)
 def feed_expand(spark, sf_dir):

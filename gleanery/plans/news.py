@@ -25,10 +25,7 @@ TABLE = "google_alerts_newsfeed"
 
 
 def entries_of_feeds(entries: DataFrame, feeds: DataFrame) -> DataFrame:
-    """Give each entry the topic and keyword of its feed.
-
-    ``feeds`` is ``expand_feeds`` plus ``feed_file``, the path the feed was landed at.
-    """
+    """Give each entry the topic and keyword of its feed, by the name of the landed file."""
     return entries.join(feeds.select("feed_file", "topic", "keyword"), "feed_file")
 
 

@@ -12,7 +12,7 @@ ATOM_OPTIONS = {"rowTag": "entry", "ignoreSurroundingSpaces": "false", "mode": "
 
 
 def read_atom(spark: SparkSession, path: str) -> DataFrame:
-    """One row per feed entry: ``feed_file, href, published, title, content``.
+    """One row per feed entry: ``feed_path, feed_file, href, published, title, content``.
 
     Entities are decoded once, so escaped markup comes out as markup text. ``published`` stays
     text: a parsed timestamp would lose the offset.
@@ -22,7 +22,8 @@ def read_atom(spark: SparkSession, path: str) -> DataFrame:
 
 def entry_columns(entries: DataFrame) -> DataFrame:
     return entries.select(
-        F.col("_metadata.file_path").alias("feed_file"),
+        F.col("_metadata.file_path").alias("feed_path"),
+        F.col("_metadata.file_name").alias("feed_file"),
         F.col("link._href").alias("href"),
         "published",
         F.col("title._VALUE").alias("title"),
@@ -31,12 +32,17 @@ def entry_columns(entries: DataFrame) -> DataFrame:
 
 
 def expand_feeds(config: DataFrame, topic_ordinal: str = "topic_no") -> DataFrame:
-    """One row per feed of each topic, with an ordinal that is unique over (topic, feed)."""
+    """One row per feed of each topic, with a key that is unique over (topic, feed).
+
+    ``feed_file`` is the name the feed is landed under.
+    """
+    key = F.concat_ws("-", topic_ordinal, "feed_no")
     return config.select(topic_ordinal, "topic", F.posexplode("feeds").alias("feed_no", "feed")).select(
         "topic",
         F.col("feed.keyword").alias("keyword"),
         F.col("feed.url").alias("feed"),
         topic_ordinal,
         "feed_no",
-        F.concat_ws("-", topic_ordinal, "feed_no").alias("feed_key"),
+        key.alias("feed_key"),
+        F.concat(F.lit("feed-"), key, F.lit(".xml")).alias("feed_file"),
     )
