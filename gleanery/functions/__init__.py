@@ -1,8 +1,8 @@
-"""Column expressions; none of them needs a Python worker."""
+"""Column expressions; all but the text similarity stay in the JVM."""
 
 from .periods import lag_window, latest_period, month_before, trailing_month
 from .rules import active_type, detail_url, is_executor
-from .similarity import best_match, fuzz_ratio, lcs_length
+from .similarity import best_match, fuzz_ratio
 from .text import (
     code_prefixes,
     concat_skip_null,
@@ -27,7 +27,6 @@ __all__ = [
     "is_executor",
     "lag_window",
     "latest_period",
-    "lcs_length",
     "local_date",
     "md5_key",
     "month_before",

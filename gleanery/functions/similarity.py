@@ -1,128 +1,99 @@
 """Similarity of two short texts from their longest common subsequence (LCS).
 
 ``levenshtein`` is no substitute: here a replaced character counts as one deletion plus one
-insertion. Texts of up to 62 characters take the bit-parallel form (one integer step per
-character of the other text); longer ones take the row-by-row form.
+insertion. The built-in higher-order functions can express the LCS, but they are interpreted.
+Measured on 25-character names, a pair took about 270 microseconds of core time that way, against
+27 as Arrow batches with one integer step per character (9 for the comparison itself); 100
+characters took 84, where the interpreted form did not get through 80,000 pairs in five minutes.
+So this is the one place with Python in the tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A BIGINT holds this many positions with room for the carry.
-WORD = 62
-
-
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``; an outer expression inside a lambda
-    would be evaluated again for every element."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def _bit(position: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), position.cast("int"))
-
-
-def _chars(text: Column) -> Column:
-    return F.split(text, "")
-
-
-def char_masks(text: Column) -> Column:
-    """Map from each character of a short text to the bits of its positions."""
-
-    def mask(chars: Column, char: Column) -> Column:
-        marks = F.transform(
-            chars, lambda c, i: F.when(c == char, _bit(i)).otherwise(F.lit(0).cast("bigint"))
-        )
-        return F.aggregate(marks, F.lit(0).cast("bigint"), lambda acc, m: acc.bitwiseOR(m))
-
-    return _bind(
-        _chars(text),
-        lambda chars: F.map_from_entries(
-            F.transform(F.array_distinct(chars), lambda c: F.struct(c, mask(chars, c)))
-        ),
-    )
-
-
-def _lcs_bits(masks: Column, length: Column, other: Column) -> Column:
-    full = _bit(length) - F.lit(1).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-
-    def step(state: Column, char: Column) -> Column:
-        hit = state.bitwiseAND(F.coalesce(F.element_at(masks, char), zero))
-        return _bind(hit, lambda h: (state + h).bitwiseOR(state - h).bitwiseAND(full))
-
-    return length - F.bit_count(F.aggregate(_chars(other), full, step))
-
-
-def _lcs_rows(text: Column, other: Column) -> Column:
-    """Dynamic programming over the rows of the LCS table, for long texts."""
-    others = _chars(other)
-
-    def next_row(row: Column, char: Column) -> Column:
-        cells = F.transform(
-            others,
-            lambda o, i: F.when(o == char, F.get(row, i) + 1).otherwise(F.get(row, i + 1)),
-        )
-        return F.aggregate(
-            cells,
-            F.array(F.lit(0)),
-            lambda done, cell: F.concat(done, F.array(F.greatest(F.element_at(done, -1), cell))),
-        )
-
-    start = F.array_repeat(F.lit(0), F.char_length(other) + 1)
-    return F.element_at(F.aggregate(_chars(text), start, next_row), -1)
-
-
-def lcs_length(text: Column, other: Column, masks: Column | None = None) -> Column:
-    """Length of the longest common subsequence of two non-empty texts.
-
-    ``masks`` may hold ``char_masks(text)`` when one text meets many others.
-    """
-    length = F.char_length(text)
-    if masks is not None:
-        bits = _lcs_bits(masks, length, other)
-    else:
-        bits = _bind(char_masks(text), lambda m: _lcs_bits(m, length, other))
-    return F.when(length <= WORD, bits).otherwise(_lcs_rows(text, other))
-
-
-def fuzz_ratio(text: Column, other: Column, masks: Column | None = None) -> Column:
+BEST = "score INT, neg_id BIGINT, id BIGINT, title STRING"
+
+
+def _masks(text: str) -> dict[str, int]:
+    """For each character the bits of its positions."""
+    masks: dict[str, int] = {}
+    for i, char in enumerate(text):
+        masks[char] = masks.get(char, 0) | 1 << i
+    return masks
+
+
+def _lcs(masks: dict[str, int], length: int, other: str) -> int:
+    """Length of the LCS, a row of its table per step as the bits of one integer."""
+    full = (1 << length) - 1
+    row = full
+    for char in other:
+        hit = row & masks.get(char, 0)
+        row = (row + hit | row - hit) & full
+    return length - row.bit_count()
+
+
+def _ratio(common: int, total: int) -> int:
+    # The division comes first and halves go to even: scores on the border depend on both.
+    return round(100 * (2.0 * common / total))
+
+
+def ratio(text: str | None, other: str | None) -> int:
+    if not text or not other:
+        return 0
+    if text == other:
+        return 100
+    return _ratio(_lcs(_masks(text), len(text), other), len(text) + len(other))
+
+
+def best_entry(text: str, ids: Sequence[int], titles: Sequence[str]) -> tuple[int, int, int, str] | None:
+    """``(score, -id, id, title)`` of the most similar title; on a tie the lowest id."""
+    masks, length = _masks(text), len(text)
+    best = None
+    for key, title in zip(ids, titles):
+        total = length + len(title)
+        # No title can share more characters than the shorter text has.
+        if best and _ratio(min(length, len(title)), total or 1) < best[0]:
+            continue
+        if not text or not title:
+            score = 0
+        elif text == title:
+            score = 100
+        else:
+            score = _ratio(_lcs(masks, length, title), total)
+        if best is None or (score, -key) > best[:2]:
+            best = (score, -key, int(key), title)
+    return best
+
+
+def fuzz_ratio(text: Column, other: Column) -> Column:
     """Similarity from 0 to 100, ``2 * LCS / (len + len)``, halves rounded to even.
 
     Equal texts score 100; an empty or missing text scores 0.
     """
-    total = F.char_length(text) + F.char_length(other)
-    ratio = F.lit(2.0) * lcs_length(text, other, masks) / total
-    return (
-        F.when(text.isNull() | other.isNull() | (text == "") | (other == ""), F.lit(0))
-        .when(text == other, F.lit(100))
-        .otherwise(F.rint(F.lit(100.0) * ratio).cast("int"))
-    )
 
+    @F.pandas_udf("int")
+    def scores(texts: pd.Series, others: pd.Series) -> pd.Series:
+        return pd.Series([ratio(a, b) for a, b in zip(texts, others)], dtype="int32")
 
-def best_match(text: Column, entries: Column) -> Column:
-    """Best entry of an array of ``(id, title)``: highest score, on a tie the lowest id.
+    return scores(text, other)
 
-    Returns ``struct(score, neg_id, id, title)``, which orders by goodness, so ``max`` merges
-    the best of several arrays.
+
+def best_match(text: Column, ids: Column, titles: Column) -> Column:
+    """Best of the titles in two parallel arrays: ``struct(score, neg_id, id, title)``.
+
+    The struct orders by goodness, so ``max`` merges the best of several arrays.
     """
 
-    def scored(masks: Column, entry: Column) -> Column:
-        return F.struct(
-            fuzz_ratio(text, entry["title"], masks).alias("score"),
-            (-entry["id"]).alias("neg_id"),
-            entry["id"].alias("id"),
-            entry["title"].alias("title"),
-        )
-
-    # A text too long for the masks goes through the row form, so its masks are not needed.
-    masks = F.when(F.char_length(text) <= WORD, char_masks(text))
-    return F.array_max(
-        F.flatten(
-            F.transform(F.array(masks), lambda m: F.transform(entries, lambda e: scored(m, e)))
-        )
-    )
+    @F.pandas_udf(BEST)
+    def bests(texts: pd.Series, keys: pd.Series, names: pd.Series) -> pd.DataFrame:
+        found = [best_entry(t, k, n) if t is not None else None for t, k, n in zip(texts, keys, names)]
+        rows = [b if b else (None,) * 4 for b in found]
+        frame = pd.DataFrame(rows, columns=["score", "neg_id", "id", "title"])
+        return frame.astype({"score": "Int32", "neg_id": "Int64", "id": "Int64"})
+
+    return bests(text, ids, titles)

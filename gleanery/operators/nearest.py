@@ -44,27 +44,26 @@ def nearest_name(
         entries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
         .groupBy("block")
         .agg(F.collect_list(F.struct("id", "title")).alias("entries"))
+        .select("block", F.col("entries.id").alias("ids"), F.col("entries.title").alias("titles"))
     )
     if size <= BROADCAST_ENTRIES:
         packed = F.broadcast(packed)
-    visits = F.when(settled, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(blocks - 1)))
     equal_best = F.struct(
         F.lit(100).alias("score"),
         (-F.col("equal_id")).alias("neg_id"),
         F.col("equal_id").alias("id"),
         F.col("title"),
     )
-    scored = (
-        split.withColumn("block", F.explode(visits.cast("array<bigint>")))
-        .join(packed, "block", "left")
-        .where(settled | F.col("entries").isNotNull())
-        .select(
-            "name",
-            F.when(settled, equal_best)
-            .otherwise(best_match(F.col("name"), F.col("entries")))
-            .alias("best"),
-        )
+    open_names = split.where(~settled).select(
+        "name", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("block")
     )
+    # Few bytes but much work per row: a fixed number of tasks, which Spark does not merge by size.
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    open_names = open_names.repartition(tasks, "name", "block")
+    compared = open_names.join(packed, "block").select(
+        "name", best_match(F.col("name"), F.col("ids"), F.col("titles")).alias("best")
+    )
+    scored = split.where(settled).select("name", equal_best.alias("best")).unionByName(compared)
     if blocks > 1:
         scored = scored.groupBy("name").agg(F.max("best").alias("best"))
     result = scored.select(

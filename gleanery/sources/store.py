@@ -51,9 +51,8 @@ class TableStore:
     def read_live(self, name: str) -> DataFrame:
         return self._read(name, self._current(name)["live"], [])
 
-    def _commit(self, name: str, rows: DataFrame, live: list[int], archive: list[int]) -> int:
-        """Write ``rows`` as the next version; it joins the kept ``live`` and ``archive`` versions."""
-        version = self._current(name)["version"] + 1
+    def _commit(self, name: str, rows: DataFrame, version: int, live: list[int], archive: list[int]) -> int:
+        """Write ``rows`` as a version; it joins the kept ``live`` and ``archive`` versions."""
         columns = T.StructType.fromDDL(TABLES[name])
         present = set(rows.columns)
         typed = rows.select(
@@ -61,10 +60,10 @@ class TableStore:
         )
         is_live = F.col("deleted_at").isNull() if "deleted_at" in columns.names else F.lit(True)
         # Overwrite of this version alone: a retried load replaces what its first try left.
-        target = f"{self.root}/{name}/rows/v={version}"
-        typed.withColumn("is_live", is_live).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("is_live").parquet(target)
+        writer = typed.withColumn("is_live", is_live).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "static").partitionBy("is_live").parquet(
+            f"{self.root}/{name}/rows/v={version}"
+        )
         line = self.spark.range(1, numPartitions=1).select(
             F.lit(version).alias("version"),
             F.lit([*live, version]).cast("array<int>").alias("live"),
@@ -76,12 +75,13 @@ class TableStore:
     def append(self, name: str, rows: DataFrame) -> int:
         """Add rows; nothing stored is read or written again."""
         current = self._current(name)
-        return self._commit(name, rows, current["live"], current["archive"])
+        return self._commit(name, rows, current["version"] + 1, current["live"], current["archive"])
 
     def replace_live(self, name: str, rows: DataFrame) -> int:
         """Put ``rows``, a next state of the live rows, in their place; the archive stays."""
-        return self._commit(name, rows, [], self._current(name)["archive"])
+        current = self._current(name)
+        return self._commit(name, rows, current["version"] + 1, [], current["archive"])
 
     def replace(self, name: str, rows: DataFrame) -> int:
         """Put ``rows``, a next state of the whole table, in its place."""
-        return self._commit(name, rows, [], [])
+        return self._commit(name, rows, self._current(name)["version"] + 1, [], [])

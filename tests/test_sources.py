@@ -173,3 +173,8 @@ def test_store_versions(spark, tmp_path):
     assert ids(store.read(name)) == [1, 4]
     store.append(name, rows((5, 1, "e", None)))
     assert ids(store.read(name)) == [1, 4, 5]
+
+
+def test_stage_reads_what_it_wrote(spark):
+    batch, size = src.stage(spark.range(5).withColumn("t", F.lit("x")), "tests")
+    assert size == 5 and batch.columns == ["id", "t"] and batch.count() == 5
