@@ -88,7 +88,7 @@ def _vacancy_documents(spark, sf_dir):
     """Orders as vacancies: priced in the currency of their priority, placed where the customer is."""
     currency = (
         F.when(F.col("o_orderpriority") == "1-URGENT", "RUR")
-        .when(F.col("o_orderpriority") == "2-HIGH", "USD")
+        .when(F.col("o_orderpriority") == "2-HIGH", "PROMO")
         .otherwise("KZT")
     )
     salary = F.struct(
@@ -125,8 +125,8 @@ def _vacancy_documents(spark, sf_dir):
 
 def _areas(spark, sf_dir):
     """Country above regions above nations; one region hangs below another country."""
-    roots = spark.createDataFrame(
-        [("113", None, vacancies.COUNTRY), ("9", None, "Elsewhere")], "id string, parent_id string, name string"
+    roots = spark.sql(
+        f"SELECT id, CAST(NULL AS STRING) AS parent_id, name FROM VALUES ('113', '{vacancies.COUNTRY}'), ('9', 'Elsewhere') AS t(id, name)"
     )
     country = F.when(F.col("r_name") == "ASIA", "9").otherwise("113")
     regions = table(spark, sf_dir, "region").select(
@@ -152,17 +152,17 @@ def _transformed(spark, sf_dir):
 
 
 def spark_rates(spark, sf_dir):
-    """Rates of the dollar over time, one per part."""
+    """Rates over time, one per part; the part's type stands for the currency."""
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"),
-        F.lit("USD").alias("char_code"),
+        F.col("p_type").alias("char_code"),
         (F.col("p_retailprice") / 16).alias("value"),
         F.date_add(F.lit("2023-01-01").cast("date"), F.col("p_size")).alias("date"),
     )
 
 
 @checks.add("""
-    WITH rate AS (SELECT p_retailprice / 16 AS value FROM part ORDER BY p_size DESC, p_partkey DESC LIMIT 1),
+    WITH rate AS (SELECT p_retailprice / 16 AS value FROM part WHERE p_type = 'PROMO' ORDER BY p_size DESC, p_partkey DESC LIMIT 1),
     paid AS (SELECT *, o_orderpriority <> '4-NOT SPECIFIED' AS has,
         CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN (SELECT value FROM rate) END AS rate
         FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey

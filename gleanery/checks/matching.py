@@ -62,8 +62,8 @@ def hierarchy_region(spark, sf_dir):
             F.concat(F.lit(prefix), key).alias("id"), parent.alias("parent_id"), F.col(title).alias("name")
         )
 
-    roots = spark.createDataFrame(
-        [("w", None, "World"), ("x", None, "Elsewhere")], "id string, parent_id string, name string"
+    roots = spark.sql(
+        "SELECT id, CAST(NULL AS STRING) AS parent_id, name FROM VALUES ('w', 'World'), ('x', 'Elsewhere') AS t(id, name)"
     )
     above = F.when(F.col("r_name") == "ASIA", "x").otherwise("w")
     nodes = (

@@ -37,7 +37,8 @@ class TableStore:
     def _read(self, name: str, live: list[int], archive: list[int]) -> DataFrame:
         schema = T.StructType.fromDDL(TABLES[name])
         if not live and not archive:
-            return self.spark.createDataFrame([], schema)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            return self.spark.range(0).select(*nothing)
         stored = T.StructType([*schema, T.StructField("v", T.IntegerType()), T.StructField("is_live", T.BooleanType())])
         rows = self.spark.read.schema(stored).parquet(f"{self.root}/{name}/rows")
         # Partition columns only, so files of other versions are not opened.
