@@ -11,8 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dedupe import latest_per_key
 from .shape import live
+from .skew import spread
 
 
 def lookup(
@@ -24,11 +24,10 @@ def lookup(
     the rejects: each non-NULL key not in the dictionary with its number of rows. With
     ``strict`` a missing key fails the query instead.
     """
-    entries = dictionary.select(
-        F.col(dict_key).alias("_key"),
-        F.lit(True).alias("_found"),
-        *[F.col(c).alias(new) for c, new in values.items()],
+    columns = dictionary.select(
+        F.col(dict_key).alias("_key"), *[F.col(c).alias(new) for c, new in values.items()]
     )
+    entries = spread(columns, "_key").withColumn("_found", F.lit(True))
     joined = df.join(entries, F.col(key) == F.col("_key"), "left")
     if strict:
         missing = F.col(key).isNotNull() & F.col("_found").isNull()
@@ -60,6 +59,5 @@ def with_children(df: DataFrame, *aggregates: DataFrame, on: str) -> DataFrame:
 
 def with_fetch(entries: DataFrame, manifest: DataFrame) -> DataFrame:
     """Attach the stored key of each article; NULL unless it was fetched with status 200."""
-    fetched = manifest.where("status = 200").select("url", "s3_key")
-    one = latest_per_key(fetched, ["url"], F.col("s3_key").asc())
-    return entries.join(one, "url", "left")
+    fetched = manifest.where("status = 200").groupBy("url").agg(F.min("s3_key").alias("s3_key"))
+    return entries.join(spread(fetched, "url"), "url", "left")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedupe import latest_per_key
+from .skew import distinct_keys
 
 
 def append_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def new_rows(table: DataFrame, rows: DataFrame, key: str, *order: Column) -> Dat
     over the network only when the batch is too big to broadcast.
     """
     first = latest_per_key(rows, [key], *order)
-    clashes = table.select(key).join(rows.select(key).distinct(), key, "left_semi")
+    clashes = table.select(key).join(distinct_keys(rows, key), key, "left_semi")
     return first.join(clashes, key, "left_anti").select(rows.columns)
 
 
@@ -49,7 +50,7 @@ def keyed_replace(table: DataFrame, rows: DataFrame, key: str, now, only_live: b
 
     Rows deleted earlier are stamped again unless ``only_live``.
     """
-    keys = rows.select(F.col(key).alias("_key")).distinct()
+    keys = distinct_keys(rows, key).withColumnRenamed(key, "_key")
     marked = table.join(keys, F.col(key) == F.col("_key"), "left")
     hit = F.col("_key").isNotNull()
     if only_live:
@@ -67,8 +68,8 @@ def surrogate_key(*parts: str | Column) -> Column:
 
 def not_yet_stored(table: DataFrame, children: DataFrame, parent_id: str) -> DataFrame:
     """Child rows of parents without stored children, so a load that is run again adds none twice."""
-    stored = table.select(parent_id).join(children.select(parent_id).distinct(), parent_id, "left_semi")
-    return children.join(stored, parent_id, "left_anti")
+    stored = table.select(parent_id).join(distinct_keys(children, parent_id), parent_id, "left_semi")
+    return children.join(distinct_keys(stored, parent_id), parent_id, "left_anti")
 
 
 def split_parent_child(

@@ -31,6 +31,7 @@ from ..operators import (
     with_children,
 )
 from ..functions.values import BASE_CURRENCY
+from ..operators.skew import spread
 from ..sources import TableStore, stage
 from .rates import latest_rates
 
@@ -55,7 +56,7 @@ def area_regions(areas: DataFrame, regions: DataFrame, max_depth: int = 5) -> Da
     """Region of each area: ``area_id, federal_region_id, score``, resolved once per name."""
     tops = climb_to_top(areas, COUNTRY, max_depth)
     nearest = nearest_name(tops, "top_name", live(regions).select("id", "title"))
-    matched = tops.join(nearest, F.col("top_name") == F.col("name"), "left")
+    matched = tops.join(spread(nearest, "name"), F.col("top_name") == F.col("name"), "left")
     return matched.select(
         F.col("id").alias("area_id"), F.col("match_id").alias("federal_region_id"), "score"
     )
