@@ -21,10 +21,11 @@ def new_rows(table: DataFrame, rows: DataFrame, key: str, *order: Column) -> Dat
 
     The stored keys that clash are found first. They are no more than the batch's keys, so the
     table's side, which holds the whole history, is read for its key column alone and moves
-    over the network only when the batch is too big to broadcast.
+    over the network only when the batch is too big to broadcast. Neither side of the joins has
+    a key twice.
     """
     first = latest_per_key(rows, [key], *order)
-    clashes = table.select(key).join(distinct_keys(rows, key), key, "left_semi")
+    clashes = table.select(key).join(rows.select(key).distinct(), key, "left_semi")
     return first.join(clashes, key, "left_anti").select(rows.columns)
 
 

@@ -33,13 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master without either gets a temporary folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        configured = tempfile.mkdtemp(prefix="gleanery-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
