@@ -14,7 +14,8 @@ def lag_window(day: Column, months: int = 3) -> tuple[Column, Column]:
 
 def month_before(now) -> Column:
     """The same day a month earlier; the day is clamped to the length of that month."""
-    return F.add_months(F.lit(now).cast("date"), -1)
+    # As text, so that neither Python's nor the session's zone can move the day.
+    return F.add_months(F.lit(str(now)[:10]).cast("date"), -1)
 
 
 def trailing_month(df: DataFrame, col: str, now) -> DataFrame:

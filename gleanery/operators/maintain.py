@@ -35,7 +35,8 @@ def insert_ignore(table: DataFrame, rows: DataFrame, key: str, *order: Column) -
 
 
 def _stamp(df: DataFrame, condition: Column, now) -> DataFrame:
-    at = F.lit(now).cast("timestamp_ntz")
+    # As text, so that neither Python's nor the session's zone can move it.
+    at = F.lit(str(now)).cast("timestamp_ntz")
     return df.withColumns(
         {c: F.when(condition, at).otherwise(F.col(c)) for c in ("updated_at", "deleted_at")}
     )

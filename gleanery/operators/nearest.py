@@ -9,8 +9,8 @@ from ..functions.similarity import best_match
 
 #: Entries compared in one go; also the bound on the array a task holds.
 BLOCK = 512
-#: A dictionary of at most this many entries is broadcast.
-BROADCAST_ENTRIES = 20_000
+#: A dictionary whose entries take at most this many bytes is broadcast.
+BROADCAST_BYTES = 8 << 20
 
 
 def nearest_name(
@@ -31,7 +31,9 @@ def nearest_name(
     best of each block are merged by ``max``. All names and entries count: none is pre-selected.
     """
     entries = dictionary.where("title IS NOT NULL").select(F.col("id").cast("bigint"), "title")
-    size = entries.count()
+    size, octets = entries.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("title") + 8), F.lit(0))
+    ).first()
     blocks = max(1, -(-size // block))
     distinct = names.select(F.col(name).alias("name")).where("name IS NOT NULL").distinct()
 
@@ -46,7 +48,7 @@ def nearest_name(
         .agg(F.collect_list(F.struct("id", "title")).alias("entries"))
         .select("block", F.col("entries.id").alias("ids"), F.col("entries.title").alias("titles"))
     )
-    if size <= BROADCAST_ENTRIES:
+    if octets <= BROADCAST_BYTES:
         packed = F.broadcast(packed)
     equal_best = F.struct(
         F.lit(100).alias("score"),

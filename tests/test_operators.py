@@ -156,9 +156,10 @@ def test_nearest_name_keeps_the_wrong_winner(spark):
     assert rows(op.nearest_name(names, "name", regions, min_score=80), "name") == [("Москва",)]
 
 
-@pytest.mark.parametrize("block", [1, 7, 512])
-def test_nearest_name_against_brute_force(spark, block):
-    """Any block size gives the best of all pairs; some names are longer than a machine word."""
+@pytest.mark.parametrize("block, limit", [(1, 0), (7, 8 << 20), (512, 8 << 20), (512, 0)])
+def test_nearest_name_against_brute_force(spark, monkeypatch, block, limit):
+    """Any block size, broadcast or not, gives the best of all pairs; some names are long."""
+    monkeypatch.setattr("gleanery.operators.nearest.BROADCAST_BYTES", limit)
     draw = random.Random(3)
     word = lambda most: "".join(draw.choices("abcde", k=draw.randint(0, most)))
     names = sorted({word(9) for _ in range(30)} | {word(80) for _ in range(4)})
