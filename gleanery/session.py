@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,14 +30,17 @@ def build_session(app: str = "gleanery", master: str | None = None, **conf) -> S
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` or the context's checkpoint folder.
 
-    Only a local master without either gets a temporary folder of its own.
+    A session with neither gets a folder inside its warehouse, which is shared as well; it is deleted
+    when the session's JVM ends.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="gleanery-")
+        path = context._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.sql.warehouse.dir"), f"_scratch-{uuid.uuid4().hex}")
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        configured = path.toString()
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return configured.rstrip("/")
