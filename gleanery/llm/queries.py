@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..checks.base import Registry, table
-from . import simhash
+from . import reshard, secrets, simhash
 
 operators = Registry()
 QUERIES, ORACLES = operators.queries, operators.oracles
@@ -12,3 +14,32 @@ QUERIES, ORACLES = operators.queries, operators.oracles
 @operators.add()
 def op4_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _of_kind(kind):
+    return F.coalesce(F.size(F.filter("spans", lambda span: span["kind"] == kind)), F.lit(0)).cast("bigint").alias(f"n_{kind}")
+
+
+@operators.add()
+def op10_secret_scan(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    spans = F.when(F.col("spans").isNull(), "").otherwise(secrets.span_list(F.col("spans"))).alias("spans")
+    found = found.select("doc_id", *[_of_kind(rule.kind) for rule in secrets.RULES], spans)
+    return found.withColumn("base_sha256", F.sha2("spans", 256))
+
+
+SHARDS = 24
+
+
+@operators.add()
+def op8_min_cost_reshard(spark, sf_dir):
+    """From a layout by source, with its one very large shard, to shards of equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "_metadata.file_path", "_metadata.row_index")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 8
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(SHARDS))
+    place = [F.col(c) for c in ("doc_id", "row_index", "file_path")]
+    sharded, _ = reshard.reshard(docs, old, SHARDS, SHARDS, size, place)
+    digest = sharded.select("shard", "shard_key", "doc_id", size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    return reshard.with_slot(digest).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("bigint"), F.lit(None).cast("int").alias("grown_shard")
+    )
