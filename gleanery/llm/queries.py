@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 from ..checks.base import Registry, table
-from . import reshard, secrets, simhash
+from . import packing, reshard, secrets, simhash, token_counts
 
 operators = Registry()
 QUERIES, ORACLES = operators.queries, operators.oracles
@@ -43,3 +44,15 @@ def op8_min_cost_reshard(spark, sf_dir):
     return reshard.with_slot(digest).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("bigint"), F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@operators.add()
+def op2_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@operators.add()
+def op6_bounded_space_packing(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    crc = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
