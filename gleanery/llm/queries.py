@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from public_tokenizers import PATTERN
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 from ..checks.base import Registry, table
-from . import packing, reshard, secrets, simhash, token_counts
+from . import bpe, packing, reshard, secrets, simhash, token_counts
 
 operators = Registry()
 QUERIES, ORACLES = operators.queries, operators.oracles
@@ -56,3 +57,10 @@ def op6_bounded_space_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     crc = F.crc32("ids").alias("ids_crc32")
     return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
+@operators.add()
+def op1_bpe_round_trip(spark, sf_dir):
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, PATTERN)
+    return bpe.decode(encoded, path, with_text=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
