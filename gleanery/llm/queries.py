@@ -7,7 +7,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 from ..checks.base import Registry, table
-from . import bpe, packing, reshard, secrets, simhash, token_counts
+from . import bpe, langid, packing, reshard, secrets, simhash, token_counts
 
 operators = Registry()
 QUERIES, ORACLES = operators.queries, operators.oracles
@@ -64,3 +64,10 @@ def op1_bpe_round_trip(spark, sf_dir):
     path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path, PATTERN)
     return bpe.decode(encoded, path, with_text=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@operators.add()
+def op3_compression_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.with_language(docs.select("doc_id", "text"), langid.train(docs), "language")
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "language.*")
