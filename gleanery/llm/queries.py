@@ -7,7 +7,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 from ..checks.base import Registry, table
-from . import bpe, langid, packing, reshard, secrets, simhash, token_counts
+from . import bpe, langid, packing, quality, reshard, secrets, simhash, token_counts
 
 operators = Registry()
 QUERIES, ORACLES = operators.queries, operators.oracles
@@ -71,3 +71,10 @@ def op3_compression_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = langid.with_language(docs.select("doc_id", "text"), langid.train(docs), "language")
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "language.*")
+
+
+@operators.add()
+def op7_cotraining_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.with_quality(docs, model, "quality").select("doc_id", "quality.*")
