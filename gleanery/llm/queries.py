@@ -7,7 +7,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 from ..checks.base import Registry, table
-from . import bpe, langid, packing, quality, reshard, secrets, simhash, token_counts
+from . import bpe, langid, neighbours, packing, quality, reshard, secrets, simhash, token_counts
 
 operators = Registry()
 QUERIES, ORACLES = operators.queries, operators.oracles
@@ -78,3 +78,8 @@ def op7_cotraining_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.with_quality(docs, model, "quality").select("doc_id", "quality.*")
+
+
+@operators.add()
+def op5_forest_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
