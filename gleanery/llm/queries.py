@@ -7,7 +7,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 from ..checks.base import Registry, table
-from . import bpe, langid, neighbours, packing, quality, reshard, secrets, simhash, token_counts
+from . import bpe, langid, neighbours, packing, quality, reshard, rotated_codes, secrets, simhash, token_counts
 
 operators = Registry()
 QUERIES, ORACLES = operators.queries, operators.oracles
@@ -83,3 +83,8 @@ def op7_cotraining_quality(spark, sf_dir):
 @operators.add()
 def op5_forest_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
+@operators.add()
+def op9_rotated_code_dedup(spark, sf_dir):
+    return rotated_codes.near_duplicates(table(spark, sf_dir, "embeddings"))
