@@ -22,7 +22,32 @@ def _of_kind(kind):
     return F.coalesce(F.size(F.filter("spans", lambda span: span["kind"] == kind)), F.lit(0)).cast("bigint").alias(f"n_{kind}")
 
 
-@operators.add()
+#: Positions as running sums of the lengths of matches and of what stands between them.
+SQL_SECRETS = """
+    WITH rules(kind, place, pattern, part, least) AS (VALUES
+        ('assign', 1, '(?i)(password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 8),
+        ('access', 2, 'AKIA[A-Z0-9]+', 0, 16),
+        ('hex', 3, '[0-9a-f]+', 0, 32)),
+    texts AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+    matched AS (
+        SELECT text, kind, place, least, string_split_regex(text, pattern) AS gaps, regexp_extract_all(text, pattern) AS whole,
+            CASE WHEN part = 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern) END AS parts
+        FROM texts, rules),
+    numbered AS (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM matched),
+    lengths AS (SELECT text, kind, place, least, i, length(gaps[i]) AS gap, length(whole[i]) AS size, length(parts[i]) AS part FROM numbered),
+    placed AS (SELECT *, sum(gap + size) OVER (PARTITION BY text, kind ORDER BY i) AS stop FROM lengths),
+    spans AS (SELECT text, kind, place, stop - size AS start, stop FROM placed WHERE part >= least),
+    listed AS (
+        SELECT text, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+            count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+        FROM spans GROUP BY text)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+        coalesce(spans, '') AS spans, sha256(coalesce(spans, '')) AS base_sha256
+    FROM documents LEFT JOIN listed ON listed.text = coalesce(documents.text, '')
+"""
+
+
+@operators.add(SQL_SECRETS)
 def op10_secret_scan(spark, sf_dir):
     found = secrets.scan(table(spark, sf_dir, "documents"))
     spans = F.when(F.col("spans").isNull(), "").otherwise(secrets.span_list(F.col("spans"))).alias("spans")
@@ -85,6 +110,23 @@ def op5_forest_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
 
-@operators.add()
+#: All pairs of a label; fine for the small tables of a comparison.
+SQL_ROTATED = """
+    WITH RECURSIVE vectors AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+    reached AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT vec_id, b FROM reached JOIN pairs ON other = a),
+    least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+    counts AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN least USING (vec_id) LEFT JOIN counts ON a = vec_id
+"""
+
+
+@operators.add(SQL_ROTATED)
 def op9_rotated_code_dedup(spark, sf_dir):
     return rotated_codes.near_duplicates(table(spark, sf_dir, "embeddings"))
