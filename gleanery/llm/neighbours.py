@@ -25,6 +25,7 @@ LEAST_SAMPLE_IN_LEAF = 8
 EXAMINED = 36_000
 #: Candidates of a task that are gathered before all but each query's best are dropped.
 GATHERED = 1_000_000
+ROUNDING = 1e-9
 SEED = 7
 
 
@@ -113,8 +114,9 @@ class _Best:
         self.k, self.parts, self.rows = k, [], 0
         self.queries, self.floors = np.zeros(0, np.int64), np.zeros(0)
 
-    def add(self, query: np.ndarray, other: np.ndarray, scores: np.ndarray) -> None:
-        """``scores`` of every query (rows) and candidate (columns) of one leaf."""
+    def add(self, query: np.ndarray, queries: np.ndarray, other: np.ndarray, rows: np.ndarray) -> None:
+        """All queries of a leaf and some of its rows, ids and vectors."""
+        scores = queries @ rows.T
         floor = np.full(len(query), -np.inf)
         if len(self.queries):
             at = np.minimum(np.searchsorted(self.queries, query), len(self.queries) - 1)
@@ -123,8 +125,10 @@ class _Best:
             # A query's own row is among the candidates, so one more than k counts here.
             kth = -np.partition(-scores, self.k, axis=1)[:, self.k]
             floor = np.maximum(floor, kth)
+        # The product of matrices rounds differently from leaf to leaf; the score that counts is computed by pairs.
+        floor = floor - ROUNDING * (1 + np.abs(scores).max(axis=1))
         i, j = np.nonzero((scores >= floor[:, None]) & (query[:, None] != other[None, :]))
-        self.parts.append((query[i], other[j], scores[i, j]))
+        self.parts.append((query[i], other[j], np.einsum("ij,ij->i", queries[i], rows[j])))
         self.rows += len(i)
         if self.rows > GATHERED:
             self.compact()
@@ -234,7 +238,8 @@ def nearest(
                 if ids and split < end:
                     ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
                     for few in range(0, len(ids[0]), 1024):
-                        top.add(ids[0][few : few + 1024], vec_id[split:end], vectors[0][few : few + 1024] @ x[split:end].T)
+                        some = slice(few, few + 1024)
+                        top.add(ids[0][some], vectors[0][some], vec_id[split:end], x[split:end])
                 start = end
         columns = [pa.array(c) for c in top.compact()]
         if len(columns[0]):
@@ -244,5 +249,6 @@ def nearest(
     scored = both.mapInArrow(score, f"query_id {kind}, vec_id {kind}, score double")
     # At most k candidates of a query come from each task.
     ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = scored.distinct().withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
+    once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = once.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
