@@ -37,24 +37,42 @@ class ByteLevel:
         for token, number in vocabulary.items():
             self.lengths[number] = len(token.encode()) if token in added else len(token)
 
-    def __call__(self, segments: list[str], joined_chars: int = 1 << 16) -> list[np.ndarray]:
-        """The ids of each segment as unsigned 32-bit integers."""
-        found: list[np.ndarray | None] = [None] * len(segments)
+    def _spans(self, segments: list[str], joined_chars: int) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """The order in which segments were encoded, all their ids, and where each segment's ids end."""
         alone = [i for i, s in enumerate(segments) if s[:1] != " " or len(s) > joined_chars]
         together = [i for i, s in enumerate(segments) if s[:1] == " " and len(s) <= joined_chars]
-        for i in alone:
-            found[i] = np.array(self.ids(segments[i]), np.uint32)
-        while together:
-            some, held = [], 0
-            while together and (not some or held + len(segments[together[-1]]) <= joined_chars):
-                some.append(together.pop())
-                held += len(segments[some[-1]])
-            ids = np.array(self.ids("".join(segments[i] for i in some)), np.uint32)
-            ends = np.cumsum([len(segments[i].encode()) for i in some])
-            stops = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-            for i, part in zip(some, np.split(ids, stops[:-1])):
-                found[i] = part
+        ids = [np.array(self.ids(segments[i]), np.uint32) for i in alone]
+        ends = [np.cumsum([len(part) for part in ids], dtype=np.int64)]
+        total = int(ends[0][-1]) if alone else 0
+        at = 0
+        while at < len(together):
+            held, stop = 0, at
+            while stop < len(together) and (stop == at or held + len(segments[together[stop]]) <= joined_chars):
+                held += len(segments[together[stop]])
+                stop += 1
+            some = [segments[i] for i in together[at:stop]]
+            part = np.array(self.ids("".join(some)), np.uint32)
+            lengths = np.fromiter((len(s.encode()) for s in some), np.int64, len(some))
+            ends.append(total + np.searchsorted(np.cumsum(self.lengths[part]), np.cumsum(lengths)) + 1)
+            ids.append(part)
+            total += len(part)
+            at = stop
+        return alone + together, np.concatenate([*ids, np.zeros(0, np.uint32)]), np.concatenate(ends)
+
+    def encode(self, segments: list[str], joined_chars: int = 1 << 16) -> list[bytes]:
+        """The ids of each segment as little-endian unsigned 32-bit integers."""
+        order, ids, ends = self._spans(segments, joined_chars)
+        data, found, start = ids.astype("<u4").tobytes(), [b""] * len(segments), 0
+        for i, end in zip(order, (ends * 4).tolist()):
+            found[i] = data[start:end]
+            start = end
         return found
 
+    def count(self, segments: list[str], joined_chars: int = 1 << 16) -> list[int]:
+        order, _, ends = self._spans(segments, joined_chars)
+        counts = np.zeros(len(segments), np.int64)
+        counts[order] = np.diff(ends, prepend=0)
+        return counts.tolist()
+
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids

@@ -87,8 +87,7 @@ class Windows:
 
 @cache
 def _ids(path: str) -> Segments:
-    encode = ByteLevel(path)
-    return Segments(lambda segments: [ids.astype("<u4").tobytes() for ids in encode(segments)], b"".join)
+    return Segments(ByteLevel(path).encode, b"".join)
 
 
 class _Rows:

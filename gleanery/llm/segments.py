@@ -16,13 +16,13 @@ import regex
 
 #: White space in some reading of Unicode, at which no segment may start or end.
 ODD = r"\s\x1c-\x1f\x85᠎​﻿"
-EDGE = regex.compile(rf"\A[{ODD}]|[{ODD}]\Z|\A\Z")
+ODD_CHARS = frozenset(regex.findall(rf"[{ODD}]", "".join(map(chr, range(0x10000)))))
 SAFE = regex.compile(rf"(?<=[^{ODD}])(?=\x20[^{ODD}])")
 #: Characters encoded in one call, about; bytes of texts whose segments are looked up together.
 CALL_CHARS = 1 << 16
 BATCH_BYTES = 2 << 20
 #: Segments remembered in one generation, of 16 characters on average; two generations are kept.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: A longer text is encoded in stretches and not split into words.
 LONG_CHARS = 1 << 20
 
@@ -57,8 +57,8 @@ class Segments:
 
     def __init__(self, encode: Callable[[list[str]], list], join: Callable, size: int = REMEMBERED):
         self.encode, self.join, self.size = encode, join, size
-        # Key: the word after the space, or "\n" and the first word, which has none before it.
-        self.now: dict[str, object] = {"\n": None}
+        # Key: the word after the space, or a space and the first word, which has none before it.
+        self.now: dict[str, object] = {}
         self.old: dict[str, object] = {}
         self.chars = 0
 
@@ -69,12 +69,12 @@ class Segments:
         for word in words - self.now.keys():
             if word in self.old:
                 self.now[word] = self.old[word]
-            elif EDGE.search(word[1:] if word[:1] == "\n" and len(word) > 1 else word):
+            elif not word or word[-1] in ODD_CHARS or word[0] in ODD_CHARS and (word[0] != " " or word == " "):
                 self.now[word] = None  # no segment
             else:
                 new.append(word)
         self.chars += sum(map(len, new))
-        self.now.update(zip(new, self.encode([w[1:] if w[0] == "\n" else " " + w for w in new])))
+        self.now.update(zip(new, self.encode([w[1:] if w[0] == " " else " " + w for w in new])))
 
     def _alone(self, text: str) -> list:
         return [value for stretch in cut(text) for value in self.encode([stretch])]
@@ -82,11 +82,11 @@ class Segments:
     def of(self, texts: list[str]) -> Iterator:
         split = [text.split(" ") if len(text) <= LONG_CHARS else None for text in texts]
         for words in filter(None, split):
-            words[0] = "\n" + words[0]
+            words[0] = " " + words[0]
         self._learn(set().union(*filter(None, split)))
         for text, words in zip(texts, split):
             values = [None]
             if words:
                 # A text that starts with a space has an empty first word; alone, it is the empty text.
-                values = list(map(self.now.__getitem__, words[1:] if words[0] == "\n" else words))
+                values = list(map(self.now.__getitem__, words[1:] if words[0] == " " else words))
             yield self.join(self._alone(text) if None in values else values)

@@ -15,8 +15,7 @@ from .segments import Segments, balanced
 
 @cache
 def _counts(path: str) -> Segments:
-    encode = ByteLevel(path)
-    return Segments(lambda segments: [len(ids) for ids in encode(segments)], sum)
+    return Segments(ByteLevel(path).count, sum)
 
 
 def token_counts(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", limit: int = 1024) -> DataFrame:
