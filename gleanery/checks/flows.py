@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import insert_ignore
+from ..operators import with_fetch
 from ..plans import actives, news, vacancies
+from ..session import scratch_path
+from ..sources import TableStore
 from .base import Registry, table
 
 checks = Registry()
 QUERIES, ORACLES = checks.queries, checks.oracles
 
 ENDED = "2023-01-01"
+NEWS_INTERVAL = "2023-04-30 14:00:00+03:00"
 
 
 def _ended(condition):
@@ -33,11 +36,18 @@ def page_entries(spark, sf_dir):
         F.concat(F.lit("  "), F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1), F.lit(" ")).alias("title"),
         F.col("html").alias("content"),
         "page_id",
+        F.lit(0).alias("topic_no"),
+        F.lit(0).alias("feed_no"),
+        F.lit("0-0").alias("feed_key"),
+        F.col("page_id").cast("int").alias("entry_no"),
     )
 
 
 def page_manifest(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
+        F.lit(NEWS_INTERVAL).alias("interval"),
+        F.lit("0-0").alias("feed_key"),
+        F.col("page_id").cast("int").alias("entry_no"),
         "url",
         F.when(F.pmod("page_id", F.lit(4)) == 0, 404).otherwise(200).alias("status"),
         F.concat(F.lit("html/"), "page_id").alias("s3_key"),
@@ -58,17 +68,44 @@ NEWS_COLUMNS = ("hash", "topic", "keyword", "url", "date", "domain", "title", "c
 
 def news_rows(spark, sf_dir):
     return news.transform_news(
-        page_entries(spark, sf_dir), page_manifest(spark, sf_dir), "2023-04-30 14:00:00+03:00", "bucket"
+        page_entries(spark, sf_dir), page_manifest(spark, sf_dir), NEWS_INTERVAL, "bucket"
     )
 
 
-@checks.add(SQL_NEWS)
+@checks.add(f"""
+    SELECT hash, topic, keyword, url, date, domain, content, s3_key, created_at,
+        CASE WHEN date < DATE '2023-02-01' THEN 'stored: ' ELSE 'first: ' END || title AS title,
+        CASE WHEN date < DATE '2023-02-01' AND s3_key IS NULL THEN TIMESTAMP '2023-01-01' END AS deleted_at,
+        (SELECT 2 * count(*) FROM pages) AS batch
+    FROM ({SQL_NEWS})
+""")
 def news_load(spark, sf_dir):
-    """Rows landed twice, added to a table that holds a part of them already."""
+    """A batch in which every entry stands twice, added to a table that holds a part of the news."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    titled = lambda rows, text: rows.withColumn("title", F.concat(F.lit(text), "title"))
     rows = news_rows(spark, sf_dir)
-    stored = rows.where("date < date'2023-02-01'").withColumn("deleted_at", _ended(F.col("s3_key").isNull()))
-    state = insert_ignore(stored, rows.unionByName(rows), "hash", *news.first_entry())
-    return state.select(*NEWS_COLUMNS)
+    stored = titled(rows, "stored: ").where("date < date'2023-02-01'")
+    store.append(news.TABLE, stored.withColumn("deleted_at", _ended(F.col("s3_key").isNull())))
+    # The second copy has the smaller title, but comes from a later feed.
+    later = F.struct(F.col("place.topic_no"), F.lit(1).alias("feed_no"), F.col("place.entry_no"))
+    again = titled(rows, "again: ").withColumn("place", later)
+    size, _ = news.load_news(store, again.unionByName(titled(rows, "first: ")))
+    return store.read(news.TABLE).select(*NEWS_COLUMNS, "deleted_at", F.lit(size).cast("bigint").alias("batch"))
+
+
+@checks.add("""
+    SELECT page_id, url, CASE WHEN page_id % 3 <> 0 THEN 'late/' || page_id END AS s3_key FROM pages
+""")
+def fetch_of_two_runs(spark, sf_dir):
+    """Entries that two runs fetched, under keys of either run; the earlier run's would sort first."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.lit("0-0").alias("feed_key"), F.col("page_id").cast("int").alias("entry_no"))
+
+    def fetched(interval, prefix, status):
+        return pages.select(F.lit(interval).alias("interval"), "feed_key", "entry_no", status.alias("status"), F.concat(F.lit(prefix), "page_id").alias("s3_key"))
+
+    late = fetched("2023-02-01", "late/", F.when(F.pmod("page_id", F.lit(3)) == 0, 404).otherwise(200))
+    manifest = fetched("2023-01-01", "early/", F.lit(200)).unionByName(late)
+    return with_fetch(pages, manifest, ("feed_key", "entry_no"), "2023-02-01").select("page_id", "url", "s3_key")
 
 
 @checks.add(f"""
@@ -112,9 +149,9 @@ def _vacancy_documents(spark, sf_dir):
         named(F.col("o_orderpriority")).alias("experience"),
         named(F.lit("")).alias("schedule"),
         named(F.col("o_orderstatus")).alias("employment"),
-        # Customers of the nations 20 and above are in areas the tree does not have.
+        # Customers in debt are in areas the tree does not have.
         F.struct(
-            F.concat(F.when(F.col("c_nationkey") < 20, "n").otherwise("?"), "c_nationkey").alias("id")
+            F.concat(F.when(F.col("c_acctbal") < 0, "?").otherwise("n"), "c_nationkey").alias("id")
         ).alias("area"),
         F.lit("https://example.org/v").alias("alternate_url"),
         F.array(F.struct(F.lit("7").alias("id"), F.col("c_mktsegment").alias("name"))).alias("professional_roles"),
@@ -132,7 +169,7 @@ def _areas(spark, sf_dir):
     regions = table(spark, sf_dir, "region").select(
         F.concat(F.lit("r"), "r_regionkey").alias("id"), country.alias("parent_id"), F.col("r_name").alias("name")
     )
-    nations = table(spark, sf_dir, "nation").where("n_nationkey < 20").select(
+    nations = table(spark, sf_dir, "nation").select(
         F.concat(F.lit("n"), "n_nationkey").alias("id"),
         F.concat(F.lit("r"), "n_regionkey").alias("parent_id"),
         F.col("n_name").alias("name"),
@@ -174,7 +211,7 @@ def spark_rates(spark, sf_dir):
             CASE o_orderpriority WHEN '1-URGENT' THEN o_totalprice * 2 ELSE o_totalprice * 2 * rate END END AS salary_to,
         CASE WHEN has THEN 'RUR' END AS salary_currency, CASE WHEN has AND o_orderstatus = 'O' THEN true END AS salary_gross,
         o_orderpriority AS experience, CAST(NULL AS VARCHAR) AS schedule, o_orderstatus AS employment,
-        CASE WHEN n_nationkey < 20 AND r_name <> 'ASIA' THEN CAST(r_regionkey + 1 AS BIGINT) END AS federal_region_id,
+        CASE WHEN c_acctbal >= 0 AND r_name <> 'ASIA' THEN CAST(r_regionkey + 1 AS BIGINT) END AS federal_region_id,
         'vacancies/' || o_orderkey AS s3_key, 'ab; ' || o_orderstatus AS skills, '7 ' || c_mktsegment AS roles
     FROM paid
 """)
@@ -193,7 +230,7 @@ def vacancy_rows(spark, sf_dir):
     WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '4-NOT SPECIFIED')
     UNION ALL
     SELECT 'area', '?' || c_nationkey, count(*) FROM orders JOIN customer ON c_custkey = o_custkey
-    WHERE c_nationkey >= 20 GROUP BY c_nationkey
+    WHERE c_acctbal < 0 GROUP BY c_nationkey
 """)
 def vacancy_rejects(spark, sf_dir):
     _, rejects = _transformed(spark, sf_dir)
@@ -349,17 +386,21 @@ def actives_rejects(spark, sf_dir):
     return actives.transform_actives(_hits(spark, sf_dir), _types(spark, sf_dir), "bucket", "2023-04-15")[1]
 
 
+def _codes(spark, sf_dir):
+    code = F.concat(F.floor(F.col("p_partkey") / 10).cast("string"), F.lit("."), F.pmod("p_partkey", F.lit(10)).cast("string"))
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), F.when(F.col("p_size") > 40, F.concat(F.lit("x"), code)).otherwise(code).alias("code")
+    )
+
+
 @checks.add("""
     SELECT CAST(o_orderkey AS VARCHAR) AS object_id, p_partkey AS oecd_id
-    FROM orders JOIN part ON p_partkey = (o_custkey % 7) * 10 + o_orderkey % 9 AND p_partkey < 50
+    FROM orders JOIN part ON p_partkey = (o_custkey % 7) * 10 + o_orderkey % 9 AND p_size <= 40
 """)
 def actives_bridge(spark, sf_dir):
-    """Bridge rows over a dictionary of the codes 0.0 to 4.9; the codes from 5.0 on are rejected."""
+    """Bridge rows over a dictionary with a code for each part; those of large parts are written differently."""
     rows, _ = actives.transform_actives(_hits(spark, sf_dir), _types(spark, sf_dir), "bucket", "2023-04-15")
-    codes = table(spark, sf_dir, "part").where("p_partkey < 50").select(
-        F.col("p_partkey").alias("id"),
-        F.concat(F.floor(F.col("p_partkey") / 10).cast("string"), F.lit("."), F.pmod("p_partkey", F.lit(10)).cast("string")).alias("code"),
-    )
+    codes = _codes(spark, sf_dir)
     parents, bridge, _ = actives.split_actives(rows, codes)
     return bridge.join(parents, bridge["active_id"] == parents["id"]).select("object_id", "oecd_id")
 

@@ -71,7 +71,7 @@ def hierarchy_region(spark, sf_dir):
         .unionByName(level("nation", "n", "n_nationkey", F.concat(F.lit("r"), "n_regionkey"), "n_name"))
         .unionByName(level("customer", "c", "c_custkey", F.concat(F.lit("n"), "c_nationkey"), "c_name"))
     )
-    return climb_to_top(nodes, "World", max_depth=4)
+    return climb_to_top(nodes, "World")
 
 
 # Each part name against one edited name per brand; the SQL fills the LCS table row by row: a

@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import strip_ws, unwrap_redirect
 from ..operators import export_csv, keyed_replace, snapshot_replace
 from ..operators.export import CSV_OPTIONS, drop_audit
 from ..plans import news, rates
 from ..session import scratch_path
-from ..sources import TableStore, read_atom, read_rates, write_documents, write_intervals, write_staged
+from ..sources import (
+    TableStore,
+    read_atom,
+    read_documents,
+    read_rates,
+    read_staged,
+    write_documents,
+    write_intervals,
+    write_staged,
+)
+from ..sources.feeds import numbered
 from ..streaming import atom_stream, ingest
 from .base import Registry, table
-from .flows import NEWS_COLUMNS, SQL_NEWS, page_entries, page_manifest
+from .flows import NEWS_COLUMNS, NEWS_INTERVAL, SQL_NEWS, page_entries, page_manifest
 
 checks = Registry()
 QUERIES, ORACLES = checks.queries, checks.oracles
@@ -34,17 +45,18 @@ def staged_intervals(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").withColumn("interval_end", end)
     path = scratch_path(spark, "staged")
     write_intervals(turns, path)
-    staged = spark.read.schema("conv_id BIGINT, turn BIGINT, role STRING, text STRING, interval STRING")
-    return staged.json(path)
+    return read_staged(spark, path, "conv_id BIGINT, turn BIGINT, role STRING, text STRING, interval STRING")
 
 
 @checks.add("""
-    SELECT DISTINCT ON (conv_id) conv_id, turn, role, text FROM conversations ORDER BY conv_id, turn DESC
+    SELECT DISTINCT ON (conv_id) conv_id, turn, role, text, true AS has_path FROM conversations ORDER BY conv_id, turn DESC
 """)
 def document_files(spark, sf_dir):
     path = scratch_path(spark, "documents")
-    write_documents(table(spark, sf_dir, "conversations"), path, "conv_id", "turn")
-    return spark.read.schema("conv_id BIGINT, turn BIGINT, role STRING, text STRING").json(path)
+    write_documents(table(spark, sf_dir, "conversations").repartition(3), path, "conv_id", "turn")
+    schema = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
+    documents = read_documents(spark, path, schema, lineage="path", lines=True)
+    return documents.select("conv_id", "turn", "role", "text", F.coalesce(F.col("path").endswith(".json"), F.lit(False)).alias("has_path"))
 
 
 def _land_feeds(spark, sf_dir, copies: int = 1) -> str:
@@ -63,11 +75,15 @@ def _land_feeds(spark, sf_dir, copies: int = 1) -> str:
 
 
 def _prepared(spark, sf_dir):
-    manifest = page_manifest(spark, sf_dir)
+    """News rows of landed entries; the fetches are filed under each entry's place in its feed."""
+    fetched = page_manifest(spark, sf_dir).select("interval", "url", "status", "s3_key")
 
     def prepare(entries):
-        topical = entries.withColumns({"topic": F.lit("наука"), "keyword": F.lit("вуз")})
-        return news.transform_news(topical, manifest, "2023-04-30 14:00:00+03:00", "bucket")
+        topical = entries.withColumns(
+            {"topic": F.lit("наука"), "keyword": F.lit("вуз"), "topic_no": F.lit(0), "feed_no": F.lit(0), "feed_key": F.col("feed_file")}
+        )
+        urls = topical.select("feed_key", "entry_no", unwrap_redirect(strip_ws(F.col("href"))).alias("url"))
+        return news.transform_news(topical, urls.join(fetched, "url"), NEWS_INTERVAL, "bucket")
 
     return prepare
 
@@ -82,7 +98,7 @@ def xml_feed(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Every entry lands twice, in files that come in different micro-batches."""
     feeds = _land_feeds(spark, sf_dir, copies=2)
-    store = TableStore(spark, scratch_path(spark, "store"))
+    store, prepare = TableStore(spark, scratch_path(spark, "store")), _prepared(spark, sf_dir)
     ingest(
         atom_stream(spark, feeds, files_per_batch=1),
         store,
@@ -90,7 +106,7 @@ def stream_ingest(spark, sf_dir):
         "hash",
         news.first_entry(),
         scratch_path(spark, "stream"),
-        _prepared(spark, sf_dir),
+        lambda batch: prepare(numbered(batch)),
     ).awaitTermination()
     return store.read(news.TABLE).select(*NEWS_COLUMNS)
 
@@ -149,5 +165,5 @@ def stored_history(spark, sf_dir):
 @checks.add("SELECT doc_id, text, lang FROM documents")
 def staged_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "staged")
-    write_staged(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), path)
-    return spark.read.schema("doc_id BIGINT, text STRING, lang STRING").json(path)
+    write_staged(table(spark, sf_dir, "documents").select("doc_id", "text", "lang").repartition(3), path)
+    return read_staged(spark, path, "doc_id BIGINT, text STRING, lang STRING")

@@ -8,19 +8,21 @@ from pyspark.sql import functions as F
 from ..functions.text import concat_skip_null
 
 
-def agg_text(df: DataFrame, by: list[str], col: str, out: str, sep: str = "; ") -> DataFrame:
+def agg_text(df: DataFrame, by: list[str], col: str, out: str, sep: str = "; ", hot: bool = False) -> DataFrame:
     """Join the texts of each group, NULLs left out, repeats kept, in text order.
 
-    Equal texts are counted first (combined map-side, then spread over tasks by key *and* text)
-    and repeated only when the group's text is put together, so a key with very many rows is
-    never gathered row by row. A group of NULLs only gives NULL.
+    Rows move once, by key. With ``hot``, for keys with very many rows, equal texts are counted first
+    (combined map-side, then spread over tasks by key *and* text) and repeated only when the group's
+    text is put together. A group of NULLs only gives NULL.
     """
+    quoted = sep.replace("'", "''")
+    if not hot:
+        return df.groupBy(*by).agg(F.expr(f"listagg(`{col}`, '{quoted}') within group (order by `{col}`)").alias(out))
     counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
     again = F.repeat(F.concat(F.lit(sep), F.col(col)), (F.col("_n") - 1).cast("int"))
     # Distinct texts cannot be combined any further, so they are moved by key as they are
     # instead of being put into partial lists first.
     runs = counts.withColumn("_run", F.concat(F.col(col), again)).repartition(*by)
-    quoted = sep.replace("'", "''")
     joined = F.expr(f"listagg(_run, '{quoted}') within group (order by `{col}`)")
     return runs.groupBy(*by).agg(joined.alias(out))
 

@@ -5,44 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+from .skew import spread
 
-def climb_to_top(nodes: DataFrame, root_name: str, max_depth: int = 5) -> DataFrame:
+
+def climb_to_top(nodes: DataFrame, root_name: str) -> DataFrame:
     """For each node of ``(id, parent_id, name)`` the name of its ancestor just below the root.
 
-    Returns ``id, top_name``: NULL for a root and for nodes whose root has another name. One
-    equi join per level moves all nodes up at once, so the dictionary may be of any size; facts
-    are joined to the result by id. A path longer than ``max_depth`` nodes, or a cycle, fails
-    the query, as does a parent that is not in the dictionary.
+    Returns ``id, top_name``: NULL for a root and for nodes whose root has another name. Each step
+    doubles the distance climbed, so a path of any length takes a number of equi joins that is the
+    logarithm of its length; the dictionary may be of any size, and facts are joined to the result
+    by id. A cycle fails, as does a parent that is not in the dictionary.
     """
-    up = nodes.select(
-        F.col("id").alias("_id"),
-        F.col("parent_id").alias("_up"),
-        F.col("name").alias("_name"),
-    )
-    # (below, at): the node just passed and the one reached; climbing ends at a node without parent.
-    climbing = nodes.select(
+    shared_dir(nodes.sparkSession)
+    known = nodes.select(F.col("id").alias("_id"), F.col("name").alias("_name"))
+    parents = nodes.join(spread(known, "_id"), F.col("parent_id") == F.col("_id"), "left")
+    lost = F.raise_error(F.concat(F.lit("no node with id "), F.col("parent_id").cast("string")))
+    at = F.when(F.col("parent_id").isNull(), F.col("id")).when(F.col("_id").isNull(), lost.cast("string")).otherwise(F.col("_id"))
+    # (at, below): the node reached, and the name of the one just below it on the way.
+    climbing = parents.select(
         "id",
-        F.lit(None).cast("string").alias("below_name"),
-        F.col("name").alias("at_name"),
-        F.col("parent_id").alias("next_id"),
-    )
-    for _ in range(max_depth - 1):
-        moved = climbing.join(up, F.col("next_id") == F.col("_id"), "left")
-        stays = F.col("next_id").isNull()
-        found = F.col("_id").isNotNull()
-        lost = F.raise_error(F.concat(F.lit("no node with id "), F.col("next_id").cast("string")))
-        climbing = moved.select(
-            "id",
-            F.when(stays, F.col("below_name")).otherwise(F.col("at_name")).alias("below_name"),
-            F.when(stays, F.col("at_name"))
-            .when(found, F.col("_name"))
-            .otherwise(lost.cast("string"))
-            .alias("at_name"),
-            F.when(~stays, F.col("_up")).alias("next_id"),
-        )
-    deep = F.raise_error(F.concat(F.lit("hierarchy too deep at "), F.col("id").cast("string")))
-    top = (
-        F.when(F.col("next_id").isNotNull(), deep.cast("string"))
-        .when(F.col("at_name") == root_name, F.col("below_name"))
-    )
-    return climbing.select("id", top.alias("top_name"))
+        at.cast(nodes.schema["id"].dataType).alias("at"),
+        F.when(F.col("parent_id").isNotNull(), F.col("name")).alias("below"),
+        F.col("parent_id").isNull().alias("is_root"),
+    ).checkpoint()
+    steps = climbing.count().bit_length() + 1
+    while climbing.where("NOT is_root").join(climbing.where("is_root").select(F.col("id").alias("at")), "at", "left_anti").limit(1).count():
+        if not steps:
+            raise ValueError("the hierarchy has a cycle")
+        steps -= 1
+        reached = climbing.select(F.col("id").alias("_id"), F.col("at").alias("_at"), F.col("below").alias("_below"))
+        moved = climbing.join(spread(reached, "_id"), F.col("at") == F.col("_id"))
+        climbing = moved.select("id", F.col("_at").alias("at"), F.coalesce("_below", "below").alias("below"), "is_root").checkpoint()
+    top = climbing.join(spread(known, "_id"), F.col("at") == F.col("_id"))
+    return top.select("id", F.when(F.col("_name") == root_name, F.col("below")).alias("top_name"))

@@ -16,13 +16,20 @@ from .skew import spread
 
 
 def lookup(
-    df: DataFrame, dictionary: DataFrame, key: str, dict_key: str, values: dict[str, str], strict: bool = False
+    df: DataFrame,
+    dictionary: DataFrame,
+    key: str,
+    dict_key: str,
+    values: dict[str, str],
+    strict: bool = False,
+    of: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Add dictionary columns (``{dictionary column: new column}``) by key.
 
     ``dictionary`` holds one row per key. Returns the rows (NULL where the key is missing) and
     the rejects: each non-NULL key not in the dictionary with its number of rows. With
-    ``strict`` a missing key fails the query instead.
+    ``strict`` a missing key fails the query instead. ``of`` is an earlier state of the same rows
+    that has the key: the rejects are counted there, without the look-ups in between.
     """
     columns = dictionary.select(
         F.col(dict_key).alias("_key"), *[F.col(c).alias(new) for c, new in values.items()]
@@ -35,7 +42,7 @@ def lookup(
         # Every row passes the check, and the check is in the filter, which pruning cannot drop.
         joined = joined.where(F.when(missing, F.raise_error(message).cast("boolean")).otherwise(True))
     rejects = (
-        df.where(F.col(key).isNotNull())
+        (df if of is None else of).where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("key"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .join(entries, F.col("key") == F.col("_key"), "left_anti")
@@ -44,12 +51,12 @@ def lookup(
 
 
 def org_list(bridge: DataFrame, orgs: DataFrame) -> DataFrame:
-    """Live organisations registered with the search service, in order."""
+    """Live organisations registered with the search service."""
     registered = live(bridge).select(
         F.col("id").alias("rosrid_university_id"), "university_id", "rosrid_id"
     )
     known = live(orgs).select(F.col("id").alias("university_id"), "ogrn")
-    return registered.join(known, "university_id").orderBy("university_id", "rosrid_university_id")
+    return registered.join(known, "university_id")
 
 
 def with_children(df: DataFrame, *aggregates: DataFrame, on: str) -> DataFrame:
@@ -57,7 +64,12 @@ def with_children(df: DataFrame, *aggregates: DataFrame, on: str) -> DataFrame:
     return reduce(lambda left, right: left.join(right, on), aggregates, df)
 
 
-def with_fetch(entries: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Attach the stored key of each article; NULL unless it was fetched with status 200."""
-    fetched = manifest.where("status = 200").groupBy("url").agg(F.min("s3_key").alias("s3_key"))
-    return entries.join(spread(fetched, "url"), "url", "left")
+def with_fetch(entries: DataFrame, manifest: DataFrame, on: tuple[str, ...] = ("url",), interval: str | None = None) -> DataFrame:
+    """Attach the stored key of each article; NULL unless it was fetched with status 200.
+
+    ``interval`` names the run whose fetches count; without it the manifest must be of one run. A run
+    that was tried again leaves the smallest key.
+    """
+    mine = manifest if interval is None else manifest.where(F.col("interval") == interval)
+    fetched = mine.where("status = 200").groupBy(*on).agg(F.min("s3_key").alias("s3_key"))
+    return entries.join(spread(fetched, on[0]), list(on), "left")

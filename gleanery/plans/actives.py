@@ -28,7 +28,7 @@ from ..operators import (
     total_items,
     unnest_map,
 )
-from ..sources import TableStore, stage
+from ..sources import TableStore, gate, merge_hits, stage
 
 TABLE, BRIDGE = "rosrid_active", "rosrid_active_oecd"
 
@@ -43,6 +43,16 @@ def documents_of_hits(requests: DataFrame, hits: DataFrame) -> DataFrame:
     return found.join(requests, "rosrid_id")
 
 
+def hits_of_pages(pages: DataFrame, requests: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows of landed search pages with their organisation, and the searches that lack pages.
+
+    The hits of such a search are held back; with ``strict`` it fails the query.
+    """
+    hits, completeness = merge_hits(pages)
+    whole, lacking = gate(hits, completeness, ["org_id", "type"], strict)
+    return documents_of_hits(requests, whole), lacking
+
+
 def hits_of_documents(documents: DataFrame) -> DataFrame:
     """Rows ``(organisation, kind, ordinal, item)`` of landed documents, one per organisation."""
     return unnest_map(documents, "actives")
@@ -107,19 +117,19 @@ def load_actives(
     A load that is run again with the same ``now`` leaves the same tables.
     """
     at = naive_timestamp(F.lit(now))
-    batch, size = stage(rows.withColumn("created_at", at), "actives")
-    if size == 0:
-        return 0
-    parents, bridge, _ = split_actives(batch, codes)
-    store.append(BRIDGE, not_yet_stored(store.read(BRIDGE), bridge, "active_id"))
-    stored = store.read_live(TABLE) if only_live else store.read(TABLE)
-    before = stored.where(~F.col("created_at").eqNullSafe(at))
-    state = keyed_replace(before, parents, "object_id", now, only_live)
-    if only_live:
-        store.replace_live(TABLE, state)
-    else:
-        store.replace(TABLE, state)
-    return size
+    with stage(rows.withColumn("created_at", at), "actives") as (batch, size):
+        if size == 0:
+            return 0
+        parents, bridge, _ = split_actives(batch, codes)
+        store.append(BRIDGE, not_yet_stored(store.read(BRIDGE), bridge, "active_id"))
+        stored = store.read_live(TABLE) if only_live else store.read(TABLE)
+        before = stored.where(~F.col("created_at").eqNullSafe(at))
+        state = keyed_replace(before, parents, "object_id", now, only_live)
+        if only_live:
+            store.replace_live(TABLE, state)
+        else:
+            store.replace(TABLE, state)
+        return size
 
 
 def actives_report(

@@ -25,15 +25,22 @@ TABLE = "google_alerts_newsfeed"
 
 
 def entries_of_feeds(entries: DataFrame, feeds: DataFrame) -> DataFrame:
-    """Give each entry the topic and keyword of its feed, by the name of the landed file."""
-    return entries.join(feeds.select("feed_file", "topic", "keyword"), "feed_file")
+    """Give each entry the topic, keyword and place of its feed, by the name of the landed file."""
+    return entries.join(feeds.select("feed_file", "topic", "keyword", "topic_no", "feed_no", "feed_key"), "feed_file")
 
 
 def transform_news(
     entries: DataFrame, manifest: DataFrame, interval_end: str, bucket: str
 ) -> DataFrame:
-    """News rows from entries with ``topic, keyword, href, published, title, content``."""
+    """News rows from entries as ``entries_of_feeds`` gives them.
+
+    Fetches are those of the run that ends at ``interval_end``, by feed and entry: an article that
+    another run fetched too has another key there.
+    """
     rows = entries.select(
+        F.struct("topic_no", "feed_no", "entry_no").alias("place"),
+        "feed_key",
+        "entry_no",
         "topic",
         "keyword",
         unwrap_redirect(strip_ws(F.col("href"))).alias("url"),
@@ -41,7 +48,7 @@ def transform_news(
         strip_ws(F.col("title")).alias("title"),
         "content",
     )
-    fetched = with_fetch(rows, manifest).withColumns(
+    fetched = with_fetch(rows, manifest, ("feed_key", "entry_no"), interval_end).drop("feed_key", "entry_no").withColumns(
         {
             "created_at": naive_timestamp(F.lit(interval_end)),
             "hash": md5_key(F.col("topic"), F.col("keyword"), F.col("url")),
@@ -54,16 +61,16 @@ def transform_news(
 
 
 def first_entry() -> list[Column]:
-    """Order of the entries of one batch that share a hash."""
-    return [F.col(c).asc_nulls_last() for c in ("date", "title", "content", "topic", "keyword")]
+    """Order of the entries of one batch that share a hash: that of the feeds and of the entries in them."""
+    return [F.col(c).asc_nulls_last() for c in ("place", "date", "title", "content")]
 
 
-def load_news(store: TableStore, rows: DataFrame) -> int:
-    """Add the rows with a new hash; returns how many."""
-    batch, _ = stage(rows, "news")
-    fresh, seen = counted(new_rows(store.read(TABLE), batch, "hash", *first_entry()))
-    store.append(TABLE, fresh)
-    return seen.get["rows"]
+def load_news(store: TableStore, rows: DataFrame) -> tuple[int, int]:
+    """Add the rows with a new hash; returns the batch's size, on which a report is refreshed, and how many were new."""
+    with stage(rows, "news") as (batch, size):
+        fresh, seen = counted(new_rows(store.read(TABLE), batch, "hash", *first_entry()))
+        store.append(TABLE, fresh)
+        return size, seen.get["rows"]
 
 
 def news_report(table: DataFrame, now: datetime | str) -> DataFrame:

@@ -24,24 +24,32 @@ def transform_rates(sheet: DataFrame, interval_end: str) -> DataFrame:
             "value": unit_rate(F.col("value"), F.col("nominal")),
             "nominal": F.lit(1),
             "created_at": naive_timestamp(F.lit(interval_end)),
-            "id": surrogate_key("currency_id", "date"),
         }
     )
 
 
-def load_rates(store: TableStore, rows: DataFrame) -> int:
-    """Append; the table has no key, so a day loaded twice is there twice."""
-    batch, seen = counted(rows)
+def load_rates(store: TableStore, rows: DataFrame, now: str) -> int:
+    """Append; the table has no key, so a day loaded twice is there twice, told apart by the load's time."""
+    at = naive_timestamp(F.lit(now))
+    loaded = rows.withColumn("loaded_at", at)
+    batch, seen = counted(loaded.withColumn("id", surrogate_key("currency_id", "date", "loaded_at")))
     store.append(TABLE, batch)
     return seen.get["rows"]
 
 
 def latest_rates(table: DataFrame) -> DataFrame:
-    """The newest rate per currency."""
+    """The newest rate per currency: of the last day, and of its loads the last one.
+
+    A table without load times is ordered by id instead; the value is the last resort, so the result
+    never depends on the order of rows.
+    """
+    loaded = F.col("loaded_at") if "loaded_at" in table.columns else F.lit(None).cast("timestamp_ntz")
     newest = latest_per_key(
-        table.select("id", "char_code", "value", "date"),
+        table.select("id", "char_code", "value", "date", loaded.alias("loaded_at")),
         ["char_code"],
         F.col("date").desc_nulls_first(),
+        F.col("loaded_at").desc_nulls_last(),
         F.col("id").desc(),
+        F.col("value").desc(),
     )
     return newest.select("id", "char_code", "value")

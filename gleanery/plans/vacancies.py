@@ -29,10 +29,12 @@ from ..operators import (
     salary_fields,
     snapshot_replace,
     split_parent_child,
+    surrogate_key,
     with_children,
 )
-from ..operators.skew import spread
-from ..sources import TableStore, stage
+from ..operators.dedupe import latest_document
+from ..operators.skew import distinct_keys, spread
+from ..sources import TableStore, gate, merge_pages, stage
 from .rates import latest_rates
 
 TABLE, SKILLS, ROLES = "hh_vacancy", "hh_skill", "hh_professional_role"
@@ -52,9 +54,9 @@ OPTIONAL = [
 ]
 
 
-def area_regions(areas: DataFrame, regions: DataFrame, max_depth: int = 5) -> DataFrame:
+def area_regions(areas: DataFrame, regions: DataFrame) -> DataFrame:
     """Region of each area: ``area_id, federal_region_id, score``, resolved once per name."""
-    tops = climb_to_top(areas, COUNTRY, max_depth)
+    tops = climb_to_top(areas, COUNTRY)
     nearest = nearest_name(tops, "top_name", live(regions).select("id", "title"))
     matched = tops.join(spread(nearest, "name"), F.col("top_name") == F.col("name"), "left")
     return matched.select(
@@ -62,6 +64,23 @@ def area_regions(areas: DataFrame, regions: DataFrame, max_depth: int = 5) -> Da
     )
 
 
+def listed_vacancies(pages: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Open items of the organisations' paged lists, ``employer_id, item``, and the lists that lack pages.
+
+    The items of such a list are held back, since a snapshot load would end the vacancies that are
+    missing; with ``strict`` it fails the query.
+    """
+    items, completeness = merge_pages(pages, ["employer_id"])
+    whole, lacking = gate(items, completeness, ["employer_id"], strict)
+    return whole.where(F.col("item.type.id") != "closed").select("employer_id", "item"), lacking
+
+
+def documents_of_list(items: DataFrame, documents: DataFrame, *fetch_order: str) -> DataFrame:
+    """The last fetched document of each listed vacancy."""
+    last = latest_document(documents, "id", *fetch_order)
+    return last.join(distinct_keys(items.select(F.col("item.id").alias("id")), "id"), "id", "left_semi")
+
+
 def transform_vacancies(
     documents: DataFrame,
     rates: DataFrame,
@@ -87,7 +106,7 @@ def transform_vacancies(
     )
     priced, no_rate = lookup(flat, latest_rates(rates), "_currency", "char_code", {"value": "_rate"}, strict)
     placed, no_area = lookup(
-        priced, area_region, "_area", "area_id", {"federal_region_id": "federal_region_id"}, strict
+        priced, area_region, "_area", "area_id", {"federal_region_id": "federal_region_id"}, strict, of=flat
     )
 
     def rubles(amount: str):
@@ -129,22 +148,22 @@ def load_vacancies(store: TableStore, rows: DataFrame, now: str) -> int:
     children and replaces the vacancies of its first try.
     """
     at = naive_timestamp(F.lit(now))
-    batch, size = stage(rows.withColumn("created_at", at), "vacancies")
-    parents, children = split_parent_child(
-        batch,
-        ["hh_id", "created_at"],
-        {"skills": ["title"], "professional_roles": ["hh_professional_role_dict_id", "title"]},
-        "vacancy_id",
-    )
-    skills = children["skills"].withColumns({"created_at": at, "id": F.xxhash64("vacancy_id", "ordinal")})
-    roles = children["professional_roles"].withColumn("created_at", at)
-    for name, child in ((SKILLS, skills), (ROLES, roles)):
-        # The filter on the load's time keeps other loads' rows out of the read.
-        earlier = store.read(name).where(F.col("created_at") == at)
-        store.append(name, not_yet_stored(earlier, child, "vacancy_id"))
-    before = store.read_live(TABLE).where(~F.col("created_at").eqNullSafe(at))
-    store.replace_live(TABLE, snapshot_replace(before, parents, now))
-    return size
+    with stage(rows.withColumn("created_at", at), "vacancies") as (batch, size):
+        parents, children = split_parent_child(
+            batch,
+            ["hh_id", "created_at"],
+            {"skills": ["title"], "professional_roles": ["hh_professional_role_dict_id", "title"]},
+            "vacancy_id",
+        )
+        skills = children["skills"].withColumns({"created_at": at, "id": surrogate_key("vacancy_id", "ordinal")})
+        roles = children["professional_roles"].withColumn("created_at", at)
+        for name, child in ((SKILLS, skills), (ROLES, roles)):
+            # The filter on the load's time keeps other loads' rows out of the read.
+            earlier = store.read(name).where(F.col("created_at") == at)
+            store.append(name, not_yet_stored(earlier, child, "vacancy_id"))
+        before = store.read_live(TABLE).where(~F.col("created_at").eqNullSafe(at))
+        store.replace_live(TABLE, snapshot_replace(before, parents, now))
+        return size
 
 
 def vacancy_dims(

@@ -9,7 +9,9 @@ ATOM_ENTRY = """
     title STRUCT<_VALUE: STRING, _type: STRING>, content STRUCT<_VALUE: STRING, _type: STRING>
 """
 
-FETCH_MANIFEST = "url STRING, status INT, s3_bucket STRING, s3_key STRING"
+FETCH_MANIFEST = """
+    interval STRING, feed_key STRING, entry_no INT, url STRING, status INT, s3_bucket STRING, s3_key STRING
+"""
 
 RATE = "_ID STRING, NumCode INT, CharCode STRING, Nominal INT, Name STRING, Value STRING"
 
@@ -53,29 +55,30 @@ def area_tree(depth: int) -> str:
 
 _HISTORY = "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ, deleted_at TIMESTAMP_NTZ"
 
-#: Stored tables. Ids are hashes of natural keys, see ``surrogate_key``.
+#: Stored tables. Ids of loaded rows are hashes of natural keys, see ``surrogate_key``.
 TABLES = {
-    "google_alerts_newsfeed": """id BIGINT, created_at TIMESTAMP_NTZ, deleted_at TIMESTAMP_NTZ,
+    "google_alerts_newsfeed": """id STRING, created_at TIMESTAMP_NTZ, deleted_at TIMESTAMP_NTZ,
         hash STRING, topic STRING, keyword STRING, date DATE, domain STRING, url STRING,
         title STRING, content STRING, s3_bucket STRING, s3_key STRING""",
-    "hh_currency_exchange_rate": """id BIGINT, created_at TIMESTAMP_NTZ, date DATE, title STRING,
-        nominal INT, value DOUBLE, char_code STRING, num_code INT, currency_id STRING""",
-    "hh_vacancy": f"""id BIGINT, {_HISTORY}, hh_university_id BIGINT, hh_id BIGINT,
+    "hh_currency_exchange_rate": """id STRING, created_at TIMESTAMP_NTZ, date DATE, title STRING,
+        nominal INT, value DOUBLE, char_code STRING, num_code INT, currency_id STRING,
+        loaded_at TIMESTAMP_NTZ""",
+    "hh_vacancy": f"""id STRING, {_HISTORY}, hh_university_id BIGINT, hh_id BIGINT,
         hh_created_at TIMESTAMP_NTZ, hh_initial_created_at TIMESTAMP_NTZ, title STRING,
         description STRING, salary_from DOUBLE, salary_to DOUBLE, salary_currency STRING,
         salary_gross BOOLEAN, experience STRING, schedule STRING, employment STRING,
         federal_region_id BIGINT, url STRING, s3_bucket STRING, s3_key STRING""",
-    "hh_skill": "id BIGINT, created_at TIMESTAMP_NTZ, vacancy_id BIGINT, title STRING",
-    "hh_professional_role": """created_at TIMESTAMP_NTZ, vacancy_id BIGINT,
+    "hh_skill": "id STRING, created_at TIMESTAMP_NTZ, vacancy_id STRING, title STRING",
+    "hh_professional_role": """created_at TIMESTAMP_NTZ, vacancy_id STRING,
         hh_professional_role_dict_id BIGINT, title STRING""",
     "hh_hh_university": "id BIGINT, employer_id BIGINT, university_id BIGINT, deleted_at TIMESTAMP_NTZ",
     "university_university": """id BIGINT, ogrn STRING, mon_id BIGINT, title_short STRING,
         title_display STRING, deleted_at TIMESTAMP_NTZ""",
     "geo_federal_region": "id BIGINT, title STRING, deleted_at TIMESTAMP_NTZ",
-    "rosrid_active": f"""id BIGINT, {_HISTORY}, rosrid_university_id BIGINT, type_id BIGINT,
+    "rosrid_active": f"""id STRING, {_HISTORY}, rosrid_university_id BIGINT, type_id BIGINT,
         object_id STRING, date DATE, title STRING, url STRING, is_executor BOOLEAN,
         s3_bucket STRING, s3_key STRING""",
-    "rosrid_active_oecd": "active_id BIGINT, oecd_id BIGINT",
+    "rosrid_active_oecd": "active_id STRING, oecd_id BIGINT",
     "rosrid_active_type": "id BIGINT, title STRING, title_short STRING, deleted_at TIMESTAMP_NTZ",
     "rosrid_rosrid_university": """id BIGINT, university_id BIGINT, rosrid_id STRING,
         deleted_at TIMESTAMP_NTZ""",

@@ -46,6 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system it is in."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -11,12 +11,13 @@ from .documents import (
     write_staged,
 )
 from .feeds import expand_feeds, read_atom
-from .paging import merge_hits, merge_pages, page_count, plan_pages, plan_requests
+from .paging import gate, merge_hits, merge_pages, page_count, plan_pages, plan_requests
 from .rates import read_rates
 from .store import TableStore
 
 __all__ = [
     "TableStore",
+    "gate",
     "expand_feeds",
     "flatten_area_tree",
     "interval_path",

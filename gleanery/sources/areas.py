@@ -5,29 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import area_tree
+from ..session import shared_dir
+
 
 def _node(x: Column) -> Column:
     return F.struct(x["id"].alias("id"), x["parent_id"].alias("parent_id"), x["name"].alias("name"))
 
 
-def _last_node(x: Column) -> Column:
-    deep = F.raise_error(F.concat(F.lit("area tree too deep below "), x["id"])).cast("string")
-    name = F.when(F.size(x["areas"]) > 0, deep).otherwise(x["name"])
-    return F.struct(x["id"].alias("id"), x["parent_id"].alias("parent_id"), name.alias("name"))
-
-
 def flatten_area_tree(df: DataFrame, areas: str = "areas", depth: int = 5) -> DataFrame:
-    """Nodes ``(id, parent_id, name)`` of nested ``areas`` arrays, in one pass over the tree.
+    """Nodes ``(id, parent_id, name)`` of nested ``areas`` arrays, at any depth.
 
-    Read the tree with ``schemas.area_tree(depth)``. Children below the last level fail the
-    query, an empty tree fails at once.
+    Read the tree with ``schemas.area_tree(depth)``: that many levels are taken in one pass, and the
+    children of the last, which are raw text, are parsed and taken in further passes while there are
+    any. An empty tree fails at once.
     """
-    level = F.col(areas)
-    nodes = []
-    for d in range(depth):
-        nodes.append(F.transform(level, _last_node if d == depth - 1 else _node))
-        level = F.flatten(F.transform(level, lambda x: F.coalesce(x["areas"], F.array())))
-    flat = df.select(F.inline(F.concat(*nodes)))
-    if flat.isEmpty():
+    shared_dir(df.sparkSession)
+    found = None
+    trees = df.select(F.col(areas).alias("areas"))
+    while True:
+        level, nodes = F.col("areas"), []
+        for _ in range(depth):
+            nodes.append(F.transform(level, _node))
+            level = F.flatten(F.transform(level, lambda x: F.coalesce(x["areas"], F.array())))
+        flat = trees.select(F.inline(F.concat(*nodes)))
+        found = flat if found is None else found.unionByName(flat)
+        below = trees.select(F.explode(level).alias("text")).checkpoint()
+        if below.isEmpty():
+            break
+        parsed = F.from_json("text", area_tree(depth)[len("ARRAY<") : -1], {"mode": "FAILFAST"})
+        trees = below.select(F.array(parsed).alias("areas"))
+    if found.isEmpty():
         raise ValueError("the area tree has no nodes")
-    return flat
+    return found

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import counted
 from ..operators.dedupe import latest_document
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 
 # Fixed value: run stamps in landing paths.
 STAMP = "yyyy-MM-dd-HH-mm-ss"
@@ -20,16 +22,18 @@ def interval_path(root: str, host: str, flow: str, at: datetime) -> str:
     return f"{root}/hosts/{host}/{flow}/interval={at:%Y-%m-%d-%H-%M-%S}"
 
 
-def read_documents(spark: SparkSession, path: str, schema: str, lineage: str = "s3_key") -> DataFrame:
-    """One row per JSON file, with the file's path in ``lineage``; a broken file fails the read."""
-    documents = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+def read_documents(spark: SparkSession, path: str, schema: str, lineage: str = "s3_key", lines: bool = False) -> DataFrame:
+    """One row per JSON file, with the file's path in ``lineage``; a broken file fails the read.
+
+    With ``lines`` there is a document on each line, as ``write_documents`` leaves them.
+    """
+    documents = spark.read.schema(schema).option("multiLine", not lines).option("mode", "FAILFAST").json(path)
     return documents.withColumn(lineage, F.col("_metadata.file_path"))
 
 
-def read_staged(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows staged by ``write_staged``, or one JSON array per file."""
-    staged = spark.read.schema(schema).option("mode", "FAILFAST")
-    return staged.option("multiLine", True).json(path)
+def read_staged(spark: SparkSession, path: str, schema: str, arrays: bool = False) -> DataFrame:
+    """Rows staged by ``write_staged``; with ``arrays`` each file is one JSON array of rows."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", arrays).json(path)
 
 
 def write_staged(df: DataFrame, path: str) -> None:
@@ -49,13 +53,17 @@ def write_documents(df: DataFrame, path: str, key: str, *fetch_order: str) -> No
     write_staged(latest_document(df, key, *fetch_order), path)
 
 
-def stage(df: DataFrame, label: str = "batch") -> tuple[DataFrame, int]:
-    """Write a batch once to the shared folder; returns it as read from there and its size.
+@contextmanager
+def stage(df: DataFrame, label: str = "batch") -> Iterator[tuple[DataFrame, int]]:
+    """Write a batch once to the shared folder; gives it as read from there and its size.
 
     A load reads its batch several times (keys, rows, children). Staged, the documents are
-    parsed once and each reader takes the columns it needs.
+    parsed once and each reader takes the columns it needs. The files go when the load has ended.
     """
     path = scratch_path(df.sparkSession, label)
     batch, seen = counted(df)
-    batch.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+    try:
+        batch.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+    finally:
+        remove_path(df.sparkSession, path)

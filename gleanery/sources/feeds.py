@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import ATOM_ENTRY
@@ -12,12 +12,23 @@ ATOM_OPTIONS = {"rowTag": "entry", "ignoreSurroundingSpaces": "false", "mode": "
 
 
 def read_atom(spark: SparkSession, path: str) -> DataFrame:
-    """One row per feed entry: ``feed_path, feed_file, href, published, title, content``.
+    """One row per feed entry: ``feed_path, feed_file, entry_no, href, published, title, content``.
 
     Entities are decoded once, so escaped markup comes out as markup text. ``published`` stays
     text: a parsed timestamp would lose the offset.
     """
-    return entry_columns(spark.read.schema(ATOM_ENTRY).options(**ATOM_OPTIONS).xml(path))
+    return numbered(entry_columns(spark.read.schema(ATOM_ENTRY).options(**ATOM_OPTIONS).xml(path)))
+
+
+def numbered(entries: DataFrame) -> DataFrame:
+    """Entries with ``entry_no``, their 0-based place in their feed file.
+
+    A file is read by one task from start to end, so the order of its rows is that of its entries.
+    For a stream, number each micro-batch.
+    """
+    read = entries.withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("feed_path").orderBy("_at")) - 1
+    return read.withColumn("entry_no", place).drop("_at")
 
 
 def entry_columns(entries: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.periods import lag_window
 from ..functions.rules import RESULT_TYPES
 from ..operators.dedupe import latest_per_key
+from ..operators.skew import spread
 
 # Hits per search page, and the request's default area and order.
 PAGE_SIZE = 10
@@ -56,6 +57,18 @@ def merge_hits(pages: DataFrame, size: int = PAGE_SIZE) -> tuple[DataFrame, Data
     return distinct, _completeness(pages, keys, expected)
 
 
+def gate(items: DataFrame, completeness: DataFrame, keys: list[str], strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Items of complete lists, and the lists that lack pages; with ``strict`` such a list fails the query."""
+    lacking = completeness.where("NOT complete")
+    if not strict:
+        return items.join(spread(lacking.select(*keys), keys[0]), keys, "left_anti"), lacking
+    message = F.concat(F.lit("pages are missing of "), F.concat_ws("/", *keys))
+    failing = completeness.select(*keys, F.when(F.col("complete"), True).otherwise(F.raise_error(message).cast("boolean")).alias("_complete"))
+    # In the filter, which pruning cannot drop.
+    checked = items.join(spread(failing, keys[0]), keys, "left").where(F.coalesce("_complete", F.lit(True)))
+    return checked.drop("_complete"), lacking
+
+
 def plan_requests(orgs: DataFrame, interval_end: Column) -> DataFrame:
     """Search requests: one per organisation and result type for the interval's window.
 

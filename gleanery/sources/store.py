@@ -1,45 +1,59 @@
 """Stored tables as partitioned Parquet with versions.
 
-Stock Spark cannot update Parquet in place, so a load writes the changed rows under a new
-version and then adds one manifest line that names the partitions the table now consists of.
-Readers see the old version until that line is there, and a failed load leaves no trace. Live
+Stock Spark cannot update Parquet in place, so a load writes the changed rows to a folder of its own
+and then publishes a manifest that names the folders the table now consists of. Readers see
+the old version until that manifest is there, and a failed load leaves no trace. Live
 and archived rows lie in separate partitions, so a load that only ends live rows never rewrites
-the archive.
+the archive. Of two loads that start from the same version only one can publish; the other fails.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TABLES
 
-MANIFEST = "version INT, live ARRAY<INT>, archive ARRAY<INT>"
-
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def _path(self, *parts: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def _current(self, name: str) -> dict:
-        """The newest manifest line: the versions that hold the live and the archived rows."""
-        try:
-            manifest = self.spark.read.schema(MANIFEST).json(f"{self.root}/{name}/manifest")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """The newest manifest: its version, and the folders of the live and of the archived rows."""
+        folder, files = self._path(name, "manifest")
+        names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+        if not names:
             return {"version": 0, "live": [], "archive": []}
-        return manifest.orderBy(F.desc("version")).first().asDict()
+        newest = self.spark.read.text(f"{self.root}/{name}/manifest/{max(names)}").first()["value"]
+        return json.loads(newest)
+
+    def _publish(self, name: str, current: dict) -> None:
+        """Create the version's manifest, which fails if it exists."""
+        path, files = self._path(name, "manifest", f"{current['version']:012d}.json")
+        try:
+            out = files.create(path, False)
+        except Py4JJavaError as error:
+            raise RuntimeError(f"another load has published version {current['version']} of {name}") from error
+        out.write(bytearray(json.dumps(current).encode()))
+        out.close()
 
-    def _read(self, name: str, live: list[int], archive: list[int]) -> DataFrame:
+    def _read(self, name: str, live: list[str], archive: list[str]) -> DataFrame:
         schema = T.StructType.fromDDL(TABLES[name])
         if not live and not archive:
             nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
             return self.spark.range(0).select(*nothing)
-        stored = T.StructType([*schema, T.StructField("v", T.IntegerType()), T.StructField("is_live", T.BooleanType())])
+        stored = T.StructType([*schema, T.StructField("v", T.StringType()), T.StructField("is_live", T.BooleanType())])
         rows = self.spark.read.schema(stored).parquet(f"{self.root}/{name}/rows")
         # Partition columns only, so files of other versions are not opened.
         wanted = (F.col("is_live") & F.col("v").isin(live)) | (~F.col("is_live") & F.col("v").isin(archive))
@@ -52,37 +66,40 @@ class TableStore:
     def read_live(self, name: str) -> DataFrame:
         return self._read(name, self._current(name)["live"], [])
 
-    def _commit(self, name: str, rows: DataFrame, version: int, live: list[int], archive: list[int]) -> int:
-        """Write ``rows`` as a version; it joins the kept ``live`` and ``archive`` versions."""
+    def _commit(self, name: str, rows: DataFrame, current: dict, live: list[str], archive: list[str]) -> int:
+        """Write ``rows`` to a new folder; it joins the kept ``live`` and ``archive`` folders."""
         columns = T.StructType.fromDDL(TABLES[name])
         present = set(rows.columns)
         typed = rows.select(
             *[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in columns]
         )
         is_live = F.col("deleted_at").isNull() if "deleted_at" in columns.names else F.lit(True)
-        # Overwrite of this version alone: a retried load replaces what its first try left.
-        writer = typed.withColumn("is_live", is_live).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "static").partitionBy("is_live").parquet(
-            f"{self.root}/{name}/rows/v={version}"
-        )
-        line = self.spark.range(1, numPartitions=1).select(
-            F.lit(version).alias("version"),
-            F.lit([*live, version]).cast("array<int>").alias("live"),
-            F.lit([*archive, version]).cast("array<int>").alias("archive"),
-        )
-        line.write.mode("append").json(f"{self.root}/{name}/manifest")
+        own = uuid.uuid4().hex
+        typed.withColumn("is_live", is_live).write.partitionBy("is_live").parquet(f"{self.root}/{name}/rows/v={own}")
+        version = current["version"] + 1
+        self._publish(name, {"version": version, "live": [*live, own], "archive": [*archive, own]})
         return version
 
     def append(self, name: str, rows: DataFrame) -> int:
         """Add rows; nothing stored is read or written again."""
         current = self._current(name)
-        return self._commit(name, rows, current["version"] + 1, current["live"], current["archive"])
+        return self._commit(name, rows, current, current["live"], current["archive"])
 
     def replace_live(self, name: str, rows: DataFrame) -> int:
         """Put ``rows``, a next state of the live rows, in their place; the archive stays."""
         current = self._current(name)
-        return self._commit(name, rows, current["version"] + 1, [], current["archive"])
+        return self._commit(name, rows, current, [], current["archive"])
 
     def replace(self, name: str, rows: DataFrame) -> int:
         """Put ``rows``, a next state of the whole table, in its place."""
-        return self._commit(name, rows, self._current(name)["version"] + 1, [], [])
+        return self._commit(name, rows, self._current(name), [], [])
+
+    def vacuum(self, name: str) -> int:
+        """Delete the folders that the newest version does not use; for times without readers and loads."""
+        current = self._current(name)
+        folder, files = self._path(name, "rows")
+        used = {f"v={v}" for v in current["live"] + current["archive"]}
+        unused = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName() not in used] if files.exists(folder) else []
+        for path in unused:
+            files.delete(path, True)
+        return len(unused)

@@ -9,6 +9,7 @@ from gleanery import schemas
 from gleanery.operators import export_csv, refresh_if_loaded
 from gleanery.plans import actives, backfill, news, rates, vacancies
 from gleanery.sources import TableStore, expand_feeds, flatten_area_tree, read_atom, read_documents, read_rates
+from gleanery.sources.feeds import numbered
 from gleanery.streaming import atom_stream, ingest
 
 from .test_sources import SHEET, TREE, land
@@ -23,6 +24,11 @@ def entry(href, published="2022-12-23T23:30:00+03:00", title="t", content="c"):
     )
 
 
+def topical(entries):
+    """Entries of one feed."""
+    return entries.selectExpr("*", "'t' AS topic", "'k' AS keyword", "0 AS topic_no", "0 AS feed_no", "'0-0' AS feed_key")
+
+
 def feed(*entries):
     return f'<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom">{"".join(entries)}</feed>'
 
@@ -41,10 +47,12 @@ def test_news(spark, store, tmp_path):
     land(tmp_path / "landed", "feed-1-0.xml", feed(entry("ftp://e.org/f")))
     config = spark.createDataFrame([(0, "наука", [("f0", "вуз")]), (1, "b", [("f1", "k")])], "topic_no int, " + schemas.FEED_CONFIG)
     entries = read_atom(spark, path)
-    manifest = spark.createDataFrame([("https://www.example.ru/a", 200, "b", "k1"), ("http://gone.org/x", 404, "b", "k2")], schemas.FETCH_MANIFEST)
-    rows = news.transform_news(news.entries_of_feeds(entries, expand_feeds(config)), manifest, "2022-12-23 14:00:00+03:00", "b")
-    assert news.load_news(store, rows) == 3
-    assert news.load_news(store, rows) == 0
+    end = "2022-12-23 14:00:00+03:00"
+    fetches = [(end, "0-0", 0, 200, "k1"), ("2022-12-22 14:00:00+03:00", "0-0", 0, 200, "earlier"), (end, "0-0", 2, 404, "k2"), (end, "1-0", 0, 404, "k3")]
+    manifest = spark.createDataFrame(fetches, "interval string, feed_key string, entry_no int, status int, s3_key string")
+    rows = news.transform_news(news.entries_of_feeds(entries, expand_feeds(config)), manifest, end, "b")
+    assert news.load_news(store, rows) == (4, 3)
+    assert news.load_news(store, rows) == (4, 0)
     stored = {r.url: r for r in store.read(news.TABLE).collect()}
     first = stored["https://www.example.ru/a"]
     assert (first.title, first.domain, first.s3_key, first.date) == ("it's", "example.ru", "k1", dt.date(2022, 12, 23))
@@ -58,19 +66,19 @@ def test_news(spark, store, tmp_path):
 
 def test_deleted_news_block_their_hash(spark, store, tmp_path):
     path = land(tmp_path / "landed", "f.xml", feed(entry("http://e.org/x")))
-    topical = read_atom(spark, path).withColumns({"topic": F.lit("t"), "keyword": F.lit("k")})
-    rows = news.transform_news(topical, spark.createDataFrame([], schemas.FETCH_MANIFEST), "2022-12-23 14:00:00", "b")
+    rows = news.transform_news(topical(read_atom(spark, path)), spark.createDataFrame([], schemas.FETCH_MANIFEST), "2022-12-23 14:00:00", "b")
     store.append(news.TABLE, rows.withColumn("deleted_at", F.lit("2023-01-01").cast("timestamp_ntz")))
-    assert news.load_news(store, rows) == 0
+    assert news.load_news(store, rows) == (1, 0)
     assert news.news_report(store.read(news.TABLE), "2022-12-24").isEmpty()
 
 
 def test_rates(spark, store, tmp_path):
     sheet = read_rates(spark, land(tmp_path / "rates", "extracted.xml", SHEET))
-    assert rates.load_rates(store, rates.transform_rates(sheet, "2023-03-02 12:00:00")) == 2
-    assert rates.load_rates(store, rates.transform_rates(sheet, "2023-03-01 12:00:00").withColumn("value", F.lit(1.0))) == 2
-    assert rates.load_rates(store, rates.transform_rates(sheet, "2023-03-02 12:00:00")) == 2
-    assert store.read(rates.TABLE).count() == 6
+    day = rates.transform_rates(sheet, "2023-03-02 12:00:00")
+    assert rates.load_rates(store, day.withColumn("value", F.lit(99.0)), "2023-03-02 12:10:00") == 2
+    assert rates.load_rates(store, rates.transform_rates(sheet, "2023-03-01 12:00:00").withColumn("value", F.lit(1.0)), "2023-03-03 12:00:00") == 2
+    assert rates.load_rates(store, day, "2023-03-02 12:20:00") == 2
+    assert store.read(rates.TABLE).select("id").distinct().count() == 6
     newest = {r.char_code: r.value for r in rates.latest_rates(store.read(rates.TABLE)).collect()}
     assert newest == {"USD": 75.5, "AUD": 0.5045000000000001}
 
@@ -89,7 +97,7 @@ def pay(low, high, currency, gross):
 
 @pytest.fixture
 def dictionaries(spark, store):
-    fill(store, rates.TABLE, (1, None, dt.date(2023, 3, 1), "", 1, 70.0, "USD", 840, "R"), (2, None, dt.date(2023, 3, 2), "", 1, 75.5, "USD", 840, "R"))
+    fill(store, rates.TABLE, ("1", None, dt.date(2023, 3, 1), "", 1, 70.0, "USD", 840, "R", None), ("2", None, dt.date(2023, 3, 2), "", 1, 75.5, "USD", 840, "R", None))
     fill(store, "geo_federal_region", (10, "Московская область", None), (11, "Москва", None), (12, "Московская обл", dt.datetime(2023, 1, 1)))
     fill(store, "hh_hh_university", (1, 5, 100, None))
     fill(store, "university_university", (100, "111", 9, "short", "display", None))
@@ -274,8 +282,7 @@ def test_backfill(spark):
 
 def test_stream(spark, store, tmp_path):
     def prepare(entries):
-        topical = entries.withColumns({"topic": F.lit("t"), "keyword": F.lit("k")})
-        return news.transform_news(topical, spark.createDataFrame([], schemas.FETCH_MANIFEST), "2022-12-23 14:00:00", "b")
+        return news.transform_news(topical(numbered(entries)), spark.createDataFrame([], schemas.FETCH_MANIFEST), "2022-12-23 14:00:00", "b")
 
     def run():
         ingest(atom_stream(spark, path, 1), store, news.TABLE, "hash", news.first_entry(), str(tmp_path / "state"), prepare).awaitTermination()

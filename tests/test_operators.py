@@ -137,10 +137,10 @@ def test_climb_to_top(spark):
         "1001": None,
         "5": None,
     }
-    with pytest.raises(Exception, match="too deep"):
-        op.climb_to_top(nodes, "Россия", max_depth=2).collect()
+    path = spark.createDataFrame([(str(i), str(i - 1) if i else None, f"N{i}") for i in range(40)], nodes.schema)
+    assert {r.id: r.top_name for r in op.climb_to_top(path, "N0").collect()} == {str(i): "N1" if i else None for i in range(40)}
     cycle = spark.createDataFrame([("a", "b", "A"), ("b", "a", "B")], nodes.schema)
-    with pytest.raises(Exception, match="too deep"):
+    with pytest.raises(ValueError, match="cycle"):
         op.climb_to_top(cycle, "Россия").collect()
     with pytest.raises(Exception, match="no node with id x"):
         op.climb_to_top(spark.createDataFrame([("a", "x", "A")], nodes.schema), "Россия").collect()

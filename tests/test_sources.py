@@ -26,12 +26,12 @@ def test_documents_keep_their_path_and_fail_when_broken(spark, tmp_path):
 
 def test_staged_array_and_round_trip(spark, tmp_path):
     path = land(tmp_path / "array", "a.json", [{"topic": "наука", "feeds": [{"url": "u", "keyword": "k"}]}, {"topic": "t", "feeds": []}])
-    staged = src.read_staged(spark, path, schemas.FEED_CONFIG)
+    staged = src.read_staged(spark, path, schemas.FEED_CONFIG, arrays=True)
     assert sorted(r.topic for r in staged.collect()) == ["t", "наука"]
     out = str(tmp_path / "out")
     src.write_staged(staged, out)
     src.write_staged(staged, out)
-    assert spark.read.schema(schemas.FEED_CONFIG).json(out).count() == 2
+    assert src.read_staged(spark, out, schemas.FEED_CONFIG).count() == 2
 
 
 def test_intervals_are_replaced_one_by_one(spark, tmp_path):
@@ -51,7 +51,16 @@ def test_last_document_wins(spark, tmp_path):
     docs = spark.createDataFrame([("v1", 1, "old"), ("v1", 2, "new"), ("v2", 1, "x")], "id string, fetched int, body string")
     path = str(tmp_path / "last")
     src.write_documents(docs, path, "id", "fetched")
-    assert sorted((r.id, r.body) for r in spark.read.json(path).collect()) == [("v1", "new"), ("v2", "x")]
+    back = src.read_documents(spark, path, "id string, fetched int, body string", lines=True).collect()
+    assert sorted((r.id, r.body) for r in back) == [("v1", "new"), ("v2", "x")] and all(r.s3_key for r in back)
+
+
+def test_many_rows_in_few_files_come_back(spark, tmp_path):
+    rows, path = spark.range(100).repartition(4), str(tmp_path / "many")
+    src.write_staged(rows, path)
+    assert src.read_staged(spark, path, "id bigint").count() == 100
+    src.write_documents(rows, path, "id", "id")
+    assert src.read_documents(spark, path, "id bigint", lines=True).count() == 100
 
 
 ATOM = """<?xml version="1.0" encoding="utf-8"?><feed xmlns="http://www.w3.org/2005/Atom"><title>t</title>
@@ -103,8 +112,12 @@ def test_area_tree(spark, tmp_path):
     flat = src.flatten_area_tree(read_tree(spark, path, 5))
     assert {r.id: r.parent_id for r in flat.collect()} == {"113": None, "2019": "113", "1": "113", "2079": "2019"}
     assert src.flatten_area_tree(read_tree(spark, path, 3), depth=3).count() == 4
-    with pytest.raises(Exception, match="too deep below 2019"):
-        src.flatten_area_tree(read_tree(spark, path, 2), depth=2).collect()
+    assert src.flatten_area_tree(read_tree(spark, path, 2), depth=2).count() == 4
+    deep = []
+    for i in range(12, 0, -1):
+        deep = [{"id": str(i), "parent_id": str(i - 1) if i > 1 else None, "name": f"N{i}", "areas": deep}]
+    chain = src.flatten_area_tree(read_tree(spark, land(tmp_path / "deep", "areas.json", {"areas": deep}), 5))
+    assert {r.id: r.parent_id for r in chain.collect()} == {str(i): str(i - 1) if i > 1 else None for i in range(1, 13)}
     empty = land(tmp_path / "none", "areas.json", {"areas": []})
     with pytest.raises(ValueError, match="no nodes"):
         src.flatten_area_tree(read_tree(spark, empty, 5))
@@ -167,14 +180,37 @@ def test_store_versions(spark, tmp_path):
     assert ids(before) == [1, 2, 3]
     store.replace(name, store.read(name).where("id <> 2"))
     assert ids(store.read(name)) == [1, 4]
-    # Rows of a load that failed before its manifest line are not seen, and the next load replaces them.
+    # Rows of a load that failed before its manifest are not seen.
     left = store.read(name).limit(0).union(rows((9, 9, "x", None)))
-    left.selectExpr("*", "true AS is_live").write.partitionBy("is_live").parquet(str(tmp_path / "store" / name / "rows" / "v=5"))
+    left.selectExpr("*", "true AS is_live").write.partitionBy("is_live").parquet(str(tmp_path / "store" / name / "rows" / "v=left"))
     assert ids(store.read(name)) == [1, 4]
     store.append(name, rows((5, 1, "e", None)))
     assert ids(store.read(name)) == [1, 4, 5]
+    # Of two loads that start from one version the second to publish fails, and nothing is lost.
+    stale = store._current(name)
+    store.append(name, rows((6, 1, "f", None)))
+    with pytest.raises(RuntimeError, match="another load"):
+        store._commit(name, rows((7, 1, "g", None)), stale, stale["live"], stale["archive"])
+    assert ids(store.read(name)) == [1, 4, 5, 6]
+    assert store.vacuum(name) > 0 and ids(store.read(name)) == [1, 4, 5, 6]
+
+
+def test_gate(spark):
+    items = spark.createDataFrame([(1, "a"), (2, "b")], "k int, item string")
+    lists = spark.createDataFrame([(1, True), (2, False), (3, True)], "k int, complete boolean")
+    whole, lacking = src.gate(items, lists, ["k"])
+    assert [r.item for r in whole.collect()] == ["a"] and [r.k for r in lacking.collect()] == [2]
+    assert src.gate(items, lists.where("complete"), ["k"], strict=True)[0].count() == 2
+    with pytest.raises(Exception, match="pages are missing of 2"):
+        src.gate(items, lists, ["k"], strict=True)[0].collect()
 
 
 def test_stage_reads_what_it_wrote(spark):
-    batch, size = src.stage(spark.range(5).withColumn("t", F.lit("x")), "tests")
+    with src.stage(spark.range(5).withColumn("t", F.lit("x")), "tests") as (batch, size):
+        _check_stage(batch, size)
+    with pytest.raises(Exception):
+        batch.collect()  # gone
+
+
+def _check_stage(batch, size):
     assert size == 5 and batch.columns == ["id", "t"] and batch.count() == 5
