@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BEST = "score INT, neg_id BIGINT, id BIGINT, title STRING"
+BEST = "score: INT, neg_id: BIGINT, id: BIGINT, title: STRING"
 
 
 def _masks(text: str) -> dict[str, int]:
@@ -83,17 +83,15 @@ def fuzz_ratio(text: Column, other: Column) -> Column:
     return scores(text, other)
 
 
-def best_match(text: Column, ids: Column, titles: Column) -> Column:
-    """Best of the titles in two parallel arrays: ``struct(score, neg_id, id, title)``.
+def best_matches(texts: Column, ids: Column, titles: Column) -> Column:
+    """For each of some texts the best of the titles in two parallel arrays: ``struct(score, neg_id, id, title)``.
 
     The struct orders by goodness, so ``max`` merges the best of several arrays.
     """
 
-    @F.pandas_udf(BEST)
-    def bests(texts: pd.Series, keys: pd.Series, names: pd.Series) -> pd.DataFrame:
-        found = [best_entry(t, k, n) if t is not None else None for t, k, n in zip(texts, keys, names)]
-        rows = [b if b else (None,) * 4 for b in found]
-        frame = pd.DataFrame(rows, columns=["score", "neg_id", "id", "title"])
-        return frame.astype({"score": "Int32", "neg_id": "Int64", "id": "Int64"})
+    @F.pandas_udf(f"array<struct<{BEST}>>")
+    def bests(names: pd.Series, keys: pd.Series, entries: pd.Series) -> pd.Series:
+        fields = ("score", "neg_id", "id", "title")
+        return pd.Series([[dict(zip(fields, best_entry(name, k, t))) for name in some] for some, k, t in zip(names, keys, entries)])
 
-    return bests(text, ids, titles)
+    return bests(texts, ids, titles)

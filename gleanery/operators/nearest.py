@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import best_match
+from ..functions.similarity import best_matches
 
 #: Entries compared in one go; also the bound on the array a task holds.
 BLOCK = 512
+#: Names that meet a block of the dictionary together, about.
+NAMES = 256
 #: A dictionary whose entries take at most this many bytes is broadcast.
 BROADCAST_BYTES = 8 << 20
 
@@ -26,9 +28,9 @@ def nearest_name(
     threshold unless ``min_score`` is given. Call it for the names of a dictionary or for the
     distinct names of a fact table and join the result back by name.
 
-    A name that is itself a title is settled by an equi join. The others meet the dictionary in
-    blocks of arrays, one block per row, so the work per task is bounded for any dictionary; the
-    best of each block are merged by ``max``. All names and entries count: none is pre-selected.
+    A name that is itself a title is settled by an equi join. The others meet the dictionary block by
+    block, some hundred names with some hundred entries in a row, so the work per task is bounded for
+    any dictionary; the best of each block are merged by ``max``. All names and entries count: none is pre-selected.
     """
     entries = dictionary.where("title IS NOT NULL").select(F.col("id").cast("bigint"), "title")
     size, octets = entries.agg(
@@ -56,14 +58,24 @@ def nearest_name(
         F.col("equal_id").alias("id"),
         F.col("title"),
     )
-    open_names = split.where(~settled).select(
-        "name", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("block")
+    # Names go in blocks too, so that a block of the dictionary is sent once for very many names.
+    unsettled = split.where(~settled).select("name")
+    name_blocks = max(1, -(-unsettled.count() // NAMES))
+    listed = unsettled.groupBy(F.pmod(F.xxhash64("name"), F.lit(name_blocks)).alias("names_block")).agg(
+        F.collect_list("name").alias("names")
+    )
+    meetings = listed.select(
+        "names_block", "names", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("block")
     )
     # Few bytes but much work per row: a fixed number of tasks, which Spark does not merge by size.
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    open_names = open_names.repartition(tasks, "name", "block")
-    compared = open_names.join(packed, "block").select(
-        "name", best_match(F.col("name"), F.col("ids"), F.col("titles")).alias("best")
+    compared = (
+        meetings.repartition(tasks, "names_block", "block")
+        .join(packed, "block")
+        .select(F.arrays_zip("names", best_matches(F.col("names"), F.col("ids"), F.col("titles")).alias("best")).alias("found"))
+        .select(F.explode("found").alias("found"))
+        .select("found.names", "found.best")
+        .toDF("name", "best")
     )
     scored = split.where(settled).select("name", equal_best.alias("best")).unionByName(compared)
     if blocks > 1:
