@@ -80,20 +80,20 @@ def held_out(id: Column) -> Column:
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """A dictionary for each language of the documents that are not held out.
 
-    Each language gives at most ``SAMPLED_DOCS`` documents, the first by a hash of the id, and
-    ``DICTIONARY_BYTES`` of them; that much and a count for each language comes to the driver.
+    Each language gives at most ``SAMPLED_DOCS`` documents, the first by a hash of the id (of a repeated id
+    the least text), and ``DICTIONARY_BYTES`` of them; that much and a count for each language comes to the driver.
     Documents without id, text or language teach nothing.
     """
     usable = docs.where(~held_out(F.col(id)) & F.col(id).isNotNull() & F.col(lang).isNotNull())
     usable = usable.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = usable.where("text IS NOT NULL").select("id", "lang").withColumn("rank", F.row_number().over(order))
-    # At most SAMPLED_DOCS rows for each language.
-    chosen = F.broadcast(chosen.where(F.col("rank") <= SAMPLED_DOCS).select("id", "rank").distinct())
-    sample = usable.join(chosen, "id").select("lang", "rank", F.substring("text", 1, DICTIONARY_BYTES).alias("text"))
+    chosen = usable.where("text IS NOT NULL").select("id", "lang").withColumn("rank", F.dense_rank().over(order))
+    # At most SAMPLED_DOCS rows for each language, however often an id is repeated.
+    chosen = F.broadcast(chosen.where(F.col("rank") <= SAMPLED_DOCS).distinct())
+    starts = usable.join(chosen, ["id", "lang"]).groupBy("lang", "rank").agg(F.min(F.substring("text", 1, DICTIONARY_BYTES)).alias("text"))
     texts: dict[str, list[tuple[int, bytes]]] = {}
-    for row in sample.where("text IS NOT NULL").collect():
+    for row in starts.collect():
         texts.setdefault(row["lang"], []).append((row["rank"], letters(row["text"])))
     contents = {lang: b" ".join(t for _, t in sorted(rows))[:DICTIONARY_BYTES] for lang, rows in texts.items()}
     # The compressor takes no shorter dictionary; eight bytes hardly teach a language anyway.

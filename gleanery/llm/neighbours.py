@@ -130,8 +130,6 @@ class _Best:
         i, j = np.nonzero((scores >= floor[:, None]) & (query[:, None] != other[None, :]))
         self.parts.append((query[i], other[j], np.einsum("ij,ij->i", queries[i], rows[j])))
         self.rows += len(i)
-        if self.rows > GATHERED:
-            self.compact()
 
     def compact(self) -> tuple[np.ndarray, ...]:
         joined = [np.concatenate(c) for c in zip(*self.parts)] if self.parts else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
@@ -142,6 +140,10 @@ class _Best:
         return tuple(kept)
 
 
+    def batch(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in self.compact()], ["query_id", "vec_id", "score"])
+
+
 def _depth(rows: int, sampled: int) -> int:
     return max(0, min(rows // LEAF_ROWS, sampled // LEAST_SAMPLE_IN_LEAF).bit_length())
 
@@ -165,7 +167,7 @@ def nearest(
     Rows without id, unusable vectors and vectors of another size than most take no part. Of equal
     vectors the ``k + 1`` smallest ids are indexed, which no others can come before. Repeated rows count once.
     """
-    given = rows.select(F.col(id).alias("vec_id"), F.col(vector).alias("vector"))
+    given = rows.select(F.col(id).cast("bigint").alias("vec_id"), F.col(vector).alias("vector"))
     given = given.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     size = commonest_size(given, "vector")
     given = written(given.where(F.size("vector") == size).distinct(), "vectors")
@@ -195,7 +197,7 @@ def nearest(
                 leaf = number * (tree.inner + 1) + tree.leaves(x)
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), batch.column("vec_id"), batch.column("vector")], ["leaf", "vec_id", "vector"])
 
-    schema = f"leaf bigint, vec_id {given.schema['vec_id'].dataType.simpleString()}, vector {given.schema['vector'].dataType.simpleString()}"
+    schema = f"leaf bigint, vec_id bigint, vector {given.schema['vector'].dataType.simpleString()}"
     leaves = written(indexed.mapInArrow(place, schema), "leaves")
     # A number for each leaf: as many as the sample allows, whatever the table's size.
     counted = np.zeros(trees << depth, np.int64)
@@ -206,14 +208,14 @@ def nearest(
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = lengthened(matrix(batch.column("vector"), size), False)
-            for at in range(0, len(x), 512):
-                found = list(search(shared.value, x[at : at + 512], list(sizes.value), examined))
+            for at in range(0, len(x), 128):
+                found = list(search(shared.value, x[at : at + 128], list(sizes.value), examined))
                 row = np.repeat(np.arange(at, at + len(found)), [len(f) for f in found])
                 leaf = np.array([tree * sizes.value.shape[1] + leaf for f in found for tree, leaf in f], np.int64)
                 part = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), part.column("vec_id"), part.column("vector")], ["leaf", "vec_id", "vector"])
 
-    asked = given.join(spread(rows.where(is_query).select(F.col(id).alias("vec_id")).distinct(), "vec_id"), "vec_id", "left_semi")
+    asked = given.join(spread(rows.where(is_query).select(F.col(id).cast("bigint").alias("vec_id")).distinct(), "vec_id"), "vec_id", "left_semi")
     looked = asked.mapInArrow(look, schema)
     both = leaves.withColumn("asks", F.lit(1)).unionByName(looked.withColumn("asks", F.lit(0)))
     tasks = max(2, int(session.conf.get("spark.sql.shuffle.partitions")))
@@ -241,13 +243,15 @@ def nearest(
                         some = slice(few, few + 1024)
                         top.add(ids[0][some], vectors[0][some], vec_id[split:end], x[split:end])
                 start = end
-        columns = [pa.array(c) for c in top.compact()]
-        if len(columns[0]):
-            yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
-
-    kind = given.schema["vec_id"].dataType.simpleString()
-    scored = both.mapInArrow(score, f"query_id {kind}, vec_id {kind}, score double")
-    # At most k candidates of a query come from each task.
+                if top.rows > GATHERED:
+                    top.compact()
+                    if top.rows > GATHERED // 2:  # very many queries: their best so far go out
+                        yield top.batch()
+                        top = _Best(k)
+        yield top.batch()
+
+    scored = both.mapInArrow(score, "query_id bigint, vec_id bigint, score double")
+    # About k candidates of a query come from each task.
     ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = once.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
