@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .vectors import matrix
+
 #: Bounds on what is learned from: labelled documents, and unlabelled ones for pseudo-labels.
 LABELLED, POOL = 8000, 8000
 ROUNDS = 3
@@ -47,13 +49,18 @@ def text_features(text: str | None) -> np.ndarray:
     return np.concatenate([np.sqrt(np.array(kinds) / size), np.sqrt(marks / size), extent])
 
 
-def page_features(source: object, lang: object, n_chars: object) -> np.ndarray:
+def page_places(source: object, lang: object, n_chars: object) -> list[int]:
     """One of ``SOURCES`` places for the source and for the language, and the order of the stated length."""
-    found = np.zeros(2 * SOURCES + 24)
-    found[zlib.crc32(str(source).encode()) % SOURCES] = 1
-    found[SOURCES + zlib.crc32(str(lang).encode()) % SOURCES] = 1
-    known = isinstance(n_chars, (int, float)) and not math.isnan(n_chars) and n_chars > 0
-    found[2 * SOURCES + (min(22, int(math.log2(n_chars) if known and n_chars >= 1 else 0)) if known else 23)] = 1
+    known = isinstance(n_chars, (int, float)) and not math.isnan(n_chars) and n_chars >= 1
+    length = min(22, int(math.log2(n_chars))) if known else 23
+    places = [zlib.crc32(str(value).encode()) % SOURCES for value in (source, lang)]
+    return [places[0], SOURCES + places[1], 2 * SOURCES + length]
+
+
+def page_features(places: np.ndarray) -> np.ndarray:
+    """Rows with a one at each of their places."""
+    found = np.zeros((len(places), 2 * SOURCES + 24), np.float32)
+    np.put_along_axis(found, places, 1, axis=1)
     return found
 
 
@@ -63,7 +70,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
     """Weights of a logistic regression with an intercept last, by Newton's method."""
-    x = np.column_stack([x, np.ones(len(x))])
+    x = np.column_stack([x, np.ones(len(x), x.dtype)])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
     beta = np.zeros(x.shape[1])
@@ -152,19 +159,21 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, page = _features(batch)
-            lists = [pa.array(list(v), pa.list_(pa.float64())) for v in (text, page)]
+            text, places = _features(batch)
+            lists = [pa.array(list(text), pa.list_(pa.float32())), pa.array(places, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), *lists], ["id", "y", "text", "page"])
 
     kind = docs.schema[id].dataType.simpleString()
-    schema = f"id {kind}, y int, text array<double>, page array<double>"
-    found = rows.mapInArrow(features, schema).dropDuplicates(["id"]).toPandas().sort_values("id")
-    found = found.sample(frac=1, random_state=0)
-    labelled = found[found["y"].notna()]
-    pool = found[found["y"].isna()]
-    stack = lambda part, view: np.stack(part[view]) if len(part) else np.zeros((0, 1))
-    views, unlabelled = ([stack(part, v) for v in ("text", "page")] for part in (labelled, pool))
-    return cotrain(views, labelled["y"].to_numpy(dtype=float), unlabelled) if len(labelled) else None
+    schema = f"id {kind}, y int, text array<float>, page array<int>"
+    # In an order that does not depend on the tasks; calibration takes every fifth row.
+    found = rows.mapInArrow(features, schema).dropDuplicates(["id"]).orderBy(F.xxhash64("id", F.lit(1)), "id").drop("id").toArrow()
+    if not len(found):
+        return None
+    labelled = found["y"].is_valid().combine_chunks().to_numpy(zero_copy_only=False)
+    text = matrix(found["text"].combine_chunks(), len(found["text"][0]))
+    page = page_features(matrix(found["page"].combine_chunks(), 3))
+    y = found["y"].combine_chunks().drop_null().to_numpy().astype(float)
+    return cotrain([text[labelled], page[labelled]], y, [text[~labelled], page[~labelled]])
 
 
 def _viewed(docs: DataFrame, columns: dict[str, str], more: list) -> DataFrame:
@@ -172,10 +181,10 @@ def _viewed(docs: DataFrame, columns: dict[str, str], more: list) -> DataFrame:
     return docs.select(*more, *[F.col(c).alias(f"_{n}") for n, c in names.items()])
 
 
-def _features(batch: pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, list[list[int]]]:
     text = [text_features(t.as_py()) for t in batch.column("_text")]
-    page = [page_features(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("_source", "_lang", "_n_chars")))]
-    return text, page
+    places = [page_places(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("_source", "_lang", "_n_chars")))]
+    return np.array(text, np.float32), places
 
 
 def with_quality(docs: DataFrame, model: Model | None, into: str, threshold: float = THRESHOLD, **columns: str) -> DataFrame:
@@ -199,7 +208,7 @@ def with_quality(docs: DataFrame, model: Model | None, into: str, threshold: flo
             if not batch.num_rows:
                 continue
             text, page = _features(pa.RecordBatch.from_arrays([batch.column(i) for i in places.values()], list(places)))
-            scores = model.scores(np.stack(text), np.stack(page))
+            scores = model.scores(text, page_features(np.array(page)))
             columns = [*(pa.array(s) for s in scores), pa.array(scores[0] >= threshold)]
             struct = pa.StructArray.from_arrays(columns, names=SCHEMA.names)
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], [*batch.schema.names, into])
