@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from .segments import Segments, balanced
 
-#: States kept before the transducer starts anew; each has a few transitions.
-STATES = 60_000
+#: States kept before the transducer starts anew; each takes less than a kilobyte.
+STATES = 200_000
+#: Pieces remembered in one generation; two generations are kept.
+PIECES = 150_000
 #: Pairs of tokens of which it is remembered whether they may follow each other.
 PAIRS = 400_000
 NO_TOKEN = -1
@@ -88,8 +90,12 @@ class Transducer:
     other; this holds for every start of the text too. Reading forward there are a few ways open: for
     each length of an unfinished token, the tokens before it. A state holds the open ways, without the
     tokens that they all begin with, which have been emitted. An open way ends when its unfinished
-    token can become no token, so the lookahead is bounded by the longest token. States and transitions
-    are made when first needed; beyond ``STATES`` of them all are dropped, and made anew.
+    token can become no token, so the lookahead is bounded by the longest token.
+
+    The last emitted token is no part of a state, or there would be too many of them. It matters for the
+    way that has nothing pending only: whether its unfinished token, if it is a token, may follow. So a
+    transition is chosen by the byte and that answer. States and transitions are made when first needed;
+    beyond ``STATES`` of them all are dropped, and made anew.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -113,12 +119,14 @@ class Transducer:
 
     def _restart(self) -> None:
         self.numbers: dict[tuple, int] = {}
-        #: By state: transitions, the last emitted token and the open ways, and the tokens if the piece ends here.
+        #: By state: transitions by byte, or by byte + 256 if the open token may not follow; the open ways; the token
+        #: of the way with nothing pending; and the tokens if the piece ends here, for both answers.
         self.steps: list[dict[int, tuple[int, tuple]]] = []
-        self.ways: list[tuple[int, tuple]] = []
-        self.final: list[tuple | None] = []
-        self._state(NO_TOKEN, (((), 0),))
-        self.final[0] = ()
+        self.ways: list[tuple] = []
+        self.open: list[int] = []
+        self.final: list[tuple[tuple | None, tuple | None]] = []
+        self._state((((), 0),))
+        self.final[0] = ((), ())
 
     def _may_follow(self, left: int, right: int) -> bool:
         if left == NO_TOKEN:
@@ -131,34 +139,41 @@ class Transducer:
             known = self.pairs[key] = self.merges.neighbours(left, right)
         return known
 
-    def _state(self, last: int, ways: tuple) -> int:
-        number = self.numbers.get((last, ways))
+    def _state(self, ways: tuple) -> int:
+        number = self.numbers.get(ways)
         if number is None:
-            number = self.numbers[last, ways] = len(self.steps)
+            number = self.numbers[ways] = len(self.steps)
             self.steps.append({})
-            self.ways.append((last, ways))
-            ends = (
-                (*before, self.token[node])
-                for before, node in ways
-                if self.token[node] != NO_TOKEN and self._may_follow(before[-1] if before else last, self.token[node])
-            )
-            self.final.append(next(ends, None))
+            self.ways.append(ways)
+            bare, other = NO_TOKEN, None
+            for before, node in ways:
+                token = self.token[node]
+                if token == NO_TOKEN:
+                    continue
+                if not before:
+                    bare = token
+                elif other is None and self._may_follow(before[-1], token):
+                    other = (*before, token)
+            self.open.append(bare)
+            self.final.append((other if bare == NO_TOKEN else (bare,), other))
         return number
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple]:
-        last, ways = self.ways[state]
-        after = [(before, self.child[node][byte]) for before, node in ways if byte in self.child[node]]
-        if state and self.final[state] is not None:
-            after.append((self.final[state], self.child[0][byte]))
-        shared, first = 0, after[0][0]
-        while shared < len(first) and all(before[shared : shared + 1] == first[shared : shared + 1] for before, _ in after):
-            shared += 1
+    def _step(self, state: int, choice: int) -> tuple[int, tuple]:
+        byte, child = choice & 255, self.child
+        after = [(before, child[node][byte]) for before, node in self.ways[state] if byte in child[node]]
+        ends = self.final[state][choice >> 8]
+        if ends:
+            after.append((ends, child[0][byte]))
+        first = after[0][0]
+        if len(after) == 1:
+            shared = len(first)
+        else:
+            shared, least = 0, min([len(before) for before, _ in after])
+            while shared < least and all([before[shared] == first[shared] for before, _ in after]):
+                shared += 1
         if shared:
-            last = first[shared - 1]
             after = [(before[shared:], node) for before, node in after]
-        if all(before for before, _ in after):
-            last = NO_TOKEN  # nothing open depends on it
-        found = self.steps[state][byte] = (self._state(last, tuple(after)), first[:shared])
+        found = self.steps[state][choice] = (self._state(tuple(after)), first[:shared])
         return found
 
     def encode(self, piece: bytes) -> list[int]:
@@ -166,13 +181,17 @@ class Transducer:
             return [self.whole[piece]]
         if len(self.steps) > STATES:
             self._restart()
-        state, tokens, steps = 0, [], self.steps
-        for byte in piece:
-            step = steps[state].get(byte) or self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                tokens += step[1]
-        tokens += self.final[state]
+        state, last, tokens, steps, open_ = 0, NO_TOKEN, [], self.steps, self.open
+        for choice in piece:
+            token = open_[state]
+            if token != NO_TOKEN and not self._may_follow(last, token):
+                choice |= 256
+            state, emitted = steps[state].get(choice) or self._step(state, choice)
+            if emitted:
+                tokens += emitted
+                last = emitted[-1]
+        token = open_[state]
+        tokens += self.final[state][token != NO_TOKEN and not self._may_follow(last, token)]
         return tokens
 
 
@@ -234,17 +253,34 @@ class Utf8:
         return data[: len(data) - kept].decode("utf-8", "replace")
 
 
-@cache
-def _encoder(path: str, pattern: str) -> Segments:
-    transducer, matches = Transducer(read_ranks(path)), regex.compile(pattern)
+class Pieces:
+    """Ids of segments, piece by piece; the pieces met last are remembered."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.transducer, self.matches = Transducer(ranks), regex.compile(pattern)
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _ids(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = np.array(self.transducer.encode(piece.encode()), "<u4").tobytes()
+        if len(piece) <= 64:
+            self.now[piece] = ids
+        return ids
+
+    def encode(self, segments: list[str]) -> list[bytes]:
+        if len(self.now) > PIECES:
+            self.old, self.now = self.now, {}
+        found, known = [], self.now
+        for segment in segments:
+            found.append(b"".join([known.get(p) or self._ids(p) for p in self.matches.findall(segment)]))
+        return found
 
-    def encode(segments: list[str]) -> list[bytes]:
-        return [
-            np.array([i for m in matches.finditer(s) for i in transducer.encode(m[0].encode())], "<u4").tobytes()
-            for s in segments
-        ]
 
-    return Segments(encode, b"".join, 100_000)
+@cache
+def _encoder(path: str, pattern: str) -> Segments:
+    return Segments(Pieces(read_ranks(path), pattern).encode, b"".join, 100_000)
 
 
 @cache
