@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from .segments import Segments, balanced
 
 #: States kept before the transducer starts anew; each takes less than a kilobyte.
-STATES = 200_000
+STATES = 150_000
 #: Pieces remembered in one generation; two generations are kept.
-PIECES = 150_000
+PIECES = 100_000
 #: Pairs of tokens of which it is remembered whether they may follow each other.
-PAIRS = 400_000
+PAIRS = 300_000
 NO_TOKEN = -1
 
 
@@ -280,7 +280,7 @@ class Pieces:
 
 @cache
 def _encoder(path: str, pattern: str) -> Segments:
-    return Segments(Pieces(read_ranks(path), pattern).encode, b"".join, 100_000)
+    return Segments(Pieces(read_ranks(path), pattern).encode, b"".join, 50_000)
 
 
 @cache
