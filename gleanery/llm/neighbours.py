@@ -21,8 +21,12 @@ SAMPLE = 20_000
 #: Rows in a leaf, about, while the sample has enough rows for that many leaves.
 LEAF_ROWS = 100
 LEAST_SAMPLE_IN_LEAF = 8
-#: Rows of leaves that a query looks at, rows in several trees counted for each.
+#: Rows of leaves that a query looks at, at least, rows in several trees counted for each.
 EXAMINED = 36_000
+#: Share of true neighbours that queries must find, and how many queries show it, at most, the first by a hash of their ids.
+RECALL, MEASURED = 0.9, 256
+#: Standard errors by which the measured queries must be above ``RECALL``.
+SURE = 3.0
 #: Candidates of a task that are gathered before all but each query's best are dropped.
 GATHERED = 1_000_000
 ROUNDING = 1e-9
@@ -96,11 +100,40 @@ def search(trees: list[Tree], queries: np.ndarray, sizes: list[np.ndarray], exam
             yield found
 
 
+def reached(trees: list[Tree], queries: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """For each query the ``examined`` with which ``search`` looks at each leaf, whatever the order of equal distances."""
+    planes = np.concatenate([t.normals for t in trees])
+    offsets = np.concatenate([t.offsets for t in trees])
+    held = sizes.ravel()
+    for query in queries:
+        distances = (planes @ query - offsets).reshape(len(trees), -1)
+        far, level = np.zeros((len(trees), 1)), 0
+        while far.shape[1] < sizes.shape[1]:
+            distance = distances[:, level : 2 * level + 1]
+            beyond, farther = distance > 0, np.maximum(far, np.abs(distance))
+            far = np.stack([np.where(beyond, farther, far), np.where(beyond, far, farther)], axis=2).reshape(len(trees), -1)
+            level = 2 * level + 1
+        far = far.ravel()
+        order = np.argsort(far)
+        upto = np.cumsum(held[order])[np.searchsorted(far[order], far, side="right") - 1]
+        yield upto - held + 1
+
+
+def enough(query: np.ndarray, needed: np.ndarray) -> int:
+    """The least ``examined`` with which queries surely find ``RECALL`` of their neighbours, given what each neighbour needs."""
+    _, query, counts = np.unique(query, return_inverse=True, return_counts=True)
+    for examined in np.unique(np.quantile(needed, np.linspace(RECALL, 1, 101), method="higher")):
+        found = np.bincount(query, needed <= examined) / counts
+        if found.mean() - SURE * found.std() / np.sqrt(len(found)) >= RECALL:
+            break
+    return int(examined)
+
+
 def best(query: np.ndarray, other: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     """Positions of each query's ``k`` best, largest score first, then smallest id, each id once."""
     order = np.lexsort((other, -score, query))
     q, o = query[order], other[order]
-    again = np.concatenate([[False], (q[1:] == q[:-1]) & (o[1:] == o[:-1])])
+    again = np.concatenate([[False], (q[1:] == q[:-1]) & (o[1:] == o[:-1])])[: len(q)]
     order, q = order[~again], q[~again]
     starts = np.concatenate([[0], np.flatnonzero(q[1:] != q[:-1]) + 1]) if len(q) else np.zeros(0, int)
     rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(q)]])))
@@ -155,7 +188,7 @@ def nearest(
     id: str = "vec_id",
     vector: str = "embedding",
     trees: int = TREES,
-    examined: int = EXAMINED,
+    examined: int | None = None,
 ) -> DataFrame:
     """For each row for which ``is_query`` holds its ``k`` nearest: ``query_id, rank, vec_id, score``.
 
@@ -164,6 +197,9 @@ def nearest(
     more component, which makes all rows equally long. Queries meet the rows of their leaves only, and
     those are scored exactly. A query that may examine all rows gets its true neighbours.
 
+    Unless ``examined`` says how many rows of leaves a query looks at, a bounded number of queries is compared
+    with all rows, and all queries look at as many as these need for ``RECALL``, and at ``EXAMINED`` at least.
+
     Rows without id, unusable vectors and vectors of another size than most take no part. Of equal
     vectors the ``k + 1`` smallest ids are indexed, which no others can come before. Repeated rows count once.
     """
@@ -204,6 +240,46 @@ def nearest(
     for leaf, n in leaves.groupBy("leaf").count().collect():
         counted[leaf] = n
     sizes = session.sparkContext.broadcast(counted.reshape(trees, -1))
+    asked = given.join(spread(rows.where(is_query).select(F.col(id).cast("bigint").alias("vec_id")).distinct(), "vec_id"), "vec_id", "left_semi")
+    ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def ranked(scored: DataFrame) -> DataFrame:
+        once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return once.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
+
+    def measured() -> int:
+        some = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MEASURED).toArrow().combine_chunks()
+        if not len(some):
+            return EXAMINED
+        ids, first = np.unique(some["vec_id"].to_numpy(), return_index=True)
+        vectors = matrix(some["vector"].combine_chunks(), size)[first]
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            top = _Best(k)
+            for batch in batches:
+                if batch.num_rows:
+                    top.add(ids, vectors.astype(np.float64), batch.column("vec_id").to_numpy(), matrix(batch.column("vector"), size).astype(np.float64))
+                if top.rows > GATHERED:
+                    top.compact()
+            yield top.batch()
+
+        # The first tree's leaves have every row of the index once.
+        once = leaves.where(F.col("leaf") < counted.size // trees)
+        true = ranked(once.mapInArrow(compare, "query_id bigint, vec_id bigint, score double")).select("query_id", "vec_id")
+        places = leaves.select("leaf", "vec_id").join(F.broadcast(true), "vec_id").toArrow()
+        if not len(places):
+            return EXAMINED
+        query, other, leaf = (places[c].to_numpy() for c in ("query_id", "vec_id", "leaf"))
+        needs = np.zeros(len(leaf), np.int64)
+        for one, reach in zip(ids, reached(forest, lengthened(vectors, False), sizes.value)):
+            needs[query == one] = reach[leaf[query == one]]
+        # A neighbour is found in whichever tree comes to it first.
+        order = np.lexsort((needs, other, query))
+        pairs, first = np.unique(np.column_stack([query, other])[order], axis=0, return_index=True)
+        return max(EXAMINED, enough(pairs[:, 0], needs[order][first]))
+
+    if examined is None:
+        examined = EXAMINED if count * trees <= EXAMINED else measured()
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +291,6 @@ def nearest(
                 part = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), part.column("vec_id"), part.column("vector")], ["leaf", "vec_id", "vector"])
 
-    asked = given.join(spread(rows.where(is_query).select(F.col(id).cast("bigint").alias("vec_id")).distinct(), "vec_id"), "vec_id", "left_semi")
     looked = asked.mapInArrow(look, schema)
     both = leaves.withColumn("asks", F.lit(1)).unionByName(looked.withColumn("asks", F.lit(0)))
     tasks = max(2, int(session.conf.get("spark.sql.shuffle.partitions")))
@@ -252,7 +327,4 @@ def nearest(
 
     scored = both.mapInArrow(score, "query_id bigint, vec_id bigint, score double")
     # About k candidates of a query come from each task.
-    ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = once.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return ranked(scored).select("query_id", "rank", "vec_id", "score")

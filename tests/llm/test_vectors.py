@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gleanery.checks.base import table
@@ -67,6 +68,36 @@ def test_neighbours_recall_when_few_rows_are_examined(spark):
     assert hits / (10 * len(range(0, len(x), 20))) > 0.9
 
 
+@pytest.mark.parametrize("n", [100_000, 200_000])
+def test_neighbours_recall_without_structure(spark, n):
+    x = np.random.default_rng(1).standard_normal((n, 64)).astype(np.float32)
+    vectors = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 64).cast(pa.list_(pa.float32()))
+    rows = spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(n)), "embedding": vectors}))
+    queries = np.arange(0, n, n // 500)
+    scores = x[queries].astype(float) @ x.T.astype(float)
+    scores[np.arange(len(queries)), queries] = -np.inf
+    kth = -np.partition(-scores, 19, axis=1)[:, 19]
+    found = neighbours.nearest(rows, f"vec_id % {n // 500} = 0").toArrow()
+    at = np.searchsorted(queries, found["query_id"].to_numpy())
+    assert (np.bincount(at) == 20).all()
+    assert (found["score"].to_numpy() >= kth[at] - 1e-9).sum() / (20 * len(queries)) >= 0.9
+
+
+def test_best_of_no_candidates():
+    assert not len(neighbours._Best(3).compact()[0])
+
+
+def test_reach_is_what_the_search_needs():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((2000, 8)).astype(np.float32)
+    trees = [neighbours.plant(x, 5, seed) for seed in range(3)]
+    sizes = np.array([np.bincount(t.leaves(x), minlength=32) for t in trees])
+    for query, reach in zip(x[:20], neighbours.reached(trees, x[:20], sizes)):
+        for examined in (1, 300, 1500, 6000):
+            found = {t * 32 + leaf for t, leaf in next(neighbours.search(trees, query[None], list(sizes), examined))}
+            assert set(np.flatnonzero((reach <= examined) & (sizes.ravel() > 0))) <= found
+
+
 def test_neighbours_odd_rows(spark, odd_vectors):
     rows = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in neighbours.nearest(odd_vectors, "vec_id % 20 = 0", k=3).collect())
     by = {q: [(i, round(s, 6)) for a, _, i, s in rows if a == q] for q in {r[0] for r in rows}}
