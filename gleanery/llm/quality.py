@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.skew import spread
+from .common import written
 from .vectors import matrix
 
-#: Bounds on what is learned from: labelled documents, and unlabelled ones for pseudo-labels.
-LABELLED, POOL = 8000, 8000
+#: Bound on the labelled documents that are learned from.
+LABELLED = 8000
 ROUNDS = 3
 #: Pseudo-labels that a classifier hands over in a round, at most, and how sure it must be of each.
 HANDED, SURE = 400, 0.97
@@ -104,8 +107,34 @@ class Model:
         return [_sigmoid(v) for v in (both, *logits)]
 
 
-def cotrain(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS) -> Model | None:
-    """Two classifiers that teach each other on ``pool`` (their two views of unlabelled rows).
+#: A row that is handed to a view: the view, the label, how sure the other view is, the row's id and its two views.
+Handed = tuple[int, int, float, object, np.ndarray, np.ndarray]
+
+
+def surest(ids: list, views: list[np.ndarray], model: Model, taken: list[set], counts: tuple[int, int]) -> list[Handed]:
+    """For either view and label 0 and 1 the ``counts`` rows of which the other view is surest; of equal ones the first rows.
+
+    A view is handed no id twice, and none of its ``taken``.
+    """
+    handed = []
+    for view in (0, 1):
+        p = _sigmoid(logit(logit(views[view], model.views[view])[:, None], model.calibrations[view]))
+        for label, sure in ((1, p), (0, 1 - p)):
+            # Products of matrices round differently from batch to batch.
+            sure, other = np.round(sure, 9), set(taken[1 - view])
+            for row in np.argsort(-sure, kind="stable"):
+                if sure[row] < SURE or len(other) - len(taken[1 - view]) == counts[label]:
+                    break
+                if ids[row] not in other:
+                    other.add(ids[row])
+                    handed.append((1 - view, label, float(sure[row]), ids[row], views[0][row], views[1][row]))
+    return handed
+
+
+def cotrain(
+    views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray] | Callable[[Model, list[set], tuple[int, int]], list[Handed]], rounds: int = ROUNDS
+) -> Model | None:
+    """Two classifiers that teach each other on ``pool``: the two views of unlabelled rows, or what gives the surest of them.
 
     In each round either one is trained, calibrated on held-back labels, and hands the rows of which it is
     surest to the other's training rows, of each class in its share. None if there are too few labels.
@@ -113,67 +142,117 @@ def cotrain(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], roun
     back = np.arange(len(y)) % CALIBRATION == 0
     if min((y == 1).sum(), (y == 0).sum()) < FEWEST or len(set(y[back])) < 2 or len(set(y[~back])) < 2:
         return None
+    if not callable(pool):
+        pool = partial(surest, list(range(len(pool[0]))), pool)
     prior = float(y.mean())
-    given: list[dict[int, int]] = [{}, {}]
+    counts = tuple(max(1, round(HANDED * share)) for share in (1 - prior, prior))
+    given: list[dict[object, tuple[int, np.ndarray]]] = [{}, {}]
     model = Model(prior=math.log(prior / (1 - prior)))
     for turn in range(rounds + 1):
         model.views, model.calibrations = [], []
         for view in (0, 1):
-            rows = np.array(sorted(given[view]), dtype=int)
-            x = np.concatenate([views[view][~back], pool[view][rows]])
-            target = np.concatenate([y[~back], [given[view][r] for r in rows]])
+            rows = [given[view][r] for r in sorted(given[view])]
+            x = np.concatenate([views[view][~back], *(x[None, :] for _, x in rows)])
+            target = np.concatenate([y[~back], [label for label, _ in rows]])
             weight = np.concatenate([np.ones((~back).sum()), np.full(len(rows), PSEUDO_WEIGHT)])
             beta = fit(x, target, weight)
             held = logit(views[view][back], beta)[:, None]
             model.views.append(beta)
             model.calibrations.append(fit(held, y[back], np.ones(back.sum()), ridge=0.1))
-        if turn == rounds or not len(pool[0]):
+        if turn == rounds:
+            break
+        handed = pool(model, [set(g) for g in given], counts)
+        for view, label, _, id, *both in handed:
+            given[view].setdefault(id, (label, both[view]))
+        if not handed:
             break
-        for view in (0, 1):
-            p = _sigmoid(logit(logit(pool[view], model.views[view])[:, None], model.calibrations[view]))
-            other = given[1 - view]
-            for label, sure, share in ((1, p, prior), (0, 1 - p, 1 - prior)):
-                best = [int(r) for r in np.argsort(-sure, kind="stable") if sure[r] >= SURE and int(r) not in other]
-                other.update({r: label for r in best[: max(1, round(HANDED * share))]})
     logits = [logit(logit(v[back], b)[:, None], c) for v, b, c in zip(views, model.views, model.calibrations)]
     model.together = fit((logits[0] + logits[1] - model.prior)[:, None], y[back], np.ones(back.sum()), ridge=0.1)
     return model
 
 
+def _surest_of_all(pool: DataFrame, model: Model, taken: list[set], counts: tuple[int, int]) -> list[Handed]:
+    """``surest`` of all rows of ``pool`` (``id, place, text, page``): of each task's surest rows the surest, equal ones by ``place``."""
+    kind = pool.schema["id"].dataType.simpleString()
+    names = ["view", "label", "sure", "id", "place", "text", "page"]
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = batch.sort_by([("place", "ascending"), ("id", "ascending")])
+            ids = batch.column("id").to_pylist()
+            places = dict(zip(ids, batch.column("place").to_pylist()))
+            text, page = matrix(batch.column("text"), len(batch.column("text")[0])), matrix(batch.column("page"), 3)
+            for view, label, sure, id, x, page_x in surest(ids, [text, page_features(page)], model, taken, counts):
+                if sure > held.get((view, label, id), (0.0,))[0]:
+                    held[view, label, id] = (sure, places[id], x, np.flatnonzero(page_x).tolist())
+            for group in {key[:2] for key in held}:
+                keys = sorted((k for k in held if k[:2] == group), key=lambda k: (-held[k][0], held[k][1], k[2]))
+                for key in keys[counts[group[1]] :]:
+                    del held[key]
+        rows = [(*key[:2], sure, key[2], place, x.tolist(), page) for key, (sure, place, x, page) in held.items()]
+        columns = list(zip(*rows)) or [[]] * len(names)
+        types = [pa.int32(), pa.int32(), pa.float64(), pool_id, pa.int64(), pa.list_(pa.float32()), pa.list_(pa.int32())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    pool_id = pool.select("id").limit(0).toArrow().schema.field("id").type
+    found = pool.mapInArrow(of_task, f"view int, label int, sure double, id {kind}, place bigint, text array<float>, page array<int>")
+    order = [F.desc("sure"), "place", "id", "text", "page"]
+    found = found.withColumn("again", F.row_number().over(Window.partitionBy("view", "label", "id").orderBy(*order))).where("again = 1")
+    found = found.withColumn("rank", F.row_number().over(Window.partitionBy("view", "label").orderBy(*order)))
+    found = found.where((F.col("rank") <= max(counts)) & (F.col("rank") <= F.when(F.col("label") == 1, counts[1]).otherwise(counts[0])))
+    rows = found.orderBy("view", F.desc("label"), "rank").collect()
+    return [(r["view"], r["label"], r["sure"], r["id"], np.array(r["text"], np.float32), page_features(np.array([r["page"]]))[0]) for r in rows]
+
+
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "quality", **columns: str) -> Model | None:
-    """Train on at most ``LABELLED`` labelled and ``POOL`` unlabelled documents, the first by a hash of the id.
+    """Train on at most ``LABELLED`` labelled documents, the first by a hash of the id, and on all unlabelled ones.
 
-    Only their features come to the driver. Labels other than 0 and 1 and contradictory ones teach
-    nothing. None if a class has fewer than ``FEWEST`` labels.
+    The unlabelled documents' features are written once and scored in each round where they lie. Features of the
+    labelled documents and of those handed over come to the driver. Labels other than 0 and 1 and contradictory
+    ones teach nothing. None if a class has fewer than ``FEWEST`` labels.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull()).groupBy(F.col(id).alias("id"))
     known = known.agg(F.min(label).alias("y"), F.max(label).alias("most")).where("y = most").select("id", "y")
     ids = docs.select(F.col(id).alias("id")).where("id IS NOT NULL")
     order = [F.xxhash64("id"), F.col("id")]
-    # A hash of the id sorts them; both lists have a fixed bound, so they may be broadcast.
+    # A hash of the id sorts them; the list has a fixed bound, so it may be broadcast.
     first = known.join(ids.distinct(), "id", "left_semi").orderBy(*order).limit(LABELLED)
-    some = ids.orderBy(*order).limit(2 * POOL).distinct()
-    rest = some.join(known, "id", "left_anti").orderBy(*order).limit(POOL).select("id", F.lit(None).cast("int").alias("y"))
-    chosen = F.broadcast(first.select("id", F.col("y").cast("int").alias("y")).unionByName(rest))
-    rows = _viewed(docs, columns, [F.col(id).alias("_id")]).join(chosen, F.col("_id") == F.col("id"))
+    chosen = F.broadcast(first.select(F.col("id").alias("_chosen"), F.col("y").cast("int").alias("y")))
+    rows = _viewed(docs, columns, [F.col(id).alias("id")]).where("id IS NOT NULL")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            kept = [c for c in ("id", "y") if c in batch.schema.names]
             text, places = _features(batch)
             lists = [pa.array(list(text), pa.list_(pa.float32())), pa.array(places, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), *lists], ["id", "y", "text", "page"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *lists], [*kept, "text", "page"])
 
     kind = docs.schema[id].dataType.simpleString()
-    schema = f"id {kind}, y int, text array<float>, page array<int>"
+    lists = "text array<float>, page array<int>"
     # In an order that does not depend on the tasks; calibration takes every fifth row.
-    found = rows.mapInArrow(features, schema).dropDuplicates(["id"]).orderBy(F.xxhash64("id", F.lit(1)), "id").drop("id").toArrow()
+    place = F.xxhash64("id", F.lit(1))
+    labelled = rows.join(chosen, F.col("id") == F.col("_chosen")).mapInArrow(features, f"id {kind}, y int, {lists}")
+    found = labelled.dropDuplicates(["id"]).orderBy(place, "id").drop("id").toArrow()
     if not len(found):
         return None
-    labelled = found["y"].is_valid().combine_chunks().to_numpy(zero_copy_only=False)
     text = matrix(found["text"].combine_chunks(), len(found["text"][0]))
     page = page_features(matrix(found["page"].combine_chunks(), 3))
-    y = found["y"].combine_chunks().drop_null().to_numpy().astype(float)
-    return cotrain([text[labelled], page[labelled]], y, [text[~labelled], page[~labelled]])
+    y = found["y"].combine_chunks().to_numpy().astype(float)
+    made: list[DataFrame] = []
+
+    def pool(*round) -> list[Handed]:
+        if not made:
+            others = rows.mapInArrow(features, f"id {kind}, {lists}")
+            others = others.join(spread(known.select("id"), "id"), "id", "left_anti")
+            made.append(written(others.withColumn("place", place), "unlabelled"))
+        return _surest_of_all(made[0], *round)
+
+    return cotrain([text, page], y, pool)
 
 
 def _viewed(docs: DataFrame, columns: dict[str, str], more: list) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from gleanery.checks.base import table
 from gleanery.llm import langid, quality
@@ -73,6 +74,28 @@ def test_views_teach_each_other():
     assert both.mean() > 0.88 and both.mean() > text.mean() and both.mean() > page.mean()
 
 
+def test_all_unlabelled_documents_teach(spark):
+    """Sure texts of a source without labels come after the first 8,000 unlabelled ids by hash."""
+    rng = random.Random(1)
+
+    def good():
+        return " ".join(rng.choice(["tree", "river", "walks", "over"]) for _ in range(30))
+
+    ids = [r.id for r in spark.range(1000, 10500).orderBy(F.xxhash64("id")).collect()]
+    rows = [(i, "", "s0") for i in ids[:9200]] + [(i, good(), "rare") for i in ids[9200:]]
+    labels = []
+    for i in range(600):
+        quality_of, clear = i % 2, i % 4 < 2
+        text = "" if not clear else good() if quality_of else "BUY!! NOW!! " * rng.randrange(1, 9)
+        rows.append((i, text, "s1" if rng.random() < (0.7 if quality_of else 0.3) else "s0"))
+        labels.append((i, quality_of))
+    docs = spark.createDataFrame([(i, t, "en", s, 100) for i, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    model = quality.train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    found = quality.with_quality(docs, model, "q").groupBy("source").agg(F.avg("q.page_score").alias("score")).collect()
+    scores = {r.source: r.score for r in found}
+    assert scores["rare"] > 0.8 > scores["s1"]
+
+
 def test_quality_without_a_model(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (3, 7)], "doc_id bigint, quality int")
     model = quality.train(odd_docs, labels)
