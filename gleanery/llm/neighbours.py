@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import spread
 from .common import written
-from .vectors import commonest_size, matrix, norm, usable
+from .vectors import matrix, norm, sizes_of, usable
 
 TREES = 16
 #: Vectors that the trees' planes are fitted on, at most, the first by a hash of their ids.
@@ -200,13 +201,26 @@ def nearest(
     Unless ``examined`` says how many rows of leaves a query looks at, a bounded number of queries is compared
     with all rows, and all queries look at as many as these need for ``RECALL``, and at ``EXAMINED`` at least.
 
-    Rows without id, unusable vectors and vectors of another size than most take no part. Of equal
-    vectors the ``k + 1`` smallest ids are indexed, which no others can come before. Repeated rows count once.
+    Vectors of each size have a forest of their own, which queries of that size meet. Rows without id and
+    unusable vectors take no part. Of equal vectors the ``k + 1`` smallest ids are indexed, which no others can come before. Repeated rows count once.
     """
     given = rows.select(F.col(id).cast("bigint").alias("vec_id"), F.col(vector).alias("vector"))
     given = given.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    size = commonest_size(given, "vector")
-    given = written(given.where(F.size("vector") == size).distinct(), "vectors")
+    given = written(given.distinct(), "vectors")
+    queries = rows.where(is_query).select(F.col(id).cast("bigint").alias("vec_id")).distinct()
+    sizes = sizes_of(given, "vector") or [0]
+    scored = [_scored(given.where(F.size("vector") == size), queries, size, k, trees, examined) for size in sizes]
+    return _ranked(reduce(DataFrame.unionByName, scored), k).select("query_id", "rank", "vec_id", "score")
+
+
+def _ranked(scored: DataFrame, k: int) -> DataFrame:
+    ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return once.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
+
+
+def _scored(given: DataFrame, queries: DataFrame, size: int, k: int, trees: int, examined: int | None) -> DataFrame:
+    """``query_id, vec_id, score`` of each task's best candidates, for vectors of one size."""
     longest, count = given.agg(F.max(norm(F.col("vector"))), F.count(F.lit(1))).first()
     longest = longest or 1.0
     order = Window.partitionBy("vector").orderBy("vec_id")
@@ -223,7 +237,7 @@ def nearest(
     points = lengthened(matrix(sample["vector"].combine_chunks(), size), True) if size else np.zeros((0, 1), np.float32)
     depth = _depth(count, len(points))
     forest = [plant(points, depth, SEED + i) for i in range(trees)]
-    session = rows.sparkSession
+    session = given.sparkSession
     shared = session.sparkContext.broadcast(forest)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,12 +254,7 @@ def nearest(
     for leaf, n in leaves.groupBy("leaf").count().collect():
         counted[leaf] = n
     sizes = session.sparkContext.broadcast(counted.reshape(trees, -1))
-    asked = given.join(spread(rows.where(is_query).select(F.col(id).cast("bigint").alias("vec_id")).distinct(), "vec_id"), "vec_id", "left_semi")
-    ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-
-    def ranked(scored: DataFrame) -> DataFrame:
-        once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        return once.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
+    asked = given.join(spread(queries, "vec_id"), "vec_id", "left_semi")
 
     def measured() -> int:
         some = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MEASURED).toArrow().combine_chunks()
@@ -265,7 +274,7 @@ def nearest(
 
         # The first tree's leaves have every row of the index once.
         once = leaves.where(F.col("leaf") < counted.size // trees)
-        true = ranked(once.mapInArrow(compare, "query_id bigint, vec_id bigint, score double")).select("query_id", "vec_id")
+        true = _ranked(once.mapInArrow(compare, "query_id bigint, vec_id bigint, score double"), k).select("query_id", "vec_id")
         places = leaves.select("leaf", "vec_id").join(F.broadcast(true), "vec_id").toArrow()
         if not len(places):
             return EXAMINED
@@ -325,6 +334,5 @@ def nearest(
                         top = _Best(k)
         yield top.batch()
 
-    scored = both.mapInArrow(score, "query_id bigint, vec_id bigint, score double")
     # About k candidates of a query come from each task.
-    return ranked(scored).select("query_id", "rank", "vec_id", "score")
+    return both.mapInArrow(score, "query_id bigint, vec_id bigint, score double")

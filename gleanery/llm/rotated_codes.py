@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators.skew import spread
 from .common import written
 from .components import components
-from .vectors import commonest_size, matrix, usable
+from .vectors import matrix, sizes_of, usable
 
 SEED = 11
 #: How often a pair just at the threshold may share no bucket at all.
@@ -233,20 +234,21 @@ def near_duplicates(
     a bucket is estimated from one side's code; unless the upper confidence bound is below the threshold, it
     is computed exactly, so no link is wrong.
 
-    Rows without id or label, with an unusable vector, or of another size than most link with nothing: no
-    links, their own id as component, and kept. Repeated rows link with each other as equal vectors do.
+    Vectors of each size are compared among themselves. Rows without id or label or with an unusable vector link
+    with nothing: no links, their own id as component, and kept. Repeated rows link with each other as equal vectors do.
     """
     given = rows.select(F.col(id).alias("vec_id"), F.col(label).alias("label"), F.col(vector).alias("vector"))
     sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector"))
-    size = commonest_size(given.where(sound), "vector")
-    sound = sound & (F.size("vector") == size)
     valid = given.where(sound)
     alone = given.where(~sound).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if size:
+    sizes = sizes_of(valid, "vector")
+    if sizes:
         classes = valid.groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))
         # Numbered once, when written; an id may stand in more than one class.
         classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
-        parts = written(_links(classes.select("label", "rep", "n", "vector"), size, threshold), "links")
+        classed = classes.select("label", "rep", "n", "vector")
+        links = [_links(classed.where(F.size("vector") == size), size, threshold) for size in sizes]
+        parts = written(reduce(DataFrame.unionByName, links), "links")
         counts = parts.groupBy("rep").agg(F.sum("links").alias("links"))
         roots = components(parts.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
         member = classes.join(counts, "rep", "left").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))

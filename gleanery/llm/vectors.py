@@ -18,11 +18,9 @@ def norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
 
 
-def commonest_size(rows: DataFrame, vector: str) -> int:
-    """The number of components that most vectors have (the smaller of two); 0 without rows."""
-    sizes = rows.groupBy(F.size(vector).alias("size")).count()
-    first = sizes.orderBy(F.desc("count"), "size").first()
-    return first["size"] if first else 0
+def sizes_of(rows: DataFrame, vector: str) -> list[int]:
+    """The numbers of components that vectors have, the smallest first."""
+    return sorted(r["size"] for r in rows.select(F.size(vector).alias("size")).distinct().collect())
 
 
 def matrix(column: pa.Array, size: int) -> np.ndarray:

@@ -153,6 +153,21 @@ def test_links_odd_rows(spark, odd_vectors):
     assert rotated_codes.near_duplicates(odd_vectors.limit(0)).count() == 0
 
 
+def test_every_size_of_vectors_takes_part(spark):
+    x, labels = clustered(200)
+    rare, _ = clustered(100, size=9, seed=5)
+    rows = [(i, v.tolist(), int(label), 1, "") for i, (v, label) in enumerate(zip([*x, *rare], [*labels, *labels[:100]]))]
+    table = spark.createDataFrame(rows, SCHEMA)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in rotated_codes.near_duplicates(table).collect()}
+    ids = np.arange(200, 300)
+    assert found == linked(np.arange(200), x, labels) | linked(ids, rare, labels[:100])
+    assert any(found[i][0] for i in ids)
+    near = neighbours.nearest(table, "vec_id % 20 = 0", k=5).collect()
+    for q in range(0, 300, 20):
+        want = nearest(np.arange(200), x, q, 5) if q < 200 else nearest(ids, rare, q - 200, 5)
+        assert [r.vec_id for r in sorted(near, key=lambda r: r.rank) if r.query_id == q] == [i for i, _ in want]
+
+
 def test_bounds_hold_and_estimates_are_unbiased():
     rng = np.random.default_rng(4)
     codes = rotated_codes.Codes(64, 192)
