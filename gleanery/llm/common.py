@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from ..session import scratch_path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and safe from lost executors."""
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

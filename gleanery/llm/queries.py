@@ -7,7 +7,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 from ..checks.base import Registry, table
-from . import bpe, langid, neighbours, packing, quality, reshard, rotated_codes, secrets, simhash, token_counts
+from . import bpe, langid, neighbours, packing, phrases, quality, reshard, rotated_codes, secrets, simhash, token_counts, whitening
 
 operators = Registry()
 QUERIES, ORACLES = operators.queries, operators.oracles
@@ -130,3 +130,50 @@ SQL_ROTATED = """
 @operators.add(SQL_ROTATED)
 def op9_rotated_code_dedup(spark, sf_dir):
     return rotated_codes.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@operators.add()
+def op11_spectrum_whitening(spark, sf_dir):
+    embeddings = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(embeddings, whitening.fit(embeddings))
+
+
+#: Parts of frequent phrases are frequent as well, so all but the counting looks at these few.
+SQL_PHRASES = """
+    WITH texts AS (
+        SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents),
+    pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+    split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces),
+    placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split),
+    grams AS (
+        SELECT lang, 1 AS size, words[i] AS phrase FROM placed
+        UNION ALL SELECT lang, 2, words[i] || ' ' || words[i + 1] FROM placed WHERE i + 1 <= len(words)
+        UNION ALL SELECT lang, 3, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FROM placed WHERE i + 2 <= len(words)
+        UNION ALL SELECT lang, 4, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3] FROM placed WHERE i + 3 <= len(words)),
+    totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM split GROUP BY lang),
+    frequent AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+    candidates AS MATERIALIZED (SELECT lang, size, phrase, string_split(phrase, ' ') AS words, f AS a FROM frequent WHERE size > 1),
+    inside AS (
+        SELECT lang, array_to_string(words[i:i + part - 1], ' ') AS phrase, max(a) AS longer
+        FROM candidates, (SELECT unnest([2, 3]) AS part), (SELECT unnest([1, 2, 3]) AS i)
+        WHERE part < size AND i + part - 1 <= size GROUP BY ALL),
+    cuts AS (
+        SELECT lang, size, phrase, a, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:], ' ') AS tail
+        FROM candidates, (SELECT unnest([1, 2, 3]) AS k) WHERE k < size),
+    scored AS (
+        SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, (2000000 * a::HUGEINT) // (l.f::HUGEINT + r.f) AS score
+        FROM cuts c JOIN frequent l ON l.lang = c.lang AND l.size = k AND l.phrase = head
+        JOIN frequent r ON r.lang = c.lang AND r.size = c.size - k AND r.phrase = tail),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    kept AS (
+        SELECT l.* FROM lowest l LEFT JOIN inside i ON i.lang = l.lang AND i.phrase = l.phrase
+        WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@operators.add(SQL_PHRASES)
+def op12_itemset_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
