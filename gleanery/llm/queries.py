@@ -7,7 +7,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 from ..checks.base import Registry, table
-from . import bpe, langid, neighbours, packing, phrases, quality, reshard, rotated_codes, secrets, simhash, token_counts, whitening
+from . import bpe, langid, neighbours, packing, personal, phrases, quality, reshard, rotated_codes, secrets, simhash, token_counts, whitening
 
 operators = Registry()
 QUERIES, ORACLES = operators.queries, operators.oracles
@@ -177,3 +177,12 @@ SQL_PHRASES = """
 @operators.add(SQL_PHRASES)
 def op12_itemset_phrases(spark, sf_dir):
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@operators.add()
+def op13_lstm_crf_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = personal.find(docs, personal.train(personal.lessons(docs)))
+    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in personal.KINDS]
+    base = F.sha2(personal.span_list(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, personal.span_list(F.col("spans")).alias("spans"))
