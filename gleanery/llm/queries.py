@@ -18,8 +18,8 @@ def op4_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def _of_kind(kind):
-    return F.coalesce(F.size(F.filter("spans", lambda span: span["kind"] == kind)), F.lit(0)).cast("bigint").alias(f"n_{kind}")
+def _of_kind(kind, spans="spans"):
+    return F.coalesce(F.size(F.filter(spans, lambda span: span["kind"] == kind)), F.lit(0)).cast("bigint").alias(f"n_{kind}")
 
 
 #: Positions as running sums of the lengths of matches and of what stands between them.
@@ -183,6 +183,6 @@ def op12_itemset_phrases(spark, sf_dir):
 def op13_lstm_crf_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = personal.find(docs, personal.train(personal.lessons(docs)))
-    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in personal.KINDS]
     base = F.sha2(personal.span_list(F.col("base")), 256).alias("base_sha256")
-    return found.select("doc_id", *counts, base, personal.span_list(F.col("spans")).alias("spans"))
+    spans = personal.span_list(F.col("spans")).alias("spans")
+    return found.select("doc_id", *[_of_kind(kind, "base") for kind in personal.KINDS], base, spans)
