@@ -14,7 +14,7 @@ from ..session import remove_path, scratch_path
 from .common import written
 
 #: Shards of the corpus; one is read in a step.
-SHARDS = 4
+SHARDS = 3
 #: Longest phrases, in words.
 WORDS = 4
 #: Occurrences that make a phrase frequent.
@@ -57,22 +57,20 @@ class _Hashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         found = self[word] = xxhash.xxh3_64_intdigest(self.start + word, self.seed) or 1
-        self.fresh.append((word, found))
+        self.fresh.append(word)
         return found
 
 
 def _coded(docs: DataFrame, text: str, lang: str, shards: int, seed: int) -> DataFrame:
-    """The corpus as blocks of word hashes, dealt over the shards, and the words that the hashes stand for.
+    """The corpus as blocks of word hashes, dealt over the shards.
 
-    A row is a block (``words``: 64-bit hashes, 0 where a piece ends; ``lead``: how many of them the block
-    before ended with), a word (``word``, ``hash``) or, with neither, a number of words ``n`` of a language.
+    A row is a block: ``words``, 64-bit hashes, 0 where a piece ends; ``lead``, how many of them the block before
+    ended with; ``n``, the number of words behind these; and the words that the task had not met before, as
+    one text (``spelt``), with their ``hashes``.
     """
-    schema = "shard int, lang string, words binary, lead int, word string, hash bigint, n bigint"
+    schema = "shard int, lang string, words binary, lead int, n bigint, spelt binary, hashes binary"
     names = [part.split()[0] for part in schema.split(", ")]
-    kinds = [pa.int32(), pa.string(), pa.binary(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    kinds = [pa.int32(), pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[str, _Hashes] = {}
@@ -81,29 +79,25 @@ def _coded(docs: DataFrame, text: str, lang: str, shards: int, seed: int) -> Dat
 
         def block(lang: str, parts: list[np.ndarray], lead: int) -> pa.RecordBatch:
             nonlocal turn
-            turn += 1
-            words = np.concatenate(parts)
-            rows = [(turn % shards, lang, words.astype("<u8").tobytes(), lead, None, None, None)]
-            rows.append((turn % shards, lang, None, None, None, None, int(np.count_nonzero(words[lead:]))))
-            own = hashes[lang]
-            rows += [(turn % shards, lang, None, None, w.decode("utf-8", "replace"), h - (1 << 64) * (h >> 63), None) for w, h in own.fresh]
+            turn, words, own = turn + 1, np.concatenate(parts), hashes[lang]
+            met = np.fromiter((own[w] for w in own.fresh), "<u8", len(own.fresh))
+            row = (turn % shards, lang, words.astype("<u8").tobytes(), lead, int(np.count_nonzero(words[lead:])), BREAK.join(own.fresh), met.tobytes())
             own.fresh = []
             if len(own) > REMEMBERED:
                 hashes[lang] = _Hashes(lang, seed)
-            return batch_of(rows)
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names)
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 if not text:
                     continue
-                own = hashes.setdefault(lang, _Hashes(lang, seed))
                 for chunk in _chunks(text):
-                    own = hashes[lang]
+                    own = hashes.get(lang)
+                    if own is None:
+                        own = hashes[lang] = _Hashes(lang, seed)
                     words = chunk.translate(FOLDED).replace(BREAK, b" " + BREAK + b" ").split()
-                    part = np.fromiter(map(own.__getitem__, words), np.uint64, len(words))
-                    parts, lead = open_.get(lang, ([], 0))
-                    parts.append(part)
-                    open_[lang] = parts, lead
+                    parts, lead = open_.setdefault(lang, ([], 0))
+                    parts.append(np.fromiter(map(own.__getitem__, words), np.uint64, len(words)))
                     if sum(map(len, parts)) >= BLOCK_WORDS:
                         yield block(lang, parts, lead)
                         tail = np.concatenate(parts)[1 - WORDS :]
@@ -118,37 +112,75 @@ def _coded(docs: DataFrame, text: str, lang: str, shards: int, seed: int) -> Dat
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
+def _lexicon(blocks: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``lang, word, hash`` of all words that share a cell of the filter with a frequent word: these words, and a few more."""
+    sent = blocks.sparkSession.sparkContext.broadcast(_filter(frequent.where(F.col(KEY[1]) == 0), 0))
+
+    def spelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = sent.value
+        for batch in batches:
+            for lang, text, met in zip(*(batch.column(c).to_pylist() for c in ("lang", "spelt", "hashes"))):
+                found = np.frombuffer(met, "<u8")
+                at = np.flatnonzero(_flags(cells, found * MIX))
+                words = text.split(BREAK)
+                spellings = [words[i].decode("utf-8", "replace") for i in at.tolist()]
+                columns = [pa.array([lang] * len(at), pa.string()), pa.array(spellings, pa.string()), pa.array(found[at].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "hash"])
+
+    return blocks.select("lang", "spelt", "hashes").mapInArrow(spelt, "lang string, word string, hash bigint").distinct()
+
+
 def _cells(key: np.ndarray) -> np.ndarray:
     return (key * SPREAD) >> np.uint64(64 - (CELLS.bit_length() - 1))
 
 
+def _flags(cells: np.ndarray, key: np.ndarray) -> np.ndarray:
+    cell = _cells(key)
+    return (cells[cell >> np.uint64(5)] >> (np.uint64(2) * (cell & np.uint64(31)))).astype(np.uint8) & 3
+
+
 def _follow(first: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The filter's key of a phrase: its first words' key, followed by a word."""
     return (first + word) * MIX ^ (first >> np.uint64(29))
 
 
-def _filter(reached: DataFrame, since: int) -> np.ndarray:
-    """A byte a cell: 1 if it has a phrase that reached the threshold, 3 if one did in step ``since`` or later.
+def _keys(batch: pa.RecordBatch) -> np.ndarray:
+    columns = [batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in KEY]
+    key = columns[0] * MIX
+    for word in columns[1:]:
+        key = np.where(word == 0, key, _follow(key, word))
+    return key
+
+
+def _filter(phrases: DataFrame, since: int) -> np.ndarray:
+    """A cell's flags: 1 if it has a phrase, 3 if it has one of step ``since`` or later; 32 cells in a number.
 
     What comes to the driver has at most one row for 32 cells, however many phrases there are.
     """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in KEY]
-            key = columns[0] * MIX
-            for word in columns[1:]:
-                key = np.where(word == 0, key, _follow(key, word))
-            cell = _cells(key).astype(np.int64)
+            cell = _cells(_keys(batch)).astype(np.int64)
             flags = 1 + 2 * (batch.column("step").to_numpy(zero_copy_only=False) >= since).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(cell >> 5), pa.array(flags << (2 * (cell & 31)))], ["place", "flags"])
 
-    flags = reached.select(*KEY, "step").mapInArrow(keyed, "place bigint, flags bigint").groupBy("place").agg(F.bit_or("flags").alias("flags")).toArrow()
+    flags = phrases.select(*KEY, "step").mapInArrow(keyed, "place bigint, flags bigint").groupBy("place").agg(F.bit_or("flags").alias("flags")).toArrow()
     packed = np.zeros(CELLS >> 5, np.uint64)
     packed[flags["place"].to_numpy()] = flags["flags"].to_numpy().view(np.uint64)
     return packed
 
 
+def _flagged(counts: DataFrame, cells: np.ndarray) -> DataFrame:
+    """The rows of phrases that share a cell of the filter with one of its phrases."""
+    sent = counts.sparkSession.sparkContext.broadcast(cells)
+
+    def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_flags(sent.value, _keys(batch)) > 0))
+
+    return counts.mapInArrow(flagged, counts.schema)
+
+
 def _counted(words: np.ndarray, lead: int, cells: np.ndarray | None, single: bool) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """Phrases that end behind the ``lead`` and are to be counted: columns of words, and their numbers.
 
@@ -164,8 +196,7 @@ def _counted(words: np.ndarray, lead: int, cells: np.ndarray | None, single: boo
     for length in range(2, WORDS + 1):
         if len(key) < 2:
             return
-        cell = _cells(key)
-        flags = (cells[cell >> np.uint64(5)] >> (np.uint64(2) * (cell & np.uint64(31)))).astype(np.uint8)
+        flags = _flags(cells, key)
         wanted = flags[:-1] & flags[1:] & ((flags[:-1] | flags[1:]) >> 1) & 1
         real = real[:-1] & (words[length - 1 :] > 0)
         wanted &= real
@@ -206,27 +237,31 @@ def _frequent(blocks: DataFrame, least: int, shards: int) -> DataFrame:
     Step ``t`` reads shard ``t`` modulo their number. Words are counted from the first step on; a longer phrase
     from the step after both its subphrases, all words but the last and all but the first, have reached the
     threshold, until its cycle is full. A cycle is ``shards`` steps, so the counts of any such run of steps add up
-    to no more than a phrase's occurrences, and over its own cycle to just these. Every step's counts are a
-    table in the shared folder; the last cycle's are kept.
+    to no more than a phrase's occurrences, and over its own cycle to just these. A phrase that reaches the
+    threshold has its share of it in one step at least, so only such phrases are added up. Every step's
+    counts are a table in the shared folder; the last cycle's are kept.
     """
-    cycle: list[tuple[str, DataFrame]] = []
-    reached, last, step = None, -1, 0
-    while step < shards or step <= last + shards:
-        shard = blocks.where((F.col("shard") == step % shards) & F.col("words").isNotNull())
-        cells = _filter(reached, step - shards) if reached is not None else None
+    cycle: list[tuple[str, DataFrame, np.ndarray]] = []
+    reached, cells, step = None, None, 0
+    share = -(-least // shards)
+    extended = np.uint64(0xAAAAAAAAAAAAAAAA)
+    while step < shards or (cells & extended).any():
+        shard = blocks.where(F.col("shard") == step % shards)
         path = scratch_path(blocks.sparkSession, "counted")
-        cycle.append((path, written(_scan(shard, cells, step < shards), "counted", path)))
+        counts = written(_scan(shard, cells, step < shards), "counted", path)
+        cycle.append((path, counts, _filter(counts.where(F.col("f") >= share).withColumn("step", F.lit(0)), 0)))
         if len(cycle) > shards:
             remove_path(blocks.sparkSession, cycle.pop(0)[0])
         found = cycle[0][1]
-        for _, counts in cycle[1:]:
+        for _, counts, _ in cycle[1:]:
             found = found.unionByName(counts)
+        found = _flagged(found, np.bitwise_or.reduce([some for _, _, some in cycle]))
         found = found.groupBy(*KEY).agg(F.sum("f").alias("f")).where(F.col("f") >= least).withColumn("step", F.lit(step))
         if reached is not None:
             found = found.unionByName(reached).groupBy(*KEY).agg(F.max("f").alias("f"), F.min("step").alias("step"))
-        reached = written(found, "reached")
-        newest = reached.where(F.col(KEY[-1]) == 0).agg(F.max("step")).first()[0]
-        last, step = -1 if newest is None else newest, step + 1
+        reached, step = written(found, "reached"), step + 1
+        # Of phrases that can grow: all, and those that reached the threshold within the last cycle.
+        cells = _filter(reached.where(F.col(KEY[-1]) == 0), step - shards)
     return reached
 
 
@@ -247,19 +282,17 @@ def collocations(
     hundredths of its occurrences. Order: score and ``a`` falling, then the phrase's bytes.
 
     NULL and empty texts have no words, a NULL language is ``und``, repeated rows count each, other columns are
-    left out, and an empty table gives no rows. Words are told apart by 64-bit hashes; if two words of the
-    corpus share one, all is counted anew with other hashes.
+    left out, and an empty table gives no rows. Words are told apart by 64-bit hashes; if another word
+    of the corpus has the hash of a frequent one, all is counted anew with other hashes.
     """
     seed = 0
     while True:
         blocks = _coded(docs, text, lang, shards, seed)
-        words = blocks.where("word IS NOT NULL").select("lang", "word", "hash").distinct()
-        words = written(words, "lexicon")
+        frequent = _frequent(blocks, least, shards)
+        words = written(_lexicon(blocks, frequent), "lexicon")
         if words.groupBy("hash").count().where("count > 1").isEmpty():
-            break
+            return _best(frequent, words, blocks.groupBy("lang").agg(F.sum("n").alias("n")), top, contained)
         seed += 1
-    frequent = _frequent(blocks, least, shards)
-    return _best(frequent, words, blocks.where("n IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n")), top, contained)
 
 
 def _best(frequent: DataFrame, words: DataFrame, totals: DataFrame, top: int, contained: int) -> DataFrame:
