@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import written
-from .library import ByteLevel
-from .segments import Segments, balanced
+from .library import byte_level
+from .segments import balanced
 
 LENGTH = 1024
 END = 0
@@ -48,10 +47,11 @@ class Windows:
     def place(self, piece: tuple) -> Iterator[list[tuple]]:
         """Emitted windows, each a list of pieces in order."""
         document, start, ids, total = piece
-        size = len(ids) // WIDTH
-        while size >= self.length:
-            yield [(document, start, ids[: self.length * WIDTH], total)]
-            start, ids, size = start + self.length, ids[self.length * WIDTH :], size - self.length
+        size, at = len(ids) // WIDTH, 0
+        while size - at >= self.length:
+            yield [(document, start + at, ids[at * WIDTH : (at + self.length) * WIDTH], total)]
+            at += self.length
+        start, ids, size = start + at, ids[at * WIDTH :], size - at
         if not size:
             return
         fits = [(used, i) for i, used in enumerate(self.used) if used + size <= self.length]
@@ -85,11 +85,6 @@ class Windows:
             yield window
 
 
-@cache
-def _ids(path: str) -> Segments:
-    return Segments(ByteLevel(path).encode, b"".join)
-
-
 class _Rows:
     """Collects pieces and hands them out as Arrow batches of a moderate size."""
 
@@ -138,13 +133,12 @@ def pack(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", len
         return pa.schema([(id, key), *names, ("ids", pa.binary()), ("left_over", pa.bool_())])
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, out, end = Windows(length, n_open), None, np.uint32(END).astype("<u4").tobytes()
+        windows, out, end, library = Windows(length, n_open), None, np.uint32(END).astype("<u4").tobytes(), byte_level(path)
         for batch in batches:
             out = out or _Rows(arrow_schema(batch.schema.field(0).type), 0)
             for rows in balanced(batch, "text") if batch.num_rows else ():
-                texts = [t or "" for t in rows.column("text").to_pylist()]
-                for document, ids in zip(rows.column(0).to_pylist(), _ids(path).of(texts)):
-                    ids += end
+                for document, text in zip(rows.column(0).to_pylist(), rows.column("text").to_pylist()):
+                    ids = library.ids(text or "") + end
                     for pieces in windows.place((document, 0, ids, len(ids) // WIDTH)):
                         out.add(pieces, False)
                     yield from out.batch()

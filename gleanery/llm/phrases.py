@@ -21,10 +21,9 @@ WORDS = 4
 LEAST = 30
 #: Cells of the filter that tells tasks which phrases to count. A phrase sharing a cell is counted needlessly at worst.
 CELLS = 1 << 24
-#: Words counted at a time, and words whose hashes a task remembers.
-BLOCK_WORDS = 1 << 20
-REMEMBERED = 1 << 20
-CHUNK_BYTES = 1 << 20
+#: Bytes of text of one language that are counted together, and that are split into words at a time.
+BLOCK_BYTES = 12 << 20
+CHUNK_BYTES = 1 << 18
 
 BREAK = b"\xff"  # no byte of UTF-8
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -36,11 +35,11 @@ KEY = [f"w{i}" for i in range(1, WORDS + 1)]
 MIX, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def _chunks(text: bytes) -> Iterator[bytes]:
-    """The text in chunks of about ``CHUNK_BYTES`` that end before white space."""
+def _chunks(text: bytes, size: int = CHUNK_BYTES) -> Iterator[bytes]:
+    """The text in chunks of about ``size`` bytes that end before white space."""
     start = 0
-    while len(text) - start > CHUNK_BYTES:
-        ends = [place for c in (b" ", b"\t", b"\n") if (place := text.find(c, start + CHUNK_BYTES)) >= 0]
+    while len(text) - start > size:
+        ends = [place for c in (b" ", b"\t", b"\n") if (place := text.find(c, start + size)) >= 0]
         if not ends:
             break
         yield text[start : min(ends)]
@@ -48,86 +47,110 @@ def _chunks(text: bytes) -> Iterator[bytes]:
     yield text[start:]
 
 
-class _Hashes(dict):
-    """Hashes of the words of one language; ``fresh`` lists those met for the first time."""
-
-    def __init__(self, lang: str, seed: int):
-        self.start, self.seed, self.fresh = lang.encode() + BREAK, seed, []
-        self[BREAK] = 0
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(self.start + word, self.seed) or 1
-        self.fresh.append(word)
-        return found
+class _Splitter:
+    """Splits texts of a language into words and hashes these, all at once: 0 stands where a piece ends.
 
+    A word's hash is a sum over its bytes, each a random number times a power of an odd base. Powers go
+    by the place in the text; one product makes up for the place where a word starts.
+    """
 
-def _coded(docs: DataFrame, text: str, lang: str, shards: int, seed: int) -> DataFrame:
+    def __init__(self, seed: int):
+        rng = np.random.default_rng(seed)
+        self.numbers = rng.integers(0, 1 << 64, (2, 256), np.uint64)
+        self.numbers[:, [32, 255]] = 0
+        base = int(rng.integers(0, 1 << 63)) * 2 + 1
+        self.bases, self.powers = (base, pow(base, -1, 1 << 64)), np.ones((2, 1), np.uint64)
+
+    def _up_to(self, size: int) -> None:
+        if size > self.powers.shape[1]:
+            steps = np.ones((2, 1 << size.bit_length()), np.uint64)
+            steps[0, 1:], steps[1, 1:] = np.uint64(self.bases[0]), np.uint64(self.bases[1])
+            self.powers = np.multiply.accumulate(steps, axis=1)
+
+    def words(self, lang: str, text: bytes, other: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and starts of words and breaks; with ``other``, hashes of a second, independent kind."""
+        codes = np.frombuffer(text.translate(FOLDED), np.uint8)
+        self._up_to(len(codes))
+        breaks = codes == 255
+        apart = breaks | (codes == 32)
+        first = ~apart
+        first[1:] &= apart[:-1]
+        at = np.flatnonzero(first | breaks)
+        if not len(at):
+            return np.zeros(0, np.uint64), at
+        found = np.add.reduceat(self.numbers[int(other)][codes] * self.powers[0, : len(codes)], at) * self.powers[1, at]
+        found ^= np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
+        found = (found ^ (found >> np.uint64(32))) * SPREAD
+        found = np.maximum(found ^ (found >> np.uint64(29)), np.uint64(1))
+        found[breaks[at]] = 0
+        return found, at
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """Texts of one language put together, each followed by a break; long ones are cut before white space."""
+    open_: dict[str, list[bytes]] = {}
+    held: dict[str, int] = {}
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            if not text:
+                continue
+            for part in _chunks(text + BREAK, BLOCK_BYTES):
+                open_.setdefault(lang, []).append(part)
+                held[lang] = held.get(lang, 0) + len(part)
+                if held[lang] >= BLOCK_BYTES:
+                    held[lang] = 0
+                    yield lang, b"".join(open_.pop(lang))
+    yield from ((lang, b"".join(parts)) for lang, parts in open_.items())
+
+
+def _coded(docs: DataFrame, shards: int, seed: int) -> DataFrame:
     """The corpus as blocks of word hashes, dealt over the shards.
 
-    A row is a block: ``words``, 64-bit hashes, 0 where a piece ends; ``lead``, how many of them the block before
-    ended with; ``n``, the number of words behind these; and the words that the task had not met before, as
-    one text (``spelt``), with their ``hashes``.
+    ``words`` are 64-bit hashes, 0 where a piece ends; ``lead`` is how many of them the task's block before ended
+    with, and ``n`` the number of words behind these.
     """
-    schema = "shard int, lang string, words binary, lead int, n bigint, spelt binary, hashes binary"
-    names = [part.split()[0] for part in schema.split(", ")]
-    kinds = [pa.int32(), pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    schema = "shard int, lang string, words binary, lead int, n bigint"
+    kinds = [pa.int32(), pa.string(), pa.binary(), pa.int32(), pa.int64()]
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[str, _Hashes] = {}
-        open_: dict[str, tuple[list[np.ndarray], int]] = {}
-        turn = 0
-
-        def block(lang: str, parts: list[np.ndarray], lead: int) -> pa.RecordBatch:
-            nonlocal turn
-            turn, words, own = turn + 1, np.concatenate(parts), hashes[lang]
-            met = np.fromiter((own[w] for w in own.fresh), "<u8", len(own.fresh))
-            row = (turn % shards, lang, words.astype("<u8").tobytes(), lead, int(np.count_nonzero(words[lead:])), BREAK.join(own.fresh), met.tobytes())
-            own.fresh = []
-            if len(own) > REMEMBERED:
-                hashes[lang] = _Hashes(lang, seed)
-            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names)
+        splitter, tails, turn = _Splitter(seed), {}, 0
+        for lang, text in _blocks(batches):
+            tail, turn = tails.get(lang, np.zeros(0, np.uint64)), turn + 1
+            words = np.concatenate([tail, *(splitter.words(lang, part)[0] for part in _chunks(text))])
+            tails[lang] = words[1 - WORDS :]
+            row = (turn % shards, lang, words.astype("<u8").tobytes(), len(tail), int(np.count_nonzero(words[len(tail) :])))
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], ["shard", "lang", "words", "lead", "n"])
 
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                if not text:
-                    continue
-                for chunk in _chunks(text):
-                    own = hashes.get(lang)
-                    if own is None:
-                        own = hashes[lang] = _Hashes(lang, seed)
-                    words = chunk.translate(FOLDED).replace(BREAK, b" " + BREAK + b" ").split()
-                    parts, lead = open_.setdefault(lang, ([], 0))
-                    parts.append(np.fromiter(map(own.__getitem__, words), np.uint64, len(words)))
-                    if sum(map(len, parts)) >= BLOCK_WORDS:
-                        yield block(lang, parts, lead)
-                        tail = np.concatenate(parts)[1 - WORDS :]
-                        open_[lang] = [tail], len(tail)
-                open_[lang][0].append(np.zeros(1, np.uint64))
-        for lang, (parts, lead) in open_.items():
-            yield block(lang, parts, lead)
-
-    rows = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text"))
     path = scratch_path(docs.sparkSession, "shards")
-    rows.mapInArrow(coded, schema).write.partitionBy("shard").option("compression", "zstd").parquet(path)
+    blocks = docs.mapInArrow(coded, schema).write.partitionBy("shard").option("compression", "zstd")
+    blocks.option("parquet.compression.codec.zstd.level", "1").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
-def _lexicon(blocks: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``lang, word, hash`` of all words that share a cell of the filter with a frequent word: these words, and a few more."""
-    sent = blocks.sparkSession.sparkContext.broadcast(_filter(frequent.where(F.col(KEY[1]) == 0), 0))
+def _lexicon(docs: DataFrame, frequent: DataFrame, seed: int) -> DataFrame:
+    """``lang, word, hash`` of all words that share a cell of the filter with a frequent word: these words, and a few more.
+
+    Words of one hash are told apart by the second one.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(_filter(frequent.where(F.col(KEY[1]) == 0), 0))
 
     def spelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = sent.value
-        for batch in batches:
-            for lang, text, met in zip(*(batch.column(c).to_pylist() for c in ("lang", "spelt", "hashes"))):
-                found = np.frombuffer(met, "<u8")
-                at = np.flatnonzero(_flags(cells, found * MIX))
-                words = text.split(BREAK)
-                spellings = [words[i].decode("utf-8", "replace") for i in at.tolist()]
-                columns = [pa.array([lang] * len(at), pa.string()), pa.array(spellings, pa.string()), pa.array(found[at].view(np.int64))]
+        splitter, cells, met = _Splitter(seed), sent.value, np.zeros(1 << 18, np.uint64)
+        for lang, text in _blocks(batches):
+            for part in _chunks(text):
+                hashes, starts = splitter.words(lang, part)
+                both = hashes * MIX ^ splitter.words(lang, part, other=True)[0]
+                place = both & np.uint64(len(met) - 1)
+                at = np.flatnonzero((hashes > 0) & (met[place] != both) & (_flags(cells, hashes * MIX) > 0))
+                met[place[at]] = both[at]
+                at, folded = at[np.unique(both[at], return_index=True)[1]], part.translate(FOLDED)
+                apart = np.flatnonzero(np.isin(np.frombuffer(folded + b" ", np.uint8), (32, 255)))
+                ends = apart[np.searchsorted(apart, starts[at])]
+                words = [folded[a:b].decode("utf-8", "replace") for a, b in zip(starts[at].tolist(), ends.tolist())]
+                columns = [pa.array([lang] * len(at), pa.string()), pa.array(words, pa.string()), pa.array(hashes[at].view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "hash"])
 
-    return blocks.select("lang", "spelt", "hashes").mapInArrow(spelt, "lang string, word string, hash bigint").distinct()
+    return docs.mapInArrow(spelt, "lang string, word string, hash bigint").distinct()
 
 
 def _cells(key: np.ndarray) -> np.ndarray:
@@ -285,11 +308,11 @@ def collocations(
     left out, and an empty table gives no rows. Words are told apart by 64-bit hashes; if another word
     of the corpus has the hash of a frequent one, all is counted anew with other hashes.
     """
-    seed = 0
+    rows, seed = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text")), 0
     while True:
-        blocks = _coded(docs, text, lang, shards, seed)
+        blocks = _coded(rows, shards, seed)
         frequent = _frequent(blocks, least, shards)
-        words = written(_lexicon(blocks, frequent), "lexicon")
+        words = written(_lexicon(rows, frequent, seed), "lexicon")
         if words.groupBy("hash").count().where("count > 1").isEmpty():
             return _best(frequent, words, blocks.groupBy("lang").agg(F.sum("n").alias("n")), top, contained)
         seed += 1
