@@ -6,7 +6,9 @@ from gleanery.session import build_session
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false"}
+        "tests",
+        "local[4]",
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "3g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
