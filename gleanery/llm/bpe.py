@@ -13,14 +13,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .segments import Segments, balanced
+from .segments import balanced, cut
 
-#: States kept before the transducer starts anew; each takes less than a kilobyte.
-STATES = 150_000
+#: States kept before the transducer starts anew; with their transitions each takes about half a kilobyte.
+STATES = 250_000
 #: Pieces remembered in one generation; two generations are kept.
 PIECES = 100_000
 #: Pairs of tokens of which it is remembered whether they may follow each other.
-PAIRS = 300_000
+PAIRS = 400_000
 NO_TOKEN = -1
 
 
@@ -119,9 +119,10 @@ class Transducer:
 
     def _restart(self) -> None:
         self.numbers: dict[tuple, int] = {}
-        #: By state: transitions by byte, or by byte + 256 if the open token may not follow; the open ways; the token
-        #: of the way with nothing pending; and the tokens if the piece ends here, for both answers.
-        self.steps: list[dict[int, tuple[int, tuple]]] = []
+        #: Transitions by state and choice: the byte, or byte + 256 if the open token may not follow.
+        self.steps: dict[int, tuple[int, tuple]] = {}
+        #: By state: the open ways; the token of the way with nothing pending; and the tokens if the piece
+        #: ends here, for both answers.
         self.ways: list[tuple] = []
         self.open: list[int] = []
         self.final: list[tuple[tuple | None, tuple | None]] = []
@@ -142,8 +143,7 @@ class Transducer:
     def _state(self, ways: tuple) -> int:
         number = self.numbers.get(ways)
         if number is None:
-            number = self.numbers[ways] = len(self.steps)
-            self.steps.append({})
+            number = self.numbers[ways] = len(self.ways)
             self.ways.append(ways)
             bare, other = NO_TOKEN, None
             for before, node in ways:
@@ -173,20 +173,22 @@ class Transducer:
                 shared += 1
         if shared:
             after = [(before[shared:], node) for before, node in after]
-        found = self.steps[state][choice] = (self._state(tuple(after)), first[:shared])
+        found = self.steps[state << 9 | choice] = (self._state(tuple(after)), first[:shared])
         return found
 
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.whole:
             return [self.whole[piece]]
-        if len(self.steps) > STATES:
+        if len(self.ways) > STATES:
             self._restart()
-        state, last, tokens, steps, open_ = 0, NO_TOKEN, [], self.steps, self.open
+        state, last, tokens, steps, open_, pairs = 0, NO_TOKEN, [], self.steps.get, self.open, self.pairs.get
         for choice in piece:
             token = open_[state]
-            if token != NO_TOKEN and not self._may_follow(last, token):
-                choice |= 256
-            state, emitted = steps[state].get(choice) or self._step(state, choice)
+            if last >= 0 and token >= 0:
+                follows = pairs(last << 32 | token)
+                if follows is False or follows is None and not self._may_follow(last, token):
+                    choice |= 256
+            state, emitted = steps(state << 9 | choice) or self._step(state, choice)
             if emitted:
                 tokens += emitted
                 last = emitted[-1]
@@ -254,7 +256,7 @@ class Utf8:
 
 
 class Pieces:
-    """Ids of segments, piece by piece; the pieces met last are remembered."""
+    """Ids of texts, piece by piece; the pieces met last are remembered."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer, self.matches = Transducer(ranks), regex.compile(pattern)
@@ -269,18 +271,19 @@ class Pieces:
             self.now[piece] = ids
         return ids
 
-    def encode(self, segments: list[str]) -> list[bytes]:
-        if len(self.now) > PIECES:
-            self.old, self.now = self.now, {}
-        found, known = [], self.now
-        for segment in segments:
-            found.append(b"".join([known.get(p) or self._ids(p) for p in self.matches.findall(segment)]))
-        return found
+    def encode(self, text: str) -> bytes:
+        found = []
+        for stretch in cut(text):
+            if len(self.now) > PIECES:
+                self.old, self.now = self.now, {}
+            known = self.now.get
+            found += [known(p) or self._ids(p) for p in self.matches.findall(stretch)]
+        return b"".join(found)
 
 
 @cache
-def _encoder(path: str, pattern: str) -> Segments:
-    return Segments(Pieces(read_ranks(path), pattern).encode, b"".join, 50_000)
+def _encoder(path: str, pattern: str) -> Pieces:
+    return Pieces(read_ranks(path), pattern)
 
 
 @cache
@@ -296,14 +299,15 @@ def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: s
     """Per row of ``docs``: its id and ``ids``, little-endian unsigned 32-bit integers of its whole text.
 
     Ids are those of the rank file ``path`` for each match of ``pattern`` in turn, without special tokens.
-    A NULL or empty text has no ids; repeated rows are each returned, other columns left out.
+    A long text is encoded in stretches that end at safe places; one without such places, which lie before single
+    spaces, is one stretch. A NULL or empty text has no ids; repeated rows are each returned, other columns left out.
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _encoder(path, pattern)
         for batch in batches:
             for rows in balanced(batch, "text") if batch.num_rows else ():
-                texts = [t or "" for t in rows.column("text").to_pylist()]
-                ids = pa.array(list(_encoder(path, pattern).of(texts)), pa.binary())
+                ids = pa.array([pieces.encode(t or "") for t in rows.column("text").to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([rows.column("id"), ids], ["id", "ids"])
 
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))

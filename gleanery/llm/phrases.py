@@ -47,7 +47,7 @@ def _chunks(text: bytes, size: int = CHUNK_BYTES) -> Iterator[bytes]:
     yield text[start:]
 
 
-class _Splitter:
+class Splitter:
     """Splits texts of a language into words and hashes these, all at once: 0 stands where a piece ends.
 
     A word's hash is a sum over its bytes, each a random number times a power of an odd base. Powers go
@@ -86,7 +86,7 @@ class _Splitter:
         return found, at
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[str, bytes]]:
     """Texts of one language put together, each followed by a break; long ones are cut before white space."""
     open_: dict[str, list[bytes]] = {}
     held: dict[str, int] = {}
@@ -94,16 +94,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             if not text:
                 continue
-            for part in _chunks(text + BREAK, BLOCK_BYTES):
+            for part in _chunks(text + BREAK, block):
                 open_.setdefault(lang, []).append(part)
                 held[lang] = held.get(lang, 0) + len(part)
-                if held[lang] >= BLOCK_BYTES:
+                if held[lang] >= block:
                     held[lang] = 0
                     yield lang, b"".join(open_.pop(lang))
     yield from ((lang, b"".join(parts)) for lang, parts in open_.items())
 
 
-def _coded(docs: DataFrame, shards: int, seed: int) -> DataFrame:
+def _coded(docs: DataFrame, shards: int, seed: int, block: int, splitter: type[Splitter]) -> DataFrame:
     """The corpus as blocks of word hashes, dealt over the shards.
 
     ``words`` are 64-bit hashes, 0 where a piece ends; ``lead`` is how many of them the task's block before ended
@@ -113,10 +113,10 @@ def _coded(docs: DataFrame, shards: int, seed: int) -> DataFrame:
     kinds = [pa.int32(), pa.string(), pa.binary(), pa.int32(), pa.int64()]
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, tails, turn = _Splitter(seed), {}, 0
-        for lang, text in _blocks(batches):
+        split, tails, turn = splitter(seed), {}, 0
+        for lang, text in _blocks(batches, block):
             tail, turn = tails.get(lang, np.zeros(0, np.uint64)), turn + 1
-            words = np.concatenate([tail, *(splitter.words(lang, part)[0] for part in _chunks(text))])
+            words = np.concatenate([tail, *(split.words(lang, part)[0] for part in _chunks(text))])
             tails[lang] = words[1 - WORDS :]
             row = (turn % shards, lang, words.astype("<u8").tobytes(), len(tail), int(np.count_nonzero(words[len(tail) :])))
             yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], ["shard", "lang", "words", "lead", "n"])
@@ -127,19 +127,19 @@ def _coded(docs: DataFrame, shards: int, seed: int) -> DataFrame:
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
-def _lexicon(docs: DataFrame, frequent: DataFrame, seed: int) -> DataFrame:
+def _lexicon(docs: DataFrame, frequent: DataFrame, seed: int, block: int, size: int, splitter: type[Splitter]) -> DataFrame:
     """``lang, word, hash`` of all words that share a cell of the filter with a frequent word: these words, and a few more.
 
     Words of one hash are told apart by the second one.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(_filter(frequent.where(F.col(KEY[1]) == 0), 0))
+    sent = docs.sparkSession.sparkContext.broadcast(_filter(frequent.where(F.col(KEY[1]) == 0), 0, size))
 
     def spelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, cells, met = _Splitter(seed), sent.value, np.zeros(1 << 18, np.uint64)
-        for lang, text in _blocks(batches):
+        split, cells, met = splitter(seed), sent.value, np.zeros(1 << 18, np.uint64)
+        for lang, text in _blocks(batches, block):
             for part in _chunks(text):
-                hashes, starts = splitter.words(lang, part)
-                both = hashes * MIX ^ splitter.words(lang, part, other=True)[0]
+                hashes, starts = split.words(lang, part)
+                both = hashes * MIX ^ split.words(lang, part, other=True)[0]
                 place = both & np.uint64(len(met) - 1)
                 at = np.flatnonzero((hashes > 0) & (met[place] != both) & (_flags(cells, hashes * MIX) > 0))
                 met[place[at]] = both[at]
@@ -153,12 +153,13 @@ def _lexicon(docs: DataFrame, frequent: DataFrame, seed: int) -> DataFrame:
     return docs.mapInArrow(spelt, "lang string, word string, hash bigint").distinct()
 
 
-def _cells(key: np.ndarray) -> np.ndarray:
-    return (key * SPREAD) >> np.uint64(64 - (CELLS.bit_length() - 1))
+def _cells(key: np.ndarray, size: int) -> np.ndarray:
+    """Places in a filter of ``size`` cells, a power of two."""
+    return (key * SPREAD) >> np.uint64(65 - size.bit_length())
 
 
 def _flags(cells: np.ndarray, key: np.ndarray) -> np.ndarray:
-    cell = _cells(key)
+    cell = _cells(key, 32 * len(cells))
     return (cells[cell >> np.uint64(5)] >> (np.uint64(2) * (cell & np.uint64(31)))).astype(np.uint8) & 3
 
 
@@ -175,7 +176,7 @@ def _keys(batch: pa.RecordBatch) -> np.ndarray:
     return key
 
 
-def _filter(phrases: DataFrame, since: int) -> np.ndarray:
+def _filter(phrases: DataFrame, since: int, size: int) -> np.ndarray:
     """A cell's flags: 1 if it has a phrase, 3 if it has one of step ``since`` or later; 32 cells in a number.
 
     What comes to the driver has at most one row for 32 cells, however many phrases there are.
@@ -183,12 +184,12 @@ def _filter(phrases: DataFrame, since: int) -> np.ndarray:
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell = _cells(_keys(batch)).astype(np.int64)
+            cell = _cells(_keys(batch), size).astype(np.int64)
             flags = 1 + 2 * (batch.column("step").to_numpy(zero_copy_only=False) >= since).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(cell >> 5), pa.array(flags << (2 * (cell & 31)))], ["place", "flags"])
 
     flags = phrases.select(*KEY, "step").mapInArrow(keyed, "place bigint, flags bigint").groupBy("place").agg(F.bit_or("flags").alias("flags")).toArrow()
-    packed = np.zeros(CELLS >> 5, np.uint64)
+    packed = np.zeros(size >> 5, np.uint64)
     packed[flags["place"].to_numpy()] = flags["flags"].to_numpy().view(np.uint64)
     return packed
 
@@ -254,7 +255,7 @@ def _scan(blocks: DataFrame, cells: np.ndarray | None, single: bool) -> DataFram
     return blocks.select("words", "lead").mapInArrow(counted, schema).groupBy(*KEY).agg(F.sum("f").alias("f"))
 
 
-def _frequent(blocks: DataFrame, least: int, shards: int) -> DataFrame:
+def _frequent(blocks: DataFrame, least: int, shards: int, size: int) -> DataFrame:
     """All frequent phrases: word hashes, the step in which the threshold was reached, and the occurrences ``f``.
 
     Step ``t`` reads shard ``t`` modulo their number. Words are counted from the first step on; a longer phrase
@@ -272,7 +273,7 @@ def _frequent(blocks: DataFrame, least: int, shards: int) -> DataFrame:
         shard = blocks.where(F.col("shard") == step % shards)
         path = scratch_path(blocks.sparkSession, "counted")
         counts = written(_scan(shard, cells, step < shards), "counted", path)
-        cycle.append((path, counts, _filter(counts.where(F.col("f") >= share).withColumn("step", F.lit(0)), 0)))
+        cycle.append((path, counts, _filter(counts.where(F.col("f") >= share).withColumn("step", F.lit(0)), 0, size)))
         if len(cycle) > shards:
             remove_path(blocks.sparkSession, cycle.pop(0)[0])
         found = cycle[0][1]
@@ -284,7 +285,7 @@ def _frequent(blocks: DataFrame, least: int, shards: int) -> DataFrame:
             found = found.unionByName(reached).groupBy(*KEY).agg(F.max("f").alias("f"), F.min("step").alias("step"))
         reached, step = written(found, "reached"), step + 1
         # Of phrases that can grow: all, and those that reached the threshold within the last cycle.
-        cells = _filter(reached.where(F.col(KEY[-1]) == 0), step - shards)
+        cells = _filter(reached.where(F.col(KEY[-1]) == 0), step - shards, size)
     return reached
 
 
@@ -294,8 +295,9 @@ def _cut(words: list[Column]) -> list[Column]:
 
 
 def collocations(
-    docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, top: int = 2000, shards: int = SHARDS, contained: int = 80
-) -> DataFrame:
+    docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, top: int = 2000, shards: int = SHARDS, contained: int = 80,
+    cells: int = CELLS, block: int = BLOCK_BYTES, splitter: type[Splitter] = Splitter,
+) -> DataFrame:
     """Each language's ``top`` phrases of 2 to 4 words: ``lang, rank, phrase, a, l, r, n, score``.
 
     Texts are lower-cased (A-Z) and split at ``. , ; : ! ?`` and line ends into pieces, these at spaces and tabs
@@ -306,13 +308,14 @@ def collocations(
 
     NULL and empty texts have no words, a NULL language is ``und``, repeated rows count each, other columns are
     left out, and an empty table gives no rows. Words are told apart by 64-bit hashes; if another word
-    of the corpus has the hash of a frequent one, all is counted anew with other hashes.
+    of the corpus has the hash of a frequent one, all is counted anew with other hashes. Fewer ``cells`` of the
+    filter, a power of two from 64 on, only make tasks count more in vain.
     """
     rows, seed = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text")), 0
     while True:
-        blocks = _coded(rows, shards, seed)
-        frequent = _frequent(blocks, least, shards)
-        words = written(_lexicon(rows, frequent, seed), "lexicon")
+        blocks = _coded(rows, shards, seed, block, splitter)
+        frequent = _frequent(blocks, least, shards, cells)
+        words = written(_lexicon(rows, frequent, seed, block, cells, splitter), "lexicon")
         if words.groupBy("hash").count().where("count > 1").isEmpty():
             return _best(frequent, words, blocks.groupBy("lang").agg(F.sum("n").alias("n")), top, contained)
         seed += 1

@@ -1,14 +1,12 @@
-"""Token ids of whole texts, from ids of their segments.
+"""Stretches of long texts that can be encoded one by one.
 
 A text may be cut before a single space that stands between two characters which are no white space:
-every split pattern of the byte-level vocabularies starts a new match there. So a text's ids are the
-ids of its first word and of " word" for each of the others, and a segment that comes again need not be
-encoded again. Texts in which a space stands next to other white space are cut elsewhere (``cut``).
+every split pattern of the byte-level vocabularies starts a new match there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,15 +14,10 @@ import regex
 
 #: White space in some reading of Unicode, at which no segment may start or end.
 ODD = r"\s\x1c-\x1f\x85᠎​﻿"
-ODD_CHARS = frozenset(regex.findall(rf"[{ODD}]", "".join(map(chr, range(0x10000)))))
 SAFE = regex.compile(rf"(?<=[^{ODD}])(?=\x20[^{ODD}])")
-#: Characters encoded in one call, about; bytes of texts whose segments are looked up together.
+#: Characters encoded in one call, about; bytes of texts that are encoded together.
 CALL_CHARS = 1 << 16
 BATCH_BYTES = 2 << 20
-#: Segments remembered in one generation, of 16 characters on average; two generations are kept.
-REMEMBERED = 300_000
-#: A longer text is encoded in stretches and not split into words.
-LONG_CHARS = 1 << 20
 
 
 def cut(text: str, chars: int = CALL_CHARS) -> Iterator[str]:
@@ -45,48 +38,3 @@ def balanced(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iter
             start, held = row, 0
         held += size or 0
     yield batch.slice(start)
-
-
-class Segments:
-    """Remembers the value of segments and puts those of a text together.
-
-    ``encode`` takes a list of segments and returns their values; ``join`` makes a text's value from
-    its segments' values. At most two generations of segments are kept, so memory is bounded.
-    A segment passed alone to ``encode`` may be any text.
-    """
-
-    def __init__(self, encode: Callable[[list[str]], list], join: Callable, size: int = REMEMBERED):
-        self.encode, self.join, self.size = encode, join, size
-        # Key: the word after the space, or a space and the first word, which has none before it.
-        self.now: dict[str, object] = {}
-        self.old: dict[str, object] = {}
-        self.chars = 0
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.now) > self.size or self.chars > 16 * self.size:
-            self.old, self.now, self.chars = self.now, {}, 0
-        new = []
-        for word in words - self.now.keys():
-            if word in self.old:
-                self.now[word] = self.old[word]
-            elif not word or word[-1] in ODD_CHARS or word[0] in ODD_CHARS and (word[0] != " " or word == " "):
-                self.now[word] = None  # no segment
-            else:
-                new.append(word)
-        self.chars += sum(map(len, new))
-        self.now.update(zip(new, self.encode([w[1:] if w[0] == " " else " " + w for w in new])))
-
-    def _alone(self, text: str) -> list:
-        return [value for stretch in cut(text) for value in self.encode([stretch])]
-
-    def of(self, texts: list[str]) -> Iterator:
-        split = [text.split(" ") if len(text) <= LONG_CHARS else None for text in texts]
-        for words in filter(None, split):
-            words[0] = " " + words[0]
-        self._learn(set().union(*filter(None, split)))
-        for text, words in zip(texts, split):
-            values = [None]
-            if words:
-                # A text that starts with a space has an empty first word; alone, it is the empty text.
-                values = list(map(self.now.__getitem__, words[1:] if words[0] == " " else words))
-            yield self.join(self._alone(text) if None in values else values)

@@ -1,5 +1,7 @@
 import hashlib
+import json
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -11,7 +13,8 @@ from public_tokenizers import PATTERN, path
 from tokenizers import Tokenizer
 
 from gleanery.checks.base import table
-from gleanery.llm import bpe, packing, segments, token_counts
+from gleanery.llm import bpe, packing, token_counts
+from gleanery.llm.library import byte_level
 from gleanery.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -76,11 +79,46 @@ def test_count_query(spark):
     assert {r.doc_id: r.n_tokens for r in rows} == {i: len(library_ids(t)) for i, t in texts.items()}
 
 
-def test_memory_of_segments_is_bounded():
-    few = segments.Segments(lambda words: [len(w) for w in words], sum, size=10)
-    texts = [" ".join(f"w{i + j}" for j in range(5)) for i in range(200)]
-    assert [n for t in texts for n in few.of([t])] == list(map(len, texts))
-    assert len(few.now) + len(few.old) < 40
+def test_library_agrees_with_the_file():
+    """The faster library gives every token of the vocabulary, and texts around its limits, the same ids."""
+    own = byte_level(BYTE_LEVEL)
+    tokens = [own.encoding.decode_single_token_bytes(i) for i in range(50256)]
+    texts = [t.decode() for t in tokens if t.decode("utf-8", "ignore").encode() == t]
+    texts += [" " * 140_000, "x" * 140_000, " " * 131_072, "a<|endoftext|>" * 9, "<|endoftext", " \n" * 70_000]
+    for text in texts:
+        assert own.ids(text) == np.array(library_ids(text), "<u4").tobytes() and own.count(text) == len(library_ids(text)), repr(text[:40])
+
+
+def test_a_file_that_needs_its_own_library(tmp_path):
+    """Another split or another order of ids: left to the library of the file."""
+    file = json.loads(open(BYTE_LEVEL, encoding="utf-8").read())
+    file["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "spaced.json").write_text(json.dumps(file), encoding="utf-8")
+    own = byte_level(str(tmp_path / "spaced.json"))
+    assert own.encoding is None and own.count("hello there") == 2 and own.ids("there") != byte_level(BYTE_LEVEL).ids("there")
+
+
+def test_memory_of_pieces_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "PIECES", 10)
+    monkeypatch.setattr(bpe, "STATES", 50)
+    ranks = bpe.read_ranks(path("byte_bpe_50k.tiktoken"))
+    few, library = bpe.Pieces(ranks, PATTERN), tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for i in range(200):
+        text = " ".join(f"w{i + j} abc{i}d" for j in range(5))
+        assert few.encode(text) == np.array(library.encode_ordinary(text), "<u4").tobytes()
+    assert len(few.now) + len(few.old) < 60 and len(few.transducer.ways) < 150
+
+
+def test_windows_take_time_in_proportion():
+    """Pieces of a very long document are cut from one buffer."""
+
+    def seconds(n):
+        windows, ids, start = packing.Windows(), bytes(4 * n), time.process_time()
+        assert sum(1 for _ in windows.place((1, 0, ids, n))) == n // packing.LENGTH
+        return time.process_time() - start
+
+    seconds(1 << 20)
+    assert min(seconds(1 << 23) for _ in range(3)) < 3 * max(min(seconds(1 << 22) for _ in range(3)), 0.01)
 
 
 @pytest.mark.parametrize("fan_in", [2, 256])
