@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import climb_to_top, export_csv, refresh_if_loaded
+from ..operators import climb_to_top, export_csv, paths_to_top, refresh_if_loaded
 from ..operators.export import CSV_OPTIONS
 from ..plans import actives, backfill, rates, vacancies
 from ..session import scratch_path
@@ -94,6 +94,51 @@ def actives_load(spark, sf_dir):
     return store.read(actives.TABLE).join(bridge, "id", "left").select("object_id", "created_at", "deleted_at", "oecd_id")
 
 
+def _chains(spark, sf_dir):
+    step = F.pmod("c_custkey", F.lit(12))
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.when(step > 0, F.col("c_custkey") - 1).alias("parent_id"),
+        F.when(step > 0, F.concat(F.lit("N"), "c_custkey")).otherwise("Top").alias("name"),
+    )
+
+
+def _backfill_sql(end: str) -> str:
+    return f"""
+    WITH loads AS (
+        SELECT o_orderkey, o_custkey, TIMESTAMP '2021-01-15' + to_months(CAST(m AS INTEGER)) AS created_at
+        FROM orders, range(24) months(m) WHERE (o_orderkey + m) % 5 = 0),
+    ended AS (
+        SELECT *, lead(created_at) OVER (PARTITION BY o_orderkey ORDER BY created_at) AS next,
+            nullif(max(created_at) OVER (PARTITION BY o_orderkey), created_at) AS last FROM loads)
+    SELECT CAST(o_orderkey AS VARCHAR) AS object_id, created_at, {end} AS deleted_at, {end} AS updated_at, p_partkey AS oecd_id
+    FROM ended LEFT JOIN part ON p_partkey = (o_custkey % 7) * 10 + o_orderkey % 9 AND p_size <= 40
+    """
+
+
+def _backfill(spark, sf_dir, only_live):
+    store = TableStore(spark, scratch_path(spark, "store"))
+    rows, _ = actives.transform_actives(_hits(spark, sf_dir), _types(spark, sf_dir), "bucket", "2021-01-15")
+    # Every object is found in each fifth month.
+    due = F.filter(F.sequence(F.lit(0), F.lit(23)), lambda m: F.pmod(F.col("object_id").cast("bigint") + m, F.lit(5)) == 0)
+    monthly = rows.withColumn("month", F.explode(due))
+    created = F.expr("timestamp_ntz'2021-01-15' + make_ym_interval(0, month)")
+    actives.load_actives_history(store, monthly.withColumn("created_at", created).drop("month"), _codes(spark, sf_dir), only_live)
+    bridge = store.read(actives.BRIDGE).withColumnRenamed("active_id", "id")
+    return store.read(actives.TABLE).join(bridge, "id", "left").select("object_id", "created_at", "deleted_at", "updated_at", "oecd_id")
+
+
+@checks.add(_backfill_sql("last"))
+def actives_backfill(spark, sf_dir):
+    """The loads of 24 months at once; each stamps the earlier rows of its objects again."""
+    return _backfill(spark, sf_dir, only_live=False)
+
+
+@checks.add(_backfill_sql("next"))
+def actives_backfill_live(spark, sf_dir):
+    return _backfill(spark, sf_dir, only_live=True)
+
+
 @checks.add("""
     SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_index, c_custkey AS hh_id, 'first' AS title FROM customer
 """)
@@ -155,15 +200,28 @@ def listed_documents(spark, sf_dir):
     return vacancies.documents_of_list(items, fetches, "fetched").select("id", "fetched")
 
 
+@checks.add("""
+    WITH RECURSIVE nodes AS (
+        SELECT c_custkey AS id, CASE WHEN c_custkey % 12 > 0 THEN c_custkey - 1 END AS parent_id,
+            CASE WHEN c_custkey % 12 > 0 THEN 'N' || c_custkey ELSE 'Top' END AS name FROM customer),
+    -- The lowest customer may have no parent in the table.
+    linked AS (SELECT id, CASE WHEN parent_id IN (SELECT id FROM nodes) THEN parent_id END AS parent_id, name FROM nodes),
+    paths AS (
+        SELECT id, name AS path, 1 AS depth FROM linked WHERE parent_id IS NULL
+        UNION ALL SELECT n.id, p.path || '/' || n.name, p.depth + 1 FROM linked n JOIN paths p ON n.parent_id = p.id)
+    SELECT id, path, CAST(depth AS INTEGER) AS depth FROM paths
+""")
+def hierarchy_paths(spark, sf_dir):
+    """Whole paths, of twelve nodes each."""
+    nodes = _chains(spark, sf_dir)
+    known = nodes.select(F.col("id").alias("parent_id"), F.lit(True).alias("known"))
+    linked = nodes.join(known, "parent_id", "left").withColumn("parent_id", F.when(F.col("known"), F.col("parent_id")))
+    return paths_to_top(linked.select("id", "parent_id", "name")).select("id", F.array_join("path", "/").alias("path"), "depth")
+
+
 @checks.add("""
     SELECT c_custkey AS id, CASE WHEN c_custkey % 12 > 0 THEN 'N' || (c_custkey - c_custkey % 12 + 1) END AS top_name FROM customer
 """)
 def deep_hierarchy(spark, sf_dir):
     """Paths of twelve nodes."""
-    step = F.pmod("c_custkey", F.lit(12))
-    nodes = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"),
-        F.when(step > 0, F.col("c_custkey") - 1).alias("parent_id"),
-        F.when(step > 0, F.concat(F.lit("N"), "c_custkey")).otherwise("Top").alias("name"),
-    )
-    return climb_to_top(nodes, "Top")
+    return climb_to_top(_chains(spark, sf_dir), "Top")

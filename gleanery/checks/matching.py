@@ -103,6 +103,34 @@ def fuzzy_match(spark, sf_dir):
     return nearest_name(parts, "p_name", brands)
 
 
+# Each supplier against all customers. A row of the LCS table is a number with a bit for each letter of the name.
+@checks.add("""
+    WITH RECURSIVE names AS (
+        SELECT name, length(name) AS n, (1::HUGEINT << length(name)::HUGEINT) - 1 AS ones, map_from_entries(list((letter, mask))) AS masks
+        FROM (SELECT name, letter, sum(1::HUGEINT << (i - 1)::HUGEINT)::HUGEINT AS mask FROM (
+            SELECT name, i, substr(name, i, 1) AS letter
+            FROM (SELECT name, unnest(range(1, length(name) + 1)) AS i FROM (SELECT DISTINCT s_name || ' of ' || s_nationkey AS name FROM supplier)))
+            GROUP BY name, letter) GROUP BY name),
+    titles AS (SELECT c_custkey AS id, c_name || ' of ' || c_nationkey AS title FROM customer),
+    steps AS (
+        SELECT name, id, n, ones, masks, title, 0 AS i, ones AS cells FROM names, titles
+        UNION ALL
+        SELECT name, id, n, ones, masks, title, i + 1, ((cells + (cells & coalesce(masks[substr(title, i + 1, 1)], 0)))
+            | (cells - (cells & coalesce(masks[substr(title, i + 1, 1)], 0)))) & ones
+        FROM steps WHERE i < length(title)),
+    scored AS (
+        SELECT name, id, title, CAST(round_even(100.0::DOUBLE * (2.0::DOUBLE * (n - bit_count(cells)) / (n + length(title))), 0) AS INTEGER) AS score
+        FROM steps WHERE i = length(title))
+    SELECT DISTINCT ON (name) name, id AS match_id, title AS match_title, score FROM scored ORDER BY name, score DESC, id
+""")
+def nearest_customer(spark, sf_dir):
+    """Names and titles grow with the tables, so the dictionary has many blocks."""
+    labelled = lambda name, nation: F.concat_ws(" of ", name, F.col(nation).cast("string"))
+    suppliers = table(spark, sf_dir, "supplier").select(labelled("s_name", "s_nationkey").alias("name"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), labelled("c_name", "c_nationkey").alias("title"))
+    return nearest_name(suppliers, "name", customers)
+
+
 @checks.add("""
     SELECT page_id, url, CASE WHEN page_id % 4 <> 0 AND page_id % 7 <> 0 THEN 'html/' || page_id END AS s3_key
     FROM pages

@@ -2,7 +2,7 @@
 
 from .periods import lag_window, latest_period, month_before, trailing_month
 from .rules import active_type, detail_url, is_executor
-from .similarity import best_matches, fuzz_ratio
+from .similarity import fuzz_ratio
 from .text import (
     code_prefixes,
     concat_skip_null,
@@ -17,7 +17,6 @@ from .values import falsy_to_null, local_date, naive_timestamp, parse_number, to
 
 __all__ = [
     "active_type",
-    "best_matches",
     "code_prefixes",
     "concat_skip_null",
     "detail_url",

@@ -12,13 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BEST = "score: INT, neg_id: BIGINT, id: BIGINT, title: STRING"
-
-
 def _masks(text: str) -> dict[str, int]:
     """For each character the bits of its positions."""
     masks: dict[str, int] = {}
@@ -50,24 +48,60 @@ def ratio(text: str | None, other: str | None) -> int:
     return _ratio(_lcs(_masks(text), len(text), other), len(text) + len(other))
 
 
-def best_entry(text: str, ids: Sequence[int], titles: Sequence[str]) -> tuple[int, int, int, str] | None:
-    """``(score, -id, id, title)`` of the most similar title; on a tie the lowest id."""
-    masks, length = _masks(text), len(text)
-    best = None
-    for key, title in zip(ids, titles):
-        total = length + len(title)
-        # No title can share more characters than the shorter text has.
-        if best and _ratio(min(length, len(title)), total or 1) < best[0]:
-            continue
+#: Characters are counted in so many classes; two that share one only loosen the bound.
+CLASSES = 64
+
+
+def letter_counts(texts: Sequence[str]) -> np.ndarray:
+    """For each text how often it has characters of each class."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    return np.bincount(rows * CLASSES + codes % CLASSES, minlength=len(texts) * CLASSES).reshape(-1, CLASSES)
+
+
+def score_bounds(counts: np.ndarray, length: int, others: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """What a text's score with others can be at most: ``others`` are counts that they do not exceed, ``least`` and
+    ``most`` their lengths.
+
+    A common subsequence has of each character no more than either text, and the score is highest
+    if the other text is no longer than what they share. The scores' own arithmetic is used, which is monotone.
+    """
+    shared = np.minimum(counts, others).sum(axis=1)
+    total = length + np.clip(shared, least, most)
+    common = np.minimum(shared, np.minimum(length, most))
+    return np.where(total > 0, np.rint(100 * (2.0 * common / np.maximum(total, 1))), 0).astype(np.int64)
+
+
+def best_entry(
+    text: str, ids: Sequence[int], titles: Sequence[str], counts: np.ndarray | None = None, known: tuple[int, int] | None = None
+) -> tuple[tuple[int, int, int, str] | None, int]:
+    """``(score, -id, id, title)`` of the most similar title, on a tie the lowest id, and how many were compared.
+
+    Titles are taken by falling bounds of their scores, until no other can win over the best, or over
+    ``known``, a score and a negative id met elsewhere; None if none does.
+    """
+    if not len(ids):
+        return None, 0
+    counts = letter_counts(titles) if counts is None else counts
+    lengths = np.fromiter(map(len, titles), np.int64, len(titles))
+    bounds = score_bounds(letter_counts([text])[0], len(text), counts, lengths, lengths)
+    keys = np.asarray(ids, np.int64)
+    masks, length, best, compared = _masks(text), len(text), None, 0
+    for i in np.lexsort((keys, -bounds)).tolist():
+        bar = best[:2] if best else known
+        if bar and (int(bounds[i]), -int(keys[i])) <= bar:
+            break
+        compared += 1
+        title = titles[i]
         if not text or not title:
             score = 0
         elif text == title:
             score = 100
         else:
-            score = _ratio(_lcs(masks, length, title), total)
-        if best is None or (score, -key) > best[:2]:
-            best = (score, -key, int(key), title)
-    return best
+            score = _ratio(_lcs(masks, length, title), length + len(title))
+        if not bar or (score, -int(keys[i])) > bar:
+            best = (score, -int(keys[i]), int(keys[i]), title)
+    return best, compared
 
 
 def fuzz_ratio(text: Column, other: Column) -> Column:
@@ -81,17 +115,3 @@ def fuzz_ratio(text: Column, other: Column) -> Column:
         return pd.Series([ratio(a, b) for a, b in zip(texts, others)], dtype="int32")
 
     return scores(text, other)
-
-
-def best_matches(texts: Column, ids: Column, titles: Column) -> Column:
-    """For each of some texts the best of the titles in two parallel arrays: ``struct(score, neg_id, id, title)``.
-
-    The struct orders by goodness, so ``max`` merges the best of several arrays.
-    """
-
-    @F.pandas_udf(f"array<struct<{BEST}>>")
-    def bests(names: pd.Series, keys: pd.Series, entries: pd.Series) -> pd.Series:
-        fields = ("score", "neg_id", "id", "title")
-        return pd.Series([[dict(zip(fields, best_entry(name, k, t))) for name in some] for some, k, t in zip(names, keys, entries)])
-
-    return bests(texts, ids, titles)

@@ -3,12 +3,13 @@
 from .aggregate import agg_codes, agg_text, counted, total_items
 from .dedupe import latest_document, latest_per_key
 from .export import drop_audit, export_csv, refresh_if_loaded, with_row_index
-from .hierarchy import climb_to_top
+from .hierarchy import climb_to_top, paths_to_top
 from .lookup import lookup, org_list, with_children, with_fetch
 from .maintain import (
     append_rows,
     insert_ignore,
     keyed_replace,
+    keyed_replace_all,
     new_rows,
     not_yet_stored,
     snapshot_replace,
@@ -40,6 +41,7 @@ __all__ = [
     "flatten",
     "insert_ignore",
     "keyed_replace",
+    "keyed_replace_all",
     "latest_document",
     "latest_per_key",
     "live",
@@ -50,6 +52,7 @@ __all__ = [
     "normalise_names",
     "open_items",
     "org_list",
+    "paths_to_top",
     "refresh_if_loaded",
     "reshape_structs",
     "salary_fields",

@@ -5,11 +5,11 @@ Every table keeps its history: a deleted row stays, with ``deleted_at`` set.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedupe import latest_per_key
-from .skew import distinct_keys
+from .skew import distinct_keys, spread
 
 
 def append_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
@@ -60,6 +60,32 @@ def keyed_replace(table: DataFrame, rows: DataFrame, key: str, now, only_live: b
     return append_rows(_stamp(marked, hit, now).drop("_key"), rows)
 
 
+def keyed_replace_all(table: DataFrame, loads: DataFrame, key: str, at: str = "created_at", only_live: bool = False) -> DataFrame:
+    """The table after many loads by ``keyed_replace``, one for each value of ``at`` in ``loads``, oldest first.
+
+    All in one plan: the end of a row is the last later load that holds its key, since each of them stamps it
+    again; with ``only_live`` it is the next one. Rows of ``loads`` are created by the load of their ``at``, stored
+    rows before all of them. Keys and loads are made distinct before they are ordered, so a key with most of
+    the rows is as many rows as there are loads. A NULL key is no key: such rows are never ended.
+    """
+    held = loads.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("_key"), F.col(at).alias("_at")).distinct()
+    in_order = Window.partitionBy("_key").orderBy("_at")
+    end = F.lead("_at").over(in_order) if only_live else F.max("_at").over(Window.partitionBy("_key"))
+    ends = held.withColumns({"_end": end, "_first": F.row_number().over(in_order)})
+
+    later = spread(ends.select("_key", "_at", "_end").where(F.col("_end") > F.col("_at")), "_key", "_at")
+    fresh = loads.join(later, (F.col(key) == F.col("_key")) & (F.col(at) == F.col("_at")), "left")
+    fresh = fresh.select(*[c for c in loads.columns if c not in ("deleted_at", "updated_at")], F.col("_end").alias("deleted_at"), F.col("_end").alias("updated_at"))
+
+    first = ends.where("_first = 1").select("_key", (F.col("_at") if only_live else F.col("_end")).alias("_end"))
+    stored = table.join(spread(first, "_key"), F.col(key) == F.col("_key"), "left")
+    hit = F.col("_end").isNotNull()
+    if only_live:
+        hit = hit & F.col("deleted_at").isNull()
+    stamped = {c: F.when(hit, F.col("_end")).otherwise(F.col(c)) for c in ("updated_at", "deleted_at")}
+    return append_rows(stored.withColumns(stamped).select(*table.columns), fresh)
+
+
 def surrogate_key(*parts: str | Column) -> Column:
     """Id from the natural key: the same after a retry, with no counter shared by tasks.
 

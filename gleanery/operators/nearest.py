@@ -2,17 +2,187 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import best_matches
+from ..functions.similarity import best_entry, fuzz_ratio, letter_counts, score_bounds
+from ..session import scratch_path
+
+#: Entries of similar letters that lie in one block; also the bound on the arrays a task holds.
+BLOCK = 256
+#: Names that meet some blocks' outlines together, and blocks whose outlines are met together, about.
+NAMES, OUTLINES = 256, 512
+#: Stretches of these many characters that at most so many entries have lead to a first entry for a name.
+STRETCHES, RARE = (3, 6), 64
+
+_BEST = "score int, neg_id bigint, match_id bigint, match_title string, compared bigint"
+
+
+def _blocks(entries: DataFrame, block: int) -> DataFrame:
+    """The dictionary in blocks of entries of similar letters, each with an outline.
+
+    Entries are ordered by length and then by their sorted letters. An outline is, for each class of
+    characters, the most that any entry of the block has of it, and the least and most characters.
+    """
+    letters = F.array_join(F.array_sort(F.split("title", "")), "")
+    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = entries.withColumns({"length": F.length("title"), "letters": letters})
+    ordered = ordered.repartitionByRange(tasks, "length", "letters", "id").sortWithinPartitions("length", "letters", "id")
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, titles = [], []
+
+        def one() -> pd.DataFrame:
+            counts, lengths = letter_counts(titles), [len(t) for t in titles]
+            row = ([*ids], [*titles], counts.max(axis=0).astype(np.int32), min(lengths), max(lengths))
+            return pd.DataFrame([row], columns=["ids", "titles", "outline", "least", "most"])
+
+        for batch in batches:
+            for key, title in zip(batch["id"], batch["title"]):
+                ids.append(key)
+                titles.append(title)
+                if len(ids) == block:
+                    yield one()
+                    ids.clear()
+                    titles.clear()
+        if ids:
+            yield one()
+
+    blocks = ordered.select("id", "title").mapInPandas(packed, "ids array<bigint>, titles array<string>, outline array<int>, least int, most int")
+    # Written, since another run of the range partitioning could cut the blocks elsewhere.
+    path = scratch_path(entries.sparkSession, "entries")
+    blocks.withColumn("block", F.monotonically_increasing_id()).write.parquet(path)
+    return entries.sparkSession.read.schema("ids array<bigint>, titles array<string>, outline array<int>, least int, most int, block bigint").parquet(path)
+
+
+def _grouped(df: DataFrame, group: str, key: str, groups: int, columns: list[str]) -> DataFrame:
+    """Some hundred rows in one, as parallel arrays."""
+    listed = df.groupBy(F.pmod(F.xxhash64(key), F.lit(groups)).alias(group)).agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+    return listed.select(group, *[F.col(f"_rows.{c}").alias(f"{c}s") for c in columns])
+
+
+def _outline_bounds(name: str, outlines: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    return score_bounds(letter_counts([name])[0], len(name), outlines, least, most)
+
+
+def _first_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of the outlines in a row, the one where each name may score most."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            outlines, least, most = np.stack(row.outlines), np.asarray(row.leasts), np.asarray(row.mosts)
+            found = []
+            for name in row.names:
+                bounds = _outline_bounds(name, outlines, least, most)
+                at = int(bounds.argmax())
+                found.append((name, int(bounds[at]), int(row.blocks[at])))
+            yield pd.DataFrame(found, columns=["name", "bound", "block"])
+
+
+def _open_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of the outlines in a row, those where a name may do better than it did in its first block."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            outlines, least, most, blocks = np.stack(row.outlines), np.asarray(row.leasts), np.asarray(row.mosts), np.asarray(row.blocks)
+            found = []
+            for name, score, neg_id, first in zip(row.names, row.scores, row.neg_ids, row.firsts):
+                # A tie may still be won by a lower id.
+                at = np.flatnonzero((_outline_bounds(name, outlines, least, most) >= score) & (blocks != first))
+                found += [(name, score, neg_id, int(blocks[i])) for i in at.tolist()]
+            yield pd.DataFrame(found, columns=["name", "score", "neg_id", "block"])
 
-#: Entries compared in one go; also the bound on the array a task holds.
-BLOCK = 512
-#: Names that meet a block of the dictionary together, about.
-NAMES = 256
-#: A dictionary whose entries take at most this many bytes is broadcast.
-BROADCAST_BYTES = 8 << 20
+
+def _compared(met: DataFrame, blocks: DataFrame, parts: int, known: bool) -> DataFrame:
+    """The best entry of a block for each name that meets it, if it wins over what is ``known`` of the name."""
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for row in batch.itertuples(index=False):
+                counts = letter_counts(row.titles)
+                for i, name in enumerate(row.names):
+                    bar = (int(row.scores[i]), int(row.neg_ids[i])) if known else None
+                    winner, compared = best_entry(name, row.ids, row.titles, counts, bar)
+                    found.append((name, int(row.block), *(winner or (None, None, None, None)), compared))
+            yield pd.DataFrame(found, columns=["name", "block", "score", "neg_id", "match_id", "match_title", "compared"]).astype(
+                {"score": "Int32", "neg_id": "Int64", "match_id": "Int64"}
+            )
+
+    columns = ["name", "score", "neg_id"] if known else ["name"]
+    # Names of one block in groups, so that a block's entries are counted once for some hundred names.
+    salted = met.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)))
+    listed = salted.groupBy("block", "part").agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+    listed = listed.select("block", *[F.col(f"_rows.{c}").alias(f"{c}s") for c in columns])
+    tasks = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Few bytes but much work per row: a fixed number of tasks, which Spark does not merge by size.
+    paired = listed.join(blocks.select("block", "ids", "titles"), "block").repartition(tasks, F.xxhash64("block", F.col("names")[0]))
+    return paired.mapInPandas(best, f"name string, block bigint, {_BEST}")
+
+
+def _stretches(df: DataFrame, text: str, key: str) -> DataFrame:
+    def of(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (size - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(size)))
+
+    return df.select(key, F.explode(F.array_distinct(F.concat(*map(of, STRETCHES)))).alias("stretch"))
+
+
+def _seeds(names: DataFrame, entries: DataFrame) -> DataFrame:
+    """For names that share rare stretches with entries: the entry with most of them, compared.
+
+    Only where a search starts, so that common stretches need not lead anywhere.
+    """
+    held = _stretches(entries, "title", "id")
+    rare = held.groupBy("stretch").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= RARE)
+    leads = held.join(rare.select("stretch"), "stretch")
+    shared = _stretches(names, "name", "name").join(leads, "stretch").groupBy("name", "id").agg(F.count(F.lit(1)).alias("n"))
+    first = shared.groupBy("name").agg(F.max_by("id", F.struct("n", -F.col("id"))).alias("id"))
+    titles = entries.groupBy("id").agg(F.min("title").alias("title"))
+    scored = first.join(titles, "id").withColumn("score", fuzz_ratio(F.col("name"), F.col("title")))
+    return scored.select(
+        "name", F.lit(-1).cast("bigint").alias("block"), "score", (-F.col("id")).alias("neg_id"), F.col("id").alias("match_id"),
+        F.col("title").alias("match_title"), F.lit(1).cast("bigint").alias("compared"),
+    )
+
+
+def _best_of(score: Column) -> Column:
+    """What ``max`` merges; NULL, which it passes over, for a block without a winner."""
+    return F.when(score.isNotNull(), F.struct("score", "neg_id", "match_id", "match_title"))
+
+
+def _searched(names: DataFrame, entries: DataFrame, block: int) -> DataFrame:
+    """``name, best`` and how many entries the name was ``compared`` with, for distinct names."""
+    blocks = _blocks(entries, block)
+    some, parts = blocks.select("block").limit(2).collect(), max(1, -(-names.count() // NAMES))
+    if len(some) < 2:
+        met = names.select("name", F.lit(some[0]["block"] if some else 0).alias("block"))
+        return _compared(met, blocks, parts, known=False).select("name", _best_of(F.col("score")).alias("best"), "compared")
+    groups = -(-blocks.count() // OUTLINES)
+    outlined = _grouped(blocks, "outline_group", "block", groups, ["block", "outline", "least", "most"])
+
+    def meetings(rows: DataFrame, columns: list[str]) -> DataFrame:
+        listed = _grouped(rows, "name_group", "name", parts, columns)
+        met = listed.withColumn("outline_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
+        return met.join(outlined, "outline_group")
+
+    path = scratch_path(names.sparkSession, "seeds")
+    _seeds(names, entries).write.parquet(path)
+    seeds = names.sparkSession.read.schema(f"name string, block bigint, {_BEST}").parquet(path)
+    led = names.join(seeds.select("name"), "name", "left_anti")
+    first = meetings(led, ["name"]).mapInPandas(_first_blocks, "name string, bound int, block bigint")
+    if groups > 1:
+        first = first.groupBy("name").agg(F.max_by("block", F.struct("bound", "block")).alias("block"))
+    path = scratch_path(names.sparkSession, "first")
+    _compared(first.select("name", "block"), blocks, parts, known=False).unionByName(seeds).write.parquet(path)
+    started = names.sparkSession.read.schema(f"name string, block bigint, {_BEST}").parquet(path)
+    rest = meetings(started.withColumnRenamed("block", "first"), ["name", "score", "neg_id", "first"])
+    rest = rest.mapInPandas(_open_blocks, "name string, score int, neg_id bigint, block bigint")
+    later = _compared(rest, blocks, parts, known=True)
+    both = started.unionByName(later).groupBy("name")
+    return both.agg(F.max(_best_of(F.col("score"))).alias("best"), F.sum("compared").alias("compared"))
 
 
 def nearest_name(
@@ -28,62 +198,21 @@ def nearest_name(
     threshold unless ``min_score`` is given. Call it for the names of a dictionary or for the
     distinct names of a fact table and join the result back by name.
 
-    A name that is itself a title is settled by an equi join. The others meet the dictionary block by
-    block, some hundred names with some hundred entries in a row, so the work per task is bounded for
-    any dictionary; the best of each block are merged by ``max``. All names and entries count: none is pre-selected.
+    A name that is itself a title is settled by an equi join. For the others the dictionary is cut into
+    blocks of entries of similar letters. What a name can score in a block is bounded by the block's
+    outline: counts of characters, which a common subsequence cannot exceed. Each name is compared first with an
+    entry that shares rare stretches with it, or else with the block of its highest bound, and then with those
+    blocks alone whose bound reaches the score found; within a block it stops at the entry whose own bound does
+    not. So the result is that of all pairs, and few pairs are compared.
     """
-    entries = dictionary.where("title IS NOT NULL").select(F.col("id").cast("bigint"), "title")
-    size, octets = entries.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("title") + 8), F.lit(0))
-    ).first()
-    blocks = max(1, -(-size // block))
+    entries = dictionary.where("title IS NOT NULL").select(F.col("id").cast("bigint").alias("id"), "title")
     distinct = names.select(F.col(name).alias("name")).where("name IS NOT NULL").distinct()
 
     # A different text reaches 100 only by rounding, from 100 characters on, so an equal one wins.
     equal = entries.where("title <> ''").groupBy("title").agg(F.min("id").alias("equal_id"))
     split = distinct.join(equal, F.col("name") == F.col("title"), "left")
     settled = F.col("equal_id").isNotNull()
-
-    packed = (
-        entries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("id", "title")).alias("entries"))
-        .select("block", F.col("entries.id").alias("ids"), F.col("entries.title").alias("titles"))
-    )
-    if octets <= BROADCAST_BYTES:
-        packed = F.broadcast(packed)
-    equal_best = F.struct(
-        F.lit(100).alias("score"),
-        (-F.col("equal_id")).alias("neg_id"),
-        F.col("equal_id").alias("id"),
-        F.col("title"),
-    )
-    # Names go in blocks too, so that a block of the dictionary is sent once for very many names.
-    unsettled = split.where(~settled).select("name")
-    name_blocks = max(1, -(-unsettled.count() // NAMES))
-    listed = unsettled.groupBy(F.pmod(F.xxhash64("name"), F.lit(name_blocks)).alias("names_block")).agg(
-        F.collect_list("name").alias("names")
-    )
-    meetings = listed.select(
-        "names_block", "names", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("block")
-    )
-    # Few bytes but much work per row: a fixed number of tasks, which Spark does not merge by size.
-    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    compared = (
-        meetings.repartition(tasks, "names_block", "block")
-        .join(packed, "block")
-        .select(F.arrays_zip("names", best_matches(F.col("names"), F.col("ids"), F.col("titles")).alias("best")).alias("found"))
-        .select(F.explode("found").alias("found"))
-        .select("found.names", "found.best")
-        .toDF("name", "best")
-    )
-    scored = split.where(settled).select("name", equal_best.alias("best")).unionByName(compared)
-    if blocks > 1:
-        scored = scored.groupBy("name").agg(F.max("best").alias("best"))
-    result = scored.select(
-        "name",
-        F.col("best.id").alias("match_id"),
-        F.col("best.title").alias("match_title"),
-        F.col("best.score").alias("score"),
-    )
+    exact = split.where(settled).select("name", F.col("equal_id").alias("match_id"), F.col("title").alias("match_title"), F.lit(100).alias("score"))
+    found = _searched(split.where(~settled).select("name"), entries, block)
+    result = exact.unionByName(found.select("name", "best.match_id", "best.match_title", "best.score"))
     return result if min_score is None else result.where(F.col("score") >= min_score)

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df``, with one row per key, distributed in a way no join by the key can reuse.
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """``df``, with one row per key (of one or more columns), distributed in a way no join by the key can reuse.
 
     The price is one more shuffle of the side with one row per key; it buys that the other side,
     however skewed, can be split.
     """
-    return df.withColumn("_spread", F.xxhash64(key)).repartition("_spread").drop("_spread")
+    return df.withColumn("_spread", F.xxhash64(*key)).repartition("_spread").drop("_spread")
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

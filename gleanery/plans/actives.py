@@ -20,6 +20,7 @@ from ..operators import (
     agg_codes,
     drop_audit,
     keyed_replace,
+    keyed_replace_all,
     latest_per_key,
     live,
     lookup,
@@ -132,6 +133,28 @@ def load_actives(
         return size
 
 
+def load_actives_history(store: TableStore, rows: DataFrame, codes: DataFrame, only_live: bool = False) -> int:
+    """The loads of many intervals at once, one for each ``created_at`` of ``rows``; returns the number of rows.
+
+    It leaves the tables that ``load_actives`` leaves, called once for each ``created_at``, oldest first: what one
+    load ends is known from the keys of all of them, so there is one plan and one write. The table must hold
+    no later loads. Run again with the same rows, it leaves the same tables.
+    """
+    with stage(rows, "actives") as (batch, size):
+        if size == 0:
+            return 0
+        parents, bridge, _ = split_actives(batch, codes)
+        store.append(BRIDGE, not_yet_stored(store.read(BRIDGE), bridge, "active_id"))
+        stored = store.read_live(TABLE) if only_live else store.read(TABLE)
+        before = stored.join(batch.select("created_at").distinct(), "created_at", "left_anti")
+        state = keyed_replace_all(before, parents, "object_id", only_live=only_live)
+        if only_live:
+            store.replace_live(TABLE, state)
+        else:
+            store.replace(TABLE, state)
+        return size
+
+
 def actives_report(
     actives: DataFrame,
     types: DataFrame,

@@ -31,7 +31,7 @@ def run_intervals(
 
     Only the interval ends come to the driver. Each load builds on the table the one before
     left, so they cannot overlap; the transforms of all intervals can share one job, see
-    ``with_windows``.
+    ``with_windows``. Keyed loads of many intervals need no loop, see ``actives.load_actives_history``.
     """
     ends = monthly_intervals(spark, first, last).orderBy("interval_end").collect()
     return {row.interval_end: run(row.interval_end) for row in ends}

@@ -1,10 +1,12 @@
 import datetime as dt
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from gleanery import operators as op
+from gleanery.operators import nearest
 from gleanery.operators.export import CSV_OPTIONS
 
 from .test_functions import brute_ratio
@@ -156,12 +158,13 @@ def test_nearest_name_keeps_the_wrong_winner(spark):
     assert rows(op.nearest_name(names, "name", regions, min_score=80), "name") == [("Москва",)]
 
 
-@pytest.mark.parametrize("block, limit", [(1, 0), (7, 8 << 20), (512, 8 << 20), (512, 0)])
-def test_nearest_name_against_brute_force(spark, monkeypatch, block, limit):
-    """Any block size, broadcast or not, gives the best of all pairs; some names are long."""
-    monkeypatch.setattr("gleanery.operators.nearest.BROADCAST_BYTES", limit)
+@pytest.mark.parametrize("block, outlines", [(1, 4), (4, 3), (7, 512), (512, 512)])
+def test_nearest_name_against_brute_force(spark, monkeypatch, block, outlines):
+    """Blocks and groups of any size give the best of all pairs; some names are long, some letters share a class."""
+    monkeypatch.setattr("gleanery.operators.nearest.OUTLINES", outlines)
+    monkeypatch.setattr("gleanery.operators.nearest.NAMES", 9)
     draw = random.Random(3)
-    word = lambda most: "".join(draw.choices("abcde", k=draw.randint(0, most)))
+    word = lambda most: "".join(draw.choices("abcd!жЖ", k=draw.randint(0, most)))
     names = sorted({word(9) for _ in range(30)} | {word(80) for _ in range(4)})
     titles = [(i, word(12)) for i in range(25)]
     best = op.nearest_name(
@@ -174,6 +177,71 @@ def test_nearest_name_against_brute_force(spark, monkeypatch, block, limit):
     assert rows(best) == sorted(want, key=repr)
 
 
+def test_nearest_name_compares_few_pairs(spark):
+    draw = random.Random(5)
+    syllables = ["ka", "ro", "min", "tel", "us", "bra", "ov", "sk", "en", "lu", "ti", "gor"]
+    titles = [(i, " ".join("".join(draw.choices(syllables, k=4)) for _ in range(2))) for i in range(3000)]
+    names = [t[:k] + t[k + 2 :] + "x" for _, t in draw.sample(titles, 150) for k in [draw.randrange(1, len(t) - 2)]]
+    entries = spark.createDataFrame(titles, "id long, title string")
+    found = nearest._searched(spark.createDataFrame([(n,) for n in set(names)], "name string"), entries, 64).collect()
+    assert sum(r.compared for r in found) < 0.05 * len(found) * len(titles)
+    for r in found:
+        score, neg_id, title = max((brute_ratio(r.name, t), -i, t) for i, t in titles)
+        assert (r.best.score, r.best.neg_id, r.best.match_title) == (score, neg_id, title)
+    assert nearest._searched(spark.createDataFrame([("a",)], "name string"), entries.limit(0), 64).count() == 0
+
+
+def _by_loop(table, loads, only_live):
+    """The loads one after the other, in plain Python."""
+    state = [dict(r) for r in table]
+    for at in sorted({r["created_at"] for r in loads}):
+        batch = [r for r in loads if r["created_at"] == at]
+        keys = {r["key"] for r in batch} - {None}
+        for row in state:
+            if row["key"] in keys and (row["deleted_at"] is None or not only_live):
+                row |= {"updated_at": at, "deleted_at": at}
+        state += [r | {"updated_at": None, "deleted_at": None} for r in batch]
+    return sorted((tuple(r[c] for c in ("key", "n", "created_at", "updated_at", "deleted_at")) for r in state), key=repr)
+
+
+@pytest.mark.parametrize("only_live", [False, True])
+def test_keyed_replace_all(spark, only_live):
+    """Many loads in one plan, with a key that is in most rows, repeated rows and NULL keys."""
+    draw, day = random.Random(4), lambda d: datetime(2023, 1, 1) + timedelta(days=d)
+    keys = ["hot"] * 5 + [f"k{i}" for i in range(6)] + [None]
+    stored = [
+        {"key": k, "n": n, "created_at": day(-9), "updated_at": None, "deleted_at": draw.choice([None, day(-3)])}
+        for n, k in enumerate(draw.choices(keys, k=15))
+    ]
+    loads = [{"key": draw.choice(keys), "n": n, "created_at": day(draw.randrange(12))} for n in range(80)] + [{"key": "hot", "n": 0, "created_at": day(3)}] * 2
+    schema = "key string, n int, created_at timestamp_ntz"
+    table = spark.createDataFrame([tuple(r.values()) for r in stored], schema + ", updated_at timestamp_ntz, deleted_at timestamp_ntz")
+    given = spark.createDataFrame([tuple(r.values()) for r in loads], schema)
+    columns = ["key", "n", "created_at", "updated_at", "deleted_at"]
+    found = op.keyed_replace_all(table, given, "key", only_live=only_live).select(*columns)
+    assert sorted(map(tuple, found.collect()), key=repr) == _by_loop(stored, loads, only_live)
+    # Loads one by one by the operator itself.
+    state = table
+    for at in sorted({r["created_at"] for r in loads}):
+        state = op.keyed_replace(state, given.where(F.col("created_at") == F.lit(str(at)).cast("timestamp_ntz")), "key", at, only_live).checkpoint()
+    assert sorted(map(tuple, state.select(*columns).collect()), key=repr) == _by_loop(stored, loads, only_live)
+    same = op.keyed_replace_all(table, given.limit(0), "key", only_live=only_live)
+    assert sorted(map(tuple, same.select(*columns).collect()), key=repr) == _by_loop(stored, [], only_live)
+
+
+def test_paths_to_top(spark):
+    schema = "id string, parent_id string, name string"
+    nodes = [("r", None, "Root"), ("s", None, "Other"), *((f"n{i}", f"n{i - 1}" if i else "r", f"N{i}") for i in range(21)), ("t", "s", None)]
+    found = {r.id: (r.path, r.depth) for r in op.paths_to_top(spark.createDataFrame(nodes, schema)).collect()}
+    assert found["r"] == (["Root"], 1) and found["t"] == (["Other", None], 2)
+    assert found["n20"] == (["Root"] + [f"N{i}" for i in range(21)], 22) and len(found) == 24
+    assert op.paths_to_top(spark.createDataFrame([], schema)).count() == 0
+    with pytest.raises(ValueError, match="cycle"):
+        op.paths_to_top(spark.createDataFrame([("a", "b", "A"), ("b", "a", "B")], schema))
+    with pytest.raises(Exception, match="no node with id x"):
+        op.paths_to_top(spark.createDataFrame([("a", "x", "A")], schema)).collect()
+
+
 def test_org_list_fetch_children(spark):
     bridge = spark.createDataFrame([(1, 10, "r1", None), (2, 11, "r2", T1), (3, 12, "r3", None)], "id int, university_id int, rosrid_id string, deleted_at timestamp_ntz")
     orgs = spark.createDataFrame([(10, "111", None), (11, "222", None), (12, "333", T1)], "id int, ogrn string, deleted_at timestamp_ntz")
