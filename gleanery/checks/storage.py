@@ -8,8 +8,10 @@ from ..functions import strip_ws, unwrap_redirect
 from ..operators import export_csv, keyed_replace, snapshot_replace
 from ..operators.export import CSV_OPTIONS, drop_audit
 from ..plans import news, rates
+from ..schemas import TABLES
 from ..session import scratch_path
 from ..sources import (
+    BucketedTable,
     TableStore,
     read_atom,
     read_documents,
@@ -20,7 +22,7 @@ from ..sources import (
     write_staged,
 )
 from ..sources.feeds import numbered
-from ..streaming import atom_stream, ingest
+from ..streaming import atom_stream, first_of_keys, ingest, ingest_unique
 from .base import Registry, table
 from .flows import NEWS_COLUMNS, NEWS_INTERVAL, SQL_NEWS, page_entries, page_manifest
 
@@ -111,6 +113,53 @@ def stream_ingest(spark, sf_dir):
     return store.read(news.TABLE).select(*NEWS_COLUMNS)
 
 
+@checks.add(SQL_NEWS)
+def stream_ingest_buckets(spark, sf_dir):
+    """The same into a table by key buckets."""
+    feeds, prepare = _land_feeds(spark, sf_dir, copies=2), _prepared(spark, sf_dir)
+    stored = BucketedTable(spark, scratch_path(spark, "buckets"), TABLES[news.TABLE], "hash", buckets=8, bits=1 << 16)
+    ingest_unique(
+        atom_stream(spark, feeds, files_per_batch=1), stored, news.first_entry(), scratch_path(spark, "stream"), lambda batch: prepare(numbered(batch))
+    ).awaitTermination()
+    return stored.read().select(*NEWS_COLUMNS)
+
+
+@checks.add("""
+    WITH keyed AS (SELECT event_id, ts, event_type || '-' || user_id || '-' || hour(ts) AS event_key FROM events)
+    SELECT DISTINCT ON (event_key) event_key, event_id, ts, CASE WHEN ts < '2024-01-16' THEN 1 ELSE 2 END AS load
+    FROM keyed ORDER BY event_key, ts >= '2024-01-16', event_id
+""")
+def bucketed_events(spark, sf_dir):
+    """Two loads into key buckets; the second starts before the first one's end, so a part of its keys is stored."""
+    key = F.concat_ws("-", "event_type", "user_id", F.hour("ts"))
+    events = table(spark, sf_dir, "events").select(key.alias("event_key"), "event_id", "ts")
+    schema = f"event_key string, event_id {events.schema['event_id'].dataType.simpleString()}, ts timestamp_ntz, load int"
+    stored = BucketedTable(spark, scratch_path(spark, "buckets"), schema, "event_key", buckets=16)
+    for load, batch in ((1, events.where("ts < timestamp_ntz'2024-01-16'")), (2, events.where("ts >= timestamp_ntz'2024-01-10'"))):
+        stored.insert_ignore(batch.withColumn("load", F.lit(load)), F.col("event_id"))
+    return stored.read()
+
+
+@checks.add("""
+    WITH keyed AS (
+        SELECT event_id, ts, event_type || '-' || user_id AS event_key,
+            CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 3 = 1 THEN 1 ELSE 2 END AS part FROM events)
+    SELECT DISTINCT ON (event_key) event_key, event_id, part FROM keyed ORDER BY event_key, part, event_id
+""")
+def stream_first_events(spark, sf_dir):
+    """Three micro-batches in which keys come again, some of them with earlier times."""
+    key = F.concat_ws("-", "event_type", "user_id")
+    events = table(spark, sf_dir, "events").select(key.alias("event_key"), "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    landed, out = scratch_path(spark, "landed"), scratch_path(spark, "first")
+    for part in range(3):
+        rows = events.where(F.pmod("event_id", F.lit(3)) == part).withColumn("part", F.lit(part))
+        rows.coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    first = first_of_keys(stream, "event_key", "ts", ["event_id"], "3650 days", 86_400_000)
+    first.writeStream.trigger(availableNow=True).option("checkpointLocation", scratch_path(spark, "state")).format("parquet").start(out).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out).select("event_key", "event_id", "part")
+
+
 @checks.add("""
     SELECT 'P' || p_partkey AS currency_id, p_name AS title, p_brand AS char_code, CAST(p_partkey AS INTEGER) AS num_code,
         1 AS nominal, CAST(CAST(p_retailprice AS DECIMAL(18, 2)) AS DOUBLE) / CAST(p_size AS DOUBLE) AS value,

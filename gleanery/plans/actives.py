@@ -146,10 +146,12 @@ def load_actives_history(store: TableStore, rows: DataFrame, codes: DataFrame, o
         parents, bridge, _ = split_actives(batch, codes)
         store.append(BRIDGE, not_yet_stored(store.read(BRIDGE), bridge, "active_id"))
         stored = store.read_live(TABLE) if only_live else store.read(TABLE)
-        before = stored.join(batch.select("created_at").distinct(), "created_at", "left_anti")
-        state = keyed_replace_all(before, parents, "object_id", only_live=only_live)
+        loads = batch.select("created_at").distinct()
+        state = keyed_replace_all(stored.join(loads, "created_at", "left_anti"), parents, "object_id", only_live=only_live)
         if only_live:
-            store.replace_live(TABLE, state)
+            # The archive stays as it is, so what an earlier try of these loads has put there is not added again.
+            archived = store.read(TABLE).where("deleted_at IS NOT NULL").join(loads, "created_at", "left_semi")
+            store.replace_live(TABLE, state.join(archived.select("id").distinct(), "id", "left_anti"))
         else:
             store.replace(TABLE, state)
         return size

@@ -1,6 +1,7 @@
 """Landed documents, paged results and stored tables."""
 
 from .areas import flatten_area_tree
+from .bucketed import BucketedTable
 from .documents import (
     interval_path,
     read_documents,
@@ -16,6 +17,7 @@ from .rates import read_rates
 from .store import TableStore
 
 __all__ = [
+    "BucketedTable",
     "TableStore",
     "gate",
     "expand_feeds",

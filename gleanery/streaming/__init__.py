@@ -1,5 +1,6 @@
-"""Incremental ingest of landed files."""
+"""Structured Streaming flows."""
 
-from .ingest import atom_stream, ingest
+from .dedupe import first_of_keys
+from .ingest import atom_stream, ingest, ingest_unique
 
-__all__ = ["atom_stream", "ingest"]
+__all__ = ["atom_stream", "first_of_keys", "ingest", "ingest_unique"]

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import new_rows
 from ..schemas import ATOM_ENTRY
-from ..sources import TableStore
+from ..sources import BucketedTable, TableStore
 from ..sources.feeds import ATOM_OPTIONS, entry_columns
 
 
@@ -46,3 +46,25 @@ def ingest(
         .foreachBatch(load)
         .start()
     )
+
+
+def ingest_unique(
+    stream: DataFrame,
+    table: BucketedTable,
+    order: list[Column],
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> StreamingQuery:
+    """As ``ingest``, into a table by key buckets: a micro-batch reads only buckets that may hold its keys."""
+
+    def load(batch: DataFrame, _: int) -> None:
+        rows = prepare(batch).persist()
+        table.insert_ignore(rows, *order)
+        rows.unpersist()
+
+    return (
+        stream.writeStream.trigger(availableNow=True)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(load)
+        .start()
+    )

@@ -253,6 +253,32 @@ def test_actives(spark, registry, tmp_path, only_live):
     assert store.read(actives.TABLE).count() == 8
 
 
+@pytest.mark.parametrize("only_live", [False, True])
+def test_actives_history_is_the_loads_one_by_one(spark, registry, tmp_path, only_live):
+    """Four intervals, one of them empty, on a table that holds an earlier load; then all of it again."""
+    months = {
+        "2023-05-15 07:00:00": [hit("A1"), hit("A2", codes=("1.02",))], "2023-06-15 07:00:00": [],
+        "2023-07-15 07:00:00": [hit("A1"), hit("A1"), hit("A3", codes=())], "2023-08-15 07:00:00": [hit("A2"), hit("A3"), hit("A4")],
+    }
+    other = TableStore(spark, str(tmp_path / "other"))
+    for name in ("rosrid_active_type", "dict_oecd"):
+        other.append(name, registry.read(name))
+    batches = None
+    for folder, (now, hits) in enumerate(months.items()):
+        for store in (registry, other):
+            if not folder:
+                load_actives(spark, store, tmp_path, "before", document(nioktrs=[hit("A1"), hit("A9")]), "2023-04-15 07:00:00", only_live=only_live)
+        load_actives(spark, registry, tmp_path, f"m{folder}", document(nioktrs=hits), now, only_live=only_live)
+        documents = read_documents(spark, land(tmp_path / f"m{folder}", "r1.json", document(nioktrs=hits)), schemas.ACTIVES_DOCUMENT)
+        rows, _ = actives.transform_actives(actives.hits_of_documents(documents), other.read("rosrid_active_type"), "b", now)
+        batches = rows if batches is None else batches.unionByName(rows)
+    for _ in range(2):
+        assert actives.load_actives_history(other, batches, other.read("dict_oecd"), only_live) == 8
+        for name in (actives.TABLE, actives.BRIDGE):
+            assert sorted(map(str, other.read(name).collect())) == sorted(map(str, registry.read(name).collect()))
+    assert actives.load_actives_history(other, batches.limit(0), other.read("dict_oecd"), only_live) == 0
+
+
 def test_code_rejects(spark, registry, tmp_path):
     path = land(tmp_path / "d", "r1.json", document(nioktrs=[hit("A1", codes=("1.02.EP", "9.9", "9.9.X"))]))
     hits = actives.hits_of_documents(read_documents(spark, path, schemas.ACTIVES_DOCUMENT))
