@@ -22,7 +22,7 @@ LEAST = 30
 #: Cells of the filter that tells tasks which phrases to count. A phrase sharing a cell is counted needlessly at worst.
 CELLS = 1 << 24
 #: Bytes of text of one language that are counted together, and that are split into words at a time.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 CHUNK_BYTES = 1 << 18
 
 BREAK = b"\xff"  # no byte of UTF-8
@@ -252,7 +252,8 @@ def _scan(blocks: DataFrame, cells: np.ndarray | None, single: bool) -> DataFram
                     yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts.astype(np.int64))], [*KEY, "f"])
 
     schema = ", ".join(f"{c} bigint" for c in [*KEY, "f"])
-    return blocks.select("words", "lead").mapInArrow(counted, schema).groupBy(*KEY).agg(F.sum("f").alias("f"))
+    # Blocks are added up already, so tasks would gain little from adding up theirs before the shuffle.
+    return blocks.select("words", "lead").mapInArrow(counted, schema).repartition(*KEY).groupBy(*KEY).agg(F.sum("f").alias("f"))
 
 
 def _frequent(blocks: DataFrame, least: int, shards: int, size: int) -> DataFrame:
