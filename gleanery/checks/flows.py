@@ -177,13 +177,17 @@ def _areas(spark, sf_dir):
     return roots.unionByName(regions).unionByName(nations)
 
 
-def _transformed(spark, sf_dir):
+def _judged(spark, sf_dir):
+    return _transformed(spark, sf_dir, vacancies.judged_vacancies)
+
+
+def _transformed(spark, sf_dir, transform=vacancies.transform_vacancies):
     rates = spark_rates(spark, sf_dir)
     regions = table(spark, sf_dir, "region").select(
         (F.col("r_regionkey") + 1).alias("id"), F.col("r_name").alias("title"), F.lit(None).cast("timestamp_ntz").alias("deleted_at")
     )
     placed = vacancies.area_regions(_areas(spark, sf_dir), regions)
-    return vacancies.transform_vacancies(
+    return transform(
         _vacancy_documents(spark, sf_dir), rates, placed, "bucket", "2023-03-05 15:00:00+03:00"
     )
 
@@ -233,7 +237,8 @@ def vacancy_rows(spark, sf_dir):
     WHERE c_acctbal < 0 GROUP BY c_nationkey
 """)
 def vacancy_rejects(spark, sf_dir):
-    _, rejects = _transformed(spark, sf_dir)
+    """From the rows as written once; of these only the part that lacks something is read."""
+    _, rejects = vacancies.split_vacancies(_judged(spark, sf_dir), scratch_path(spark, "vacancies"))
     currency = rejects["currency"].select(F.lit("currency").alias("reject"), "key", "rows")
     return currency.unionByName(rejects["area"].select(F.lit("area").alias("reject"), "key", "rows"))
 

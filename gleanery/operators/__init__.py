@@ -4,7 +4,7 @@ from .aggregate import agg_codes, agg_text, counted, total_items
 from .dedupe import latest_document, latest_per_key
 from .export import drop_audit, export_csv, refresh_if_loaded, with_row_index
 from .hierarchy import climb_to_top, paths_to_top
-from .lookup import lookup, org_list, with_children, with_fetch
+from .lookup import judged_lookup, lookup, org_list, rejects_of, with_children, with_fetch
 from .maintain import (
     append_rows,
     insert_ignore,
@@ -45,7 +45,9 @@ __all__ = [
     "latest_document",
     "latest_per_key",
     "live",
+    "judged_lookup",
     "lookup",
+    "rejects_of",
     "nearest_name",
     "new_rows",
     "not_yet_stored",

@@ -50,6 +50,25 @@ def lookup(
     return joined.drop("_key", "_found"), rejects
 
 
+def judged_lookup(df: DataFrame, dictionary: DataFrame, key: str, dict_key: str, values: dict[str, str], name: str) -> DataFrame:
+    """As ``lookup``, with the verdict in the rows: ``name`` is appended to ``lacking`` where the key is not in the dictionary.
+
+    Nothing is computed twice: the rejects are those rows (``rejects_of``), once the rows are written.
+    """
+    columns = dictionary.select(F.col(dict_key).alias("_key"), *[F.col(c).alias(new) for c, new in values.items()])
+    joined = df.join(spread(columns, "_key").withColumn("_found", F.lit(True)), F.col(key) == F.col("_key"), "left")
+    earlier = F.col("lacking") if "lacking" in df.columns else F.array().cast("array<string>")
+    missing = F.col(key).isNotNull() & F.col("_found").isNull()
+    lacking = F.when(missing, F.array_append(earlier, F.lit(name))).otherwise(earlier)
+    return joined.withColumn("lacking", lacking).drop("_key", "_found")
+
+
+def rejects_of(judged: DataFrame, name: str, key: str) -> DataFrame:
+    """Each key that the dictionary ``name`` lacked, with its number of rows."""
+    lacked = judged.where(F.array_contains("lacking", name))
+    return lacked.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def org_list(bridge: DataFrame, orgs: DataFrame) -> DataFrame:
     """Live organisations registered with the search service."""
     registered = live(bridge).select(

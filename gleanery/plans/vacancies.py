@@ -20,11 +20,13 @@ from ..operators import (
     agg_text,
     climb_to_top,
     drop_audit,
+    judged_lookup,
     latest_per_key,
     live,
     lookup,
     nearest_name,
     not_yet_stored,
+    rejects_of,
     reshape_structs,
     salary_fields,
     snapshot_replace,
@@ -34,7 +36,8 @@ from ..operators import (
 )
 from ..operators.dedupe import latest_document
 from ..operators.skew import distinct_keys, spread
-from ..sources import TableStore, gate, merge_pages, stage
+from ..sources import TableStore, Verdicts, gate, merge_pages, stage
+from ..sources.verdicts import BROKEN, GOOD
 from .rates import latest_rates
 
 TABLE, SKILLS, ROLES = "hh_vacancy", "hh_skill", "hh_professional_role"
@@ -95,24 +98,55 @@ def transform_vacancies(
     Rejects are the currencies without a rate and the areas not in the tree; their vacancies
     are kept with NULL in the column concerned.
     """
+    flat = _with_keys(documents)
+    priced, no_rate = lookup(flat, latest_rates(rates), "_currency", "char_code", {"value": "_rate"}, strict)
+    placed, no_area = lookup(
+        priced, area_region, "_area", "area_id", {"federal_region_id": "federal_region_id"}, strict, of=flat
+    )
+    rows = placed.select(*_columns(bucket, interval_end))
+    return (rows if keep_falsy else falsy_to_null(rows, OPTIONAL)), {"currency": no_rate, "area": no_area}
+
+
+def judged_vacancies(
+    documents: DataFrame, rates: DataFrame, area_region: DataFrame, bucket: str, interval_end: str, keep_falsy: bool = False
+) -> DataFrame:
+    """Vacancy rows with ``currency, area`` as looked up, what they are ``lacking``, and a ``verdict``: each input is read once."""
+    rate, region = {"value": "_rate"}, {"federal_region_id": "federal_region_id"}
+    priced = judged_lookup(_with_keys(documents), latest_rates(rates), "_currency", "char_code", rate, "currency")
+    placed = judged_lookup(priced, area_region, "_area", "area_id", region, "area")
+    verdict = F.when(F.size("lacking") == 0, GOOD).otherwise(BROKEN)
+    keys = [F.col("_currency").alias("currency"), F.col("_area").alias("area"), "lacking", verdict.alias("verdict")]
+    rows = placed.select(*_columns(bucket, interval_end), *keys)
+    return rows if keep_falsy else falsy_to_null(rows, OPTIONAL)
+
+
+def split_vacancies(judged: DataFrame, path: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The result of ``transform_vacancies`` from ``judged_vacancies``, written once to ``path``.
+
+    Rejects are counted from the part of the rows that lack something; the others are not opened for them.
+    """
+    written = Verdicts(judged, path)
+    lacking = written.rows(BROKEN)
+    return written.rows().drop("currency", "area", "lacking"), {name: rejects_of(lacking, name, name) for name in ("currency", "area")}
+
+
+def _with_keys(documents: DataFrame) -> DataFrame:
     # Only an amount in another currency needs a rate.
     foreign = (F.col("salary.currency") != BASE_CURRENCY) & F.coalesce("salary.from", "salary.to").isNotNull()
-    flat = documents.withColumns(
+    return documents.withColumns(
         {
             "_amounts": F.struct(*[c.alias(n) for n, c in salary_fields(F.col("salary")).items()]),
             "_currency": F.when(foreign, F.col("salary.currency")),
             "_area": F.col("area.id"),
         }
     )
-    priced, no_rate = lookup(flat, latest_rates(rates), "_currency", "char_code", {"value": "_rate"}, strict)
-    placed, no_area = lookup(
-        priced, area_region, "_area", "area_id", {"federal_region_id": "federal_region_id"}, strict, of=flat
-    )
 
+
+def _columns(bucket: str, interval_end: str) -> list:
     def rubles(amount: str):
         return to_rubles(F.col(f"_amounts.{amount}"), F.col("salary.currency"), F.col("_rate"))
 
-    rows = placed.select(
+    return [
         "hh_university_id",
         F.col("id").cast("bigint").alias("hh_id"),
         naive_timestamp(F.lit(interval_end)).alias("created_at"),
@@ -135,9 +169,7 @@ def transform_vacancies(
             F.col("professional_roles"), {"hh_professional_role_dict_id": "id", "title": "name"}
         ).alias("professional_roles"),
         F.transform("key_skills", lambda x: F.struct(drop_quotes(x["name"]).alias("title"))).alias("skills"),
-    )
-    loaded = rows if keep_falsy else falsy_to_null(rows, OPTIONAL)
-    return loaded, {"currency": no_rate, "area": no_area}
+    ]
 
 
 def load_vacancies(store: TableStore, rows: DataFrame, now: str) -> int:

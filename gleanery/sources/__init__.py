@@ -14,11 +14,15 @@ from .documents import (
 from .feeds import expand_feeds, read_atom
 from .paging import gate, merge_hits, merge_pages, page_count, plan_pages, plan_requests
 from .rates import read_rates
+from .snapshots import SnapshotHistory
 from .store import TableStore
+from .verdicts import Verdicts, split_atom, split_documents
 
 __all__ = [
     "BucketedTable",
+    "SnapshotHistory",
     "TableStore",
+    "Verdicts",
     "gate",
     "expand_feeds",
     "flatten_area_tree",
@@ -32,6 +36,8 @@ __all__ = [
     "read_documents",
     "read_rates",
     "read_staged",
+    "split_atom",
+    "split_documents",
     "stage",
     "write_documents",
     "write_intervals",

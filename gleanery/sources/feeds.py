@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import ATOM_ENTRY
@@ -35,13 +35,19 @@ def entry_columns(entries: DataFrame) -> DataFrame:
     return entries.select(
         F.col("_metadata.file_path").alias("feed_path"),
         F.col("_metadata.file_name").alias("feed_file"),
-        F.col("link._href").alias("href"),
-        "published",
-        F.col("title._VALUE").alias("title"),
-        F.col("content._VALUE").alias("content"),
+        *fields_of(F.struct("link", "published", "title", "content")),
     )
 
 
+def fields_of(entry: Column) -> list[Column]:
+    return [
+        entry["link"]["_href"].alias("href"),
+        entry["published"].alias("published"),
+        entry["title"]["_VALUE"].alias("title"),
+        entry["content"]["_VALUE"].alias("content"),
+    ]
+
+
 def expand_feeds(config: DataFrame, topic_ordinal: str = "topic_no") -> DataFrame:
     """One row per feed of each topic, with a key that is unique over (topic, feed).
 
