@@ -16,8 +16,10 @@ from pyspark.sql import types as T
 UNKNOWN = "und"
 #: Raw content that a language's dictionary holds, at most.
 DICTIONARY_BYTES = 1 << 15
-#: Documents of a language that its dictionary is made of, at most, by a hash of their ids.
+#: Texts of a language that its dictionary is made of, by a hash of their ids.
 SAMPLED_DOCS = 24
+#: Languages that can be learned: their dictionaries, 64 MB at most, are on the driver and in each task.
+LANGUAGES = 2048
 #: Bytes compressed at a time: more, and a text's own beginning takes the dictionary's place.
 BLOCK_BYTES = 4096
 LEVEL = 6
@@ -77,28 +79,54 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
+def _content(texts: list[bytes]) -> bytes:
+    """A dictionary of the texts, in their order, all cut at the same length, the greatest that fits: short ones leave room to others."""
+    left, share = DICTIONARY_BYTES - len(texts), 0
+    for n, length in enumerate(sorted(map(len, texts))):
+        share = left // (len(texts) - n)
+        if length > share:
+            break
+        left -= length
+    else:
+        share = DICTIONARY_BYTES
+    return b" ".join(t[:share] for t in texts)
+
+
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """A dictionary for each language of the documents that are not held out.
 
-    Each language gives at most ``SAMPLED_DOCS`` documents, the first by a hash of the id (of a repeated id
-    the least text), and ``DICTIONARY_BYTES`` of them; that much and a count for each language comes to the driver.
-    Documents without id, text or language teach nothing.
+    Each language gives ``SAMPLED_DOCS`` different texts that have letters (all, if fewer), the first by a hash of the smallest id
+    that has the text, and each of them an equal share of ``DICTIONARY_BYTES``: neither copies nor empty texts nor
+    one very long text take the place of others. A dictionary and a count for each language come to the driver; more than
+    ``LANGUAGES`` values of ``lang`` are refused with an error. Documents without id, text or language teach nothing.
     """
     usable = docs.where(~held_out(F.col(id)) & F.col(id).isNotNull() & F.col(lang).isNotNull())
     usable = usable.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = usable.where("text IS NOT NULL").select("id", "lang").withColumn("rank", F.dense_rank().over(order))
-    # At most SAMPLED_DOCS rows for each language, however often an id is repeated.
-    chosen = F.broadcast(chosen.where(F.col("rank") <= SAMPLED_DOCS).distinct())
-    starts = usable.join(chosen, ["id", "lang"]).groupBy("lang", "rank").agg(F.min(F.substring("text", 1, DICTIONARY_BYTES)).alias("text"))
-    texts: dict[str, list[tuple[int, bytes]]] = {}
-    for row in starts.collect():
-        texts.setdefault(row["lang"], []).append((row["rank"], letters(row["text"])))
-    contents = {lang: b" ".join(t for _, t in sorted(rows))[:DICTIONARY_BYTES] for lang, rows in texts.items()}
+    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages: {sorted(counts)[:5]}, ...")
+    content = F.xxhash64("text")
+    texts = usable.where(F.col("text").rlike(r"\p{L}")).groupBy("lang", content.alias("content")).agg(F.min("id").alias("id"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "content")
+    chosen = texts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLED_DOCS)
+    # At most SAMPLED_DOCS rows for each language; the same row may stand in the table more than once.
+    wanted = usable.withColumn("content", content).join(F.broadcast(chosen), ["lang", "content", "id"]).select("lang", "rank", "text")
+
+    def in_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [letters(t.as_py())[:DICTIONARY_BYTES] for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.binary())], ["lang", "rank", "words"])
+
+    def joined(rows: pa.Table) -> pa.Table:
+        words = dict(zip(rows.column("rank").to_pylist(), rows.column("words").to_pylist()))
+        made = _content([w for _, w in sorted(words.items()) if w])
+        return pa.table({"lang": rows.column("lang").slice(0, 1), "content": pa.array([made], pa.binary())})
+
+    words = wanted.mapInArrow(in_words, "lang string, rank int, words binary").groupBy("lang", "rank").agg(F.min("words").alias("words"))
+    made = words.groupBy("lang").applyInArrow(joined, "lang string, content binary").collect()
     # The compressor takes no shorter dictionary; eight bytes hardly teach a language anyway.
-    frequent_first = sorted((x for x in contents if len(contents[x]) >= 8), key=lambda x: (-counts[x], x))
-    return Model({x: contents[x] for x in frequent_first})
+    contents = {r["lang"]: bytes(r["content"]) for r in made if len(r["content"]) >= 8}
+    return Model({x: contents[x] for x in sorted(contents, key=lambda x: (-counts[x], x))})
 
 
 def with_language(docs: DataFrame, model: Model, into: str, text: str = "text", margin: float = MARGIN) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from gleanery.checks.base import table
@@ -26,6 +28,51 @@ def test_held_out_documents_teach_nothing(spark):
     assert langid.train(wrong).dictionaries == langid.train(docs).dictionaries
 
 
+def test_dictionaries_and_sizes_by_plain_calls(spark):
+    """Dictionaries made anew in plain Python, and every size by the library itself."""
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang").limit(400).toPandas()
+    model = langid.train(spark.createDataFrame(docs))
+    ids = spark.createDataFrame(docs[["doc_id"]]).select("doc_id", langid.held_out(F.col("doc_id")).alias("held"), F.xxhash64("doc_id").alias("hash"))
+    known = {r.doc_id: r for r in ids.collect()}
+    first = {}
+    for r in docs.sort_values("doc_id").itertuples():
+        if r.lang and r.text and any(c.isalpha() for c in r.text) and not known[r.doc_id].held:
+            first.setdefault((r.lang, r.text), r.doc_id)
+    for lang, content in model.dictionaries.items():
+        texts = sorted((known[i].hash, i, t) for (x, t), i in first.items() if x == lang)[: langid.SAMPLED_DOCS]
+        words = [langid.letters(t) for _, _, t in texts]
+        share = next(n for n in range(1 << 16, -1, -1) if sum(min(len(w), n) + 1 for w in words) <= langid.DICTIONARY_BYTES)
+        assert content == b" ".join(w[:share] for w in words)
+    for r in docs.head(60).itertuples():
+        words = langid.letters(r.text or "")
+        for lang, content in model.dictionaries.items():
+            options = zstandard.ZstdCompressionParameters.from_level(langid.LEVEL, source_size=langid.BLOCK_BYTES, dict_size=len(content), write_content_size=False, write_checksum=False, write_dict_id=False)
+            plain = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=options)
+            size = sum(len(plain.compress(words[i : i + langid.BLOCK_BYTES])) for i in range(0, len(words), langid.BLOCK_BYTES))
+            assert model.sizes(words)[lang] == size
+
+
+def test_no_text_takes_the_place_of_others(spark):
+    """One very long text, many copies and many empty ones, none of which keeps the others out."""
+    rows = [(i, f"word{i} " * 50, "aa") for i in range(60)]
+    rows += [(1000 + i, "", "aa") for i in range(200)] + [(2000 + i, "12 34", "aa") for i in range(200)] + [(3000 + i, "copies " * 9, "aa") for i in range(200)]
+    rows += [(4000 + i, "0 " * 40_000 + "very long " * 30_000, "aa") for i in range(3)] + [(5000 + i, None, "bb") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    (content,) = langid.train(docs).dictionaries.values()
+    assert len(content) <= langid.DICTIONARY_BYTES
+    kinds = {w for w in content.split() if w.startswith(b"word")}
+    assert len(kinds) >= langid.SAMPLED_DOCS - 3 or content.count(b"copies") <= 9
+    same = langid.train(docs.unionByName(docs).repartition(7))
+    assert same.dictionaries == {"aa": content}
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    docs = spark.createDataFrame([(i, f"text {i}", f"l{i % 3}") for i in range(40)], "doc_id bigint, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        langid.train(docs)
+
+
 def test_language_odd_rows(spark, odd_docs, no_docs):
     model = langid.train(table(spark, SF, "documents"))
     found = langid.with_language(odd_docs, model, "found")
