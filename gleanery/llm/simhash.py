@@ -139,7 +139,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest id (NULL last).
 
-    Of repeated rows one stays. All columns are returned.
+    Of rows that are equal in id and text the one whose other columns are the least stays, written as JSON, so
+    the result is the same in every run. All columns are returned.
     """
     content = F.xxhash64(text)
     found = _classified(docs.select(F.col(id).alias("id"), F.col(text).alias("text"), content.alias("content")))
@@ -150,4 +151,8 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     kept = kept.select(F.col("id").alias(value), F.col("content").alias(key))
     rows = docs.withColumn(key, content)
     same = rows[id].eqNullSafe(kept[value]) & (rows[key] == kept[key])
-    return rows.join(kept, same, "left_semi").dropDuplicates([id, key]).drop(key)
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c.lower() not in (id.lower(), text.lower())]))
+    # Each task drops all repeats but one before the shuffle.
+    place = unused(docs, "_place")
+    first = F.row_number().over(Window.partitionBy(id, key).orderBy(others))
+    return rows.join(kept, same, "left_semi").withColumn(place, first).where(F.col(place) == 1).drop(key, place)

@@ -101,3 +101,11 @@ def test_plan_has_no_cross_join(spark):
     links = simhash.links(spark.range(3).select(F.col("id").alias("fp")))
     plan = links._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_of_rows_with_one_id_and_text_the_least_stays(spark):
+    rows = [(1, "one two three four", source) for source in ("c", None, "b", "a", "b")] + [(None, None, "z"), (None, None, "y")]
+    for parts in (1, 2, 5):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(parts)
+        kept = {(r.doc_id, r.source) for r in simhash.one_of_each(docs).collect()}
+        assert kept == {(1, "a"), (None, "y")}
