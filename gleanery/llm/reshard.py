@@ -186,13 +186,14 @@ def with_slot(rows: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """``rows`` with ``slot``: their place in ``shard`` by ``shard_key``, from 0 and without gaps.
 
     Rows are numbered inside blocks of a shard, after the rows of the blocks before; no task sorts a
-    whole shard.
+    whole shard. A column called ``slot`` is replaced, and left out of the order among equal keys.
     """
-    numbered = rows.withColumn("_block", _block(F.col("shard_key"), blocks))
-    sizes = numbered.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("shard", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    order = Window.partitionBy("shard", "_block").orderBy("shard_key", *[c for c in rows.columns if c not in ("shard", "shard_key")])
+    part, many, start = (unused(rows, name) for name in ("_block", "_n", "_start"))
+    numbered = rows.withColumn(part, _block(F.col("shard_key"), blocks))
+    sizes = numbered.groupBy("shard", part).agg(F.count(F.lit(1)).alias(many))
+    before = Window.partitionBy("shard").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("shard", part, F.coalesce(F.sum(many).over(before), F.lit(0)).alias(start))
+    order = Window.partitionBy("shard", part).orderBy("shard_key", *[c for c in rows.columns if c not in ("shard", "shard_key", "slot")])
     # One row for each block of a shard, so its size is bounded by shards * blocks.
-    joined = numbered.join(F.broadcast(starts), ["shard", "_block"])
-    return joined.withColumn("slot", F.col("_start") + F.row_number().over(order) - 1).drop("_block", "_start")
+    joined = numbered.join(F.broadcast(starts), ["shard", part])
+    return joined.withColumn("slot", F.col(start) + F.row_number().over(order) - 1).drop(part, start)

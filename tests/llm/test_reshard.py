@@ -90,3 +90,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
             by[r.shard].append(r.slot)
         assert all(sorted(s) == list(range(len(s))) for s in by.values()) and set(by) <= {0, 1, 2}
         assert sharded.select(*docs.columns).exceptAll(docs).count() == 0
+
+
+def test_slots_keep_given_columns(spark):
+    rows = spark.range(50).selectExpr("id", "CAST(id % 3 AS INT) AS shard", "xxhash64(id) AS shard_key", "id AS _block", "id AS _n", "id AS _start", "'x' AS slot")
+    found = reshard.with_slot(rows).collect()
+    assert len(found) == 50 and all(r["_block"] == r["_n"] == r["_start"] == r["id"] for r in found)
+    for shard in range(3):
+        mine = sorted((r for r in found if r["shard"] == shard), key=lambda r: r["shard_key"])
+        assert [r["slot"] for r in mine] == list(range(len(mine)))
