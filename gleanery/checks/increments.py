@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import agg_text
+from ..operators import agg_text, text_of_segments, text_segments
 from ..plans.monthly import MonthlyReport, write_months
 from ..session import scratch_path
 from ..sources import SnapshotHistory, split_atom, split_documents
@@ -136,3 +136,17 @@ def _refreshed(spark, sf_dir):
 def monthly_refresh(spark, sf_dir):
     """The report after three refreshes is that of all orders."""
     return _refreshed(spark, sf_dir)[0].read()
+
+
+@checks.add("""
+    SELECT o_orderstatus, octet_length(encode(string_agg(text, '; ' ORDER BY text))) AS bytes, string_agg(text, '; ' ORDER BY text) AS texts
+    FROM (SELECT o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE o_orderpriority || ' ' || o_orderkey END AS text FROM orders)
+    GROUP BY o_orderstatus
+""")
+def hot_text_segments(spark, sf_dir):
+    """The texts of three keys, each of many segments, a third of them repeats."""
+    repeated = F.pmod("o_orderkey", F.lit(3)) == 0
+    text = F.when(repeated, F.col("o_orderpriority")).otherwise(F.concat_ws(" ", "o_orderpriority", "o_orderkey"))
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus", text.alias("text"))
+    segments = text_segments(orders, ["o_orderstatus"], "text", "texts", size=1 << 12)
+    return text_of_segments(segments, ["o_orderstatus"], "texts").drop("segments")

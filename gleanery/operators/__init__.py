@@ -1,6 +1,6 @@
 """DataFrame-to-DataFrame operators."""
 
-from .aggregate import agg_codes, agg_text, counted, total_items
+from .aggregate import agg_codes, agg_text, counted, text_of_segments, text_segments, total_items
 from .dedupe import latest_document, latest_per_key
 from .export import drop_audit, export_csv, refresh_if_loaded, with_row_index
 from .hierarchy import climb_to_top, paths_to_top
@@ -61,6 +61,8 @@ __all__ = [
     "snapshot_replace",
     "split_parent_child",
     "surrogate_key",
+    "text_of_segments",
+    "text_segments",
     "total_items",
     "unnest_entries",
     "unnest_map",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.checks import flows, increments
-from gleanery.operators import judged_lookup, rejects_of
+from gleanery.operators import judged_lookup, rejects_of, text_of_segments, text_segments
 from gleanery.plans import vacancies
 from gleanery.plans.monthly import MonthlyReport, write_months
 from gleanery.session import remove_path
@@ -171,3 +171,48 @@ def test_monthly_refresh_touches_changed_months(spark):
     assert third and all(m.startswith("1998") for m in third) and len(first) > 3 * len(third) and set(second) - set(third)
     plan = report.rows().where(F.col("month").isin(third))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "1998-01" in plan
+
+
+def test_text_segments(spark):
+    """A key with a third of all rows, one text with most of another key's, NULL keys and texts, against plain sorting."""
+    rows = [("hot", f"t{i % 4000:05d}") for i in range(9000)] + [(f"k{i % 500}", f"x{i}") for i in range(9000)]
+    rows += [("same", "again")] * 7000 + [("same", "é"), (None, "b"), (None, "a"), ("empty", None), ("", ""), ("", "")]
+    df = spark.createDataFrame(rows, "k string, t string").repartition(8)
+    segments = text_segments(df, ["k"], "t", "out", size=3000, parts=16)
+    found = segments.collect()
+    wanted = {}
+    for key, text in rows:
+        if text is not None:
+            wanted.setdefault(key, []).append(text)
+    wanted = {key: "; ".join(sorted(texts, key=str.encode)) for key, texts in wanted.items()}
+    made = {}
+    for r in sorted(found, key=lambda r: r["segment"]):
+        made.setdefault(r["k"], []).append(r)
+    assert made.keys() == wanted.keys()
+    for key, parts in made.items():
+        assert [r["segment"] for r in parts] == list(range(len(parts)))
+        assert "; ".join(r["out"] for r in parts) == wanted[key]
+        for r in parts:
+            assert wanted[key][r["chars_before"]:].startswith(r["out"]) and len(r["out"]) < 2 * 3000
+    assert len(made["hot"]) > 15 and len(made["same"]) > 10
+    whole = {r["k"]: r for r in text_of_segments(segments, ["k"], "out", limit=50_000).collect()}
+    for key, r in whole.items():
+        size = len(wanted[key].encode())
+        assert (r["segments"], r["bytes"], r["out"]) == (len(made[key]), size, wanted[key] if size <= 50_000 else None)
+    assert whole["hot"]["out"] is None and whole["k1"]["out"] is not None
+
+
+def test_text_segments_of_a_hot_key_are_spread(spark):
+    """No task gets three times the rows of the median one, though half of them have one key."""
+    df = spark.range(40_000).selectExpr("IF(id % 2 = 0, 'hot', CAST(id % 999 AS STRING)) AS k", "CAST(id AS STRING) AS t")
+    dealt = text_segments(df, ["k"], "t", "out", size=500, parts=16)
+    lengths = [r["n"] for r in dealt.where("k = 'hot'").groupBy("segment").agg(F.sum(F.length("out")).alias("n")).collect()]
+    assert len(lengths) > 100 and max(lengths) < 3 * sorted(lengths)[len(lengths) // 2]
+    counts = df.repartitionByRange(16, "k", "t").withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    sizes = sorted(r["count"] for r in counts)
+    assert len(sizes) >= 15 and sizes[-1] < 3 * sizes[len(sizes) // 2]
+
+
+def test_text_segments_of_nothing(spark):
+    segments = text_segments(spark.createDataFrame([], "k string, t string"), ["k"], "t", "out")
+    assert segments.count() == 0 and text_of_segments(segments, ["k"], "out").count() == 0
