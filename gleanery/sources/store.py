@@ -1,105 +1,112 @@
-"""Stored tables as partitioned Parquet with versions.
+"""Stored tables as partitioned Parquet: live rows in one part, ended rows in a part for the day they ended on.
 
-Stock Spark cannot update Parquet in place, so a load writes the changed rows to a folder of its own
-and then publishes a manifest that names the folders the table now consists of. Readers see
-the old version until that manifest is there, and a failed load leaves no trace. Live
-and archived rows lie in separate partitions, so a load that only ends live rows never rewrites
-the archive. Of two loads that start from the same version only one can publish; the other fails.
+Nothing but Spark's own files under ``<root>/<table>/part=...``. A load replaces the parts that it changes by
+dynamic partition overwrite: one that only ends live rows writes the live part and the days it ends rows on.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TABLES
+from ..session import remove_path, scratch_path
+
+LIVE = "live"
 
 
 class TableStore:
+    """The tables of ``schemas.TABLES`` under ``root``. One load at a time may write a table.
+
+    A next state is computed once, into the shared folder, since it is made of the very files that it replaces.
+    From there ended rows are written before the live ones that they were. So a load that breaks off leaves
+    ended rows that are live as well at worst, and run again it ends them in the same way: equal rows of a day
+    are one row. Spark swaps the folder of a part by a deletion and a rename; should the driver be lost between the
+    two, that part is found in the shared folder only, under ``state-...``, which then stays.
+    """
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _path(self, *parts: str):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _current(self, name: str) -> dict:
-        """The newest manifest: its version, and the folders of the live and of the archived rows."""
-        folder, files = self._path(name, "manifest")
-        names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
-        if not names:
-            return {"version": 0, "live": [], "archive": []}
-        newest = self.spark.read.text(f"{self.root}/{name}/manifest/{max(names)}").first()["value"]
-        return json.loads(newest)
-
-    def _publish(self, name: str, current: dict) -> None:
-        """Create the version's manifest, which fails if it exists."""
-        path, files = self._path(name, "manifest", f"{current['version']:012d}.json")
+    def _path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def _stored(self, name: str) -> DataFrame:
+        """The table's rows with their ``part``; none if nothing was ever loaded."""
+        stored = T.StructType([*T.StructType.fromDDL(TABLES[name]), T.StructField("part", T.StringType())])
         try:
-            out = files.create(path, False)
-        except Py4JJavaError as error:
-            raise RuntimeError(f"another load has published version {current['version']} of {name}") from error
-        out.write(bytearray(json.dumps(current).encode()))
-        out.close()
-
-    def _read(self, name: str, live: list[str], archive: list[str]) -> DataFrame:
-        schema = T.StructType.fromDDL(TABLES[name])
-        if not live and not archive:
-            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-            return self.spark.range(0).select(*nothing)
-        stored = T.StructType([*schema, T.StructField("v", T.StringType()), T.StructField("is_live", T.BooleanType())])
-        rows = self.spark.read.schema(stored).parquet(f"{self.root}/{name}/rows")
-        # Partition columns only, so files of other versions are not opened.
-        wanted = (F.col("is_live") & F.col("v").isin(live)) | (~F.col("is_live") & F.col("v").isin(archive))
-        return rows.where(wanted).select(*schema.names)
+            return self.spark.read.schema(stored).parquet(self._path(name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in stored])
 
     def read(self, name: str) -> DataFrame:
-        current = self._current(name)
-        return self._read(name, current["live"], current["archive"])
+        return self._stored(name).drop("part")
 
     def read_live(self, name: str) -> DataFrame:
-        return self._read(name, self._current(name)["live"], [])
-
-    def _commit(self, name: str, rows: DataFrame, current: dict, live: list[str], archive: list[str]) -> int:
-        """Write ``rows`` to a new folder; it joins the kept ``live`` and ``archive`` folders."""
-        columns = T.StructType.fromDDL(TABLES[name])
-        present = set(rows.columns)
-        typed = rows.select(
-            *[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in columns]
-        )
-        is_live = F.col("deleted_at").isNull() if "deleted_at" in columns.names else F.lit(True)
-        own = uuid.uuid4().hex
-        typed.withColumn("is_live", is_live).write.partitionBy("is_live").parquet(f"{self.root}/{name}/rows/v={own}")
-        version = current["version"] + 1
-        self._publish(name, {"version": version, "live": [*live, own], "archive": [*archive, own]})
-        return version
-
-    def append(self, name: str, rows: DataFrame) -> int:
-        """Add rows; nothing stored is read or written again."""
-        current = self._current(name)
-        return self._commit(name, rows, current, current["live"], current["archive"])
+        """Live rows; files of ended ones are not opened."""
+        return self._stored(name).where(F.col("part") == LIVE).drop("part")
 
-    def replace_live(self, name: str, rows: DataFrame) -> int:
-        """Put ``rows``, a next state of the live rows, in their place; the archive stays."""
-        current = self._current(name)
-        return self._commit(name, rows, current, [], current["archive"])
+    def _typed(self, name: str, rows: DataFrame) -> DataFrame:
+        columns, present = T.StructType.fromDDL(TABLES[name]), set(rows.columns)
+        typed = rows.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in columns])
+        ended = F.date_format("deleted_at", "yyyy-MM-dd") if "deleted_at" in columns.names else F.lit(None)
+        return typed.withColumn("part", F.coalesce(ended, F.lit(LIVE)))
 
-    def replace(self, name: str, rows: DataFrame) -> int:
+    def append(self, name: str, rows: DataFrame) -> None:
+        """Add rows; nothing stored is read or written again."""
+        self._typed(name, rows).write.mode("append").partitionBy("part").parquet(self._path(name))
+
+    def replace_live(self, name: str, rows: DataFrame) -> None:
+        """Put ``rows``, a next state of the live rows, in their place; ended ones join those of their days."""
+        with self._state(name, rows) as (state, parts):
+            days = [p for p in parts if p != LIVE]
+            # Rows of another load of such a day, or of a try that broke off.
+            earlier = self._stored(name).where(F.col("part").isin(days))
+            self._overwrite(name, state.where(F.col("part") != LIVE).unionByName(earlier).distinct(), days)
+            self._overwrite_live(name, state, parts)
+
+    def replace(self, name: str, rows: DataFrame) -> None:
         """Put ``rows``, a next state of the whole table, in its place."""
-        return self._commit(name, rows, self._current(name), [], [])
-
-    def vacuum(self, name: str) -> int:
-        """Delete the folders that the newest version does not use; for times without readers and loads."""
-        current = self._current(name)
-        folder, files = self._path(name, "rows")
-        used = {f"v={v}" for v in current["live"] + current["archive"]}
-        unused = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName() not in used] if files.exists(folder) else []
-        for path in unused:
-            files.delete(path, True)
-        return len(unused)
+        before = self._parts(self._stored(name))
+        with self._state(name, rows) as (state, parts):
+            days = [p for p in parts if p != LIVE]
+            self._overwrite(name, state.where(F.col("part") != LIVE).distinct(), days)
+            self._overwrite_live(name, state, parts)
+            for part in set(before) - {LIVE, *parts}:
+                remove_path(self.spark, f"{self._path(name)}/part={part}")
+
+    @staticmethod
+    def _parts(rows: DataFrame) -> list[str]:
+        """The parts that rows lie in, one for each day at most."""
+        return sorted(r["part"] for r in rows.select("part").distinct().collect())
+
+    @contextmanager
+    def _state(self, name: str, rows: DataFrame) -> Iterator[tuple[DataFrame, list[str]]]:
+        path = scratch_path(self.spark, f"state-{name}")
+        typed = self._typed(name, rows)
+        typed.write.partitionBy("part").parquet(path)
+        state = self.spark.read.schema(typed.schema).parquet(path)
+        yield state, self._parts(state)
+        # Not after a failure: the copy may then be the only one of a part.
+        remove_path(self.spark, path)
+
+    def _overwrite(self, name: str, rows: DataFrame, parts: list[str]) -> None:
+        """Replace ``parts``, those that ``rows`` lie in."""
+        if parts:
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("part").parquet(self._path(name))
+
+    def _overwrite_live(self, name: str, state: DataFrame, parts: list[str]) -> None:
+        if LIVE in parts:
+            self._overwrite(name, state.where(F.col("part") == LIVE), [LIVE])
+        else:
+            # An overwrite without rows leaves the part as it is.
+            remove_path(self.spark, f"{self._path(name)}/part={LIVE}")

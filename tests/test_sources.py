@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,35 +165,75 @@ def test_requests(spark):
     assert sorted((r.list, r.page) for r in pages.collect()) == [("a", 1), ("a", 2), ("a", 3), ("c", 1), ("c", 2)]
 
 
-def test_store_versions(spark, tmp_path):
+@pytest.fixture
+def stored(spark, tmp_path):
     store, name = src.TableStore(spark, str(tmp_path / "store")), "rosrid_rosrid_university"
-    rows = lambda *r: spark.createDataFrame(list(r), schemas.TABLES[name])
-    ids = lambda df: sorted(r.id for r in df.collect())
-    ended = dt.datetime(2023, 1, 1)
-    assert store.read(name).isEmpty()
-    assert store.append(name, rows((1, 1, "a", None), (2, 1, "b", ended))) == 1
-    store.append(name, rows((3, 1, "c", None)))
-    before = store.read(name)
-    assert ids(before) == [1, 2, 3] and ids(store.read_live(name)) == [1, 3]
-    store.replace_live(name, rows((1, 1, "a", ended), (4, 1, "d", None)))
-    assert ids(store.read(name)) == [1, 2, 4] and ids(store.read_live(name)) == [4]
-    # A reader that started earlier keeps its version.
-    assert ids(before) == [1, 2, 3]
-    store.replace(name, store.read(name).where("id <> 2"))
-    assert ids(store.read(name)) == [1, 4]
-    # Rows of a load that failed before its manifest are not seen.
-    left = store.read(name).limit(0).union(rows((9, 9, "x", None)))
-    left.selectExpr("*", "true AS is_live").write.partitionBy("is_live").parquet(str(tmp_path / "store" / name / "rows" / "v=left"))
-    assert ids(store.read(name)) == [1, 4]
-    store.append(name, rows((5, 1, "e", None)))
-    assert ids(store.read(name)) == [1, 4, 5]
-    # Of two loads that start from one version the second to publish fails, and nothing is lost.
-    stale = store._current(name)
-    store.append(name, rows((6, 1, "f", None)))
-    with pytest.raises(RuntimeError, match="another load"):
-        store._commit(name, rows((7, 1, "g", None)), stale, stale["live"], stale["archive"])
-    assert ids(store.read(name)) == [1, 4, 5, 6]
-    assert store.vacuum(name) > 0 and ids(store.read(name)) == [1, 4, 5, 6]
+    rows = lambda *r: spark.createDataFrame([(i, 1, "a", e) for i, e in r], schemas.TABLES[name])
+    parts = lambda: sorted(p.name for p in (tmp_path / "store" / name).iterdir() if p.name.startswith("part="))
+    return store, name, rows, parts
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_store_parts(stored):
+    store, name, rows, parts = stored
+    one, other = dt.datetime(2023, 1, 1), dt.datetime(2023, 1, 2, 23)
+    assert store.read(name).isEmpty() and store.read_live(name).isEmpty()
+    store.append(name, rows((1, None), (2, one)))
+    store.append(name, rows((3, None)))
+    assert ids(store.read(name)) == [1, 2, 3] and ids(store.read_live(name)) == [1, 3]
+    # A next state that is made of the rows it replaces; a day that has rows keeps them.
+    ending = F.when(F.col("id") == 1, F.lit(one)).cast("timestamp_ntz")
+    store.replace_live(name, store.read_live(name).withColumn("deleted_at", ending).unionByName(rows((4, None))))
+    assert ids(store.read(name)) == [1, 2, 3, 4] and ids(store.read_live(name)) == [3, 4]
+    assert parts() == ["part=2023-01-01", "part=live"]
+    plan = store.read_live(name)._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*part#", plan)
+    # All parts change: one comes, one goes.
+    store.replace(name, store.read(name).where("id <> 2").withColumn("deleted_at", F.when(F.col("id") < 4, F.lit(other)).cast("timestamp_ntz")))
+    assert ids(store.read(name)) == [1, 3, 4] and ids(store.read_live(name)) == [4]
+    assert parts() == ["part=2023-01-02", "part=live"]
+    # No live rows are left.
+    store.replace_live(name, store.read_live(name).withColumn("deleted_at", F.lit(other).cast("timestamp_ntz")))
+    assert ids(store.read(name)) == [1, 3, 4] and store.read_live(name).isEmpty()
+    store.replace(name, rows())
+    assert store.read(name).isEmpty() and parts() == []
+
+
+def test_store_opens_the_parts_it_changes_only(stored, tmp_path):
+    store, name, rows, _ = stored
+    days = [dt.datetime(2023, 1, d) for d in (1, 2, 3)]
+    store.append(name, rows((1, days[0]), (2, days[1]), (3, None)))
+    files = lambda part: sorted((p.name, p.stat().st_mtime_ns) for p in (tmp_path / "store" / name / f"part={part}").glob("*.parquet"))
+    before = files("2023-01-01"), files("2023-01-02")
+    store.replace_live(name, rows((3, days[2]), (4, None)))
+    assert (files("2023-01-01"), files("2023-01-02")) == before and ids(store.read(name)) == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_a_load_that_broke_off_before_its_live_rows(stored, monkeypatch, whole):
+    store, name, rows, _ = stored
+    first, now = dt.datetime(2023, 1, 1), dt.datetime(2023, 2, 1)
+    store.append(name, rows((1, None), (2, None), (3, first)))
+
+    def load():
+        before = store.read(name) if whole else store.read_live(name)
+        again = F.when((F.col("id") != 2) if whole else (F.col("id") == 1), F.lit(now)).otherwise(F.col("deleted_at"))
+        state = before.where("id < 9").withColumn("deleted_at", again.cast("timestamp_ntz")).unionByName(rows((9, None)))
+        (store.replace if whole else store.replace_live)(name, state)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(store, "_overwrite_live", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            load()
+    assert ids(store.read_live(name)) == [1, 2]
+    for _ in range(2):
+        load()
+        ends = {(r.id, r.deleted_at) for r in store.read(name).collect()}
+        assert ends == {(1, now), (2, None), (3, now if whole else first), (9, None)}
+        assert store.read(name).count() == 4
 
 
 def test_gate(spark):
