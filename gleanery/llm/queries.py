@@ -61,10 +61,10 @@ SHARDS = 24
 @operators.add()
 def op8_min_cost_reshard(spark, sf_dir):
     """From a layout by source, with its one very large shard, to shards of equal bytes."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "_metadata.file_path", "_metadata.row_index")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "_metadata.file_name", "_metadata.row_index")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 8
     old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(SHARDS))
-    place = [F.col(c) for c in ("doc_id", "row_index", "file_path")]
+    place = [F.col(c) for c in ("doc_id", "row_index", "file_name")]
     sharded, _ = reshard.reshard(docs, old, SHARDS, SHARDS, size, place)
     digest = sharded.select("shard", "shard_key", "doc_id", size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
     return reshard.with_slot(digest).select(

@@ -18,50 +18,85 @@ BLOCKS = 256
 def transfers(sizes: list[int], capacities: list[int]) -> dict[tuple[int, int], int]:
     """Bytes to put from each old shard into each new one: a flow of minimum cost.
 
-    Shard i stays shard i; a byte that stays costs nothing and one that moves costs one. Flow is sent
-    along cheapest paths in the residual network until all bytes are placed. The network has a node
-    for each shard, whatever the data's size. Raises ValueError if the capacities are too small.
+    Shard i stays shard i; a byte that stays costs nothing and one that moves costs one. What moves goes by way
+    of a hub, so the network has a few arcs for each shard and none for each pair. Flow is sent along all
+    cheapest paths of the residual network at once, until all bytes are placed. What the shards give to
+    the hub is then dealt out to those that take from it. Raises ValueError if the capacities are too small.
     """
     if sum(capacities) < sum(sizes):
         raise ValueError("the new shards hold less than the old ones")
     old, new = len(sizes), len(capacities)
-    start, end = old + new, old + new + 1
-    room: dict[int, dict[int, int]] = {node: {} for node in range(end + 1)}
-    cost: dict[tuple[int, int], int] = {}
-
-    def arc(a: int, b: int, amount: int, price: int) -> None:
-        room[a][b], room[b][a] = amount, 0
-        cost[a, b], cost[b, a] = price, -price
+    hub, start, end = old + new, old + new + 1, old + new + 2
+    # The arcs in pairs, each followed by its reverse; an arc's flow is the room of its reverse.
+    to: list[int] = []
+    room: list[int] = []
+    price: list[int] = []
+    leaving: list[list[int]] = [[] for _ in range(end + 1)]
+
+    def arc(a: int, b: int, amount: int, cost: int) -> int:
+        for x, y, left, c in ((a, b, amount, cost), (b, a, 0, -cost)):
+            leaving[x].append(len(to))
+            to.append(y)
+            room.append(left)
+            price.append(c)
+        return len(to) - 1
 
     for i, amount in enumerate(sizes):
         arc(start, i, amount, 0)
-        for j in range(new):
-            arc(i, old + j, amount, int(i != j))
+    stays = [arc(i, old + i, sizes[i], 0) for i in range(min(old, new))]
+    gives = [arc(i, hub, sizes[i], 1) for i in range(old)]
+    takes = [arc(hub, old + j, capacities[j], 0) for j in range(new)]
     for j, amount in enumerate(capacities):
         arc(old + j, end, amount, 0)
 
     while True:
-        price, came, queue, queued = {start: 0}, {}, deque([start]), {start}
+        distance, queue = {start: 0}, deque([start])
         while queue:
             a = queue.popleft()
-            queued.discard(a)
-            for b, left in room[a].items():
-                if left and price[a] + cost[a, b] < price.get(b, end):
-                    price[b], came[b] = price[a] + cost[a, b], a
-                    if b not in queued:
-                        queue.append(b)
-                        queued.add(b)
-        if end not in came:
+            for e in leaving[a]:
+                if room[e] and distance[a] + price[e] < distance.get(to[e], end):
+                    distance[to[e]] = distance[a] + price[e]
+                    queue.append(to[e])
+        if end not in distance:
             break
-        path, node = [], end
-        while node != start:
-            path.append((came[node], node))
-            node = came[node]
-        amount = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= amount
-            room[b][a] += amount
-    return {(i, j): room[old + j][i] for i in range(old) for j in range(new) if room[old + j][i]}
+        # A walk in depth over arcs of cheapest paths; each node goes on where it stopped.
+        tried, path, node, walked = [0] * (end + 1), [], start, {start}
+        while True:
+            if node == end:
+                amount = min(room[e] for e in path)
+                for e in path:
+                    room[e] -= amount
+                    room[e ^ 1] += amount
+                path, node, walked = [], start, {start}
+            arcs = leaving[node]
+            while tried[node] < len(arcs):
+                e = arcs[tried[node]]
+                if room[e] and to[e] not in walked and distance.get(to[e]) == distance[node] + price[e]:
+                    break
+                tried[node] += 1
+            if tried[node] < len(arcs):
+                path.append(e)
+                node = to[e]
+                walked.add(node)
+            elif path:
+                walked.discard(node)
+                node = to[path.pop() ^ 1]
+                tried[node] += 1
+            else:
+                break
+    flow = {(i, i): room[e] for i, e in enumerate(stays) if room[e]}
+    given = [[i, room[e]] for i, e in enumerate(gives) if room[e]]
+    for j, e in enumerate(takes):
+        wanted = room[e]
+        while wanted:
+            i, left = given[-1]
+            amount = min(left, wanted)
+            flow[i, j] = flow.get((i, j), 0) + amount
+            wanted -= amount
+            given[-1][1] -= amount
+            if left == amount:
+                given.pop()
+    return flow
 
 
 @dataclass(frozen=True)
@@ -80,15 +115,21 @@ class Plan:
         changed = {k for i, j in self.flow if i != j for k in (i, j)} | set(range(old_shards, self.shards))
         return sorted(k for k in changed if k < self.shards)
 
-    def shard(self, old: Column, key: Column) -> Column:
-        """The new shard of a row, from its old shard and its key alone."""
-        chosen = F.lit(None).cast("int")
+    def place(self, rows: DataFrame, old: str, key: str) -> DataFrame:
+        """``rows`` with their new ``shard``, from the columns ``old`` (the old shard) and ``key`` alone."""
+        pieces = []
         for i, steps in self.cuts.items():
-            here = F.lit(steps[-1][1])
-            for bound, shard in reversed(steps[:-1]):
-                here = F.when(key < F.lit(bound), shard).otherwise(here)
-            chosen = F.when(old == i, here).otherwise(chosen)
-        return chosen.cast("int")
+            low = None
+            for bound, shard in steps[:-1]:
+                pieces.append((i, low, bound, shard))
+                low = bound if low is None else max(low, bound)
+            pieces.append((i, low, None, steps[-1][1]))
+        rows = rows.drop("shard")
+        of, low, high = (unused(rows, name) for name in ("_of", "_low", "_high"))
+        # A row for each shard and each transfer, of which there are no more than old and new shards together.
+        cuts = rows.sparkSession.createDataFrame(pieces, f"{of} int, {low} bigint, {high} bigint, shard int")
+        held = (F.col(old) == F.col(of)) & (F.col(low).isNull() | (F.col(key) >= F.col(low))) & (F.col(high).isNull() | (F.col(key) < F.col(high)))
+        return rows.join(F.broadcast(cuts), held, "left").drop(of, low, high)
 
 
 def even_capacities(total: int, shards: int) -> list[int]:
@@ -130,17 +171,16 @@ def plan(rows: DataFrame, old_shards: int, capacities: list[int] | None, new_sha
                     break
                 before += totals[i][b]
     if inside:
-        at = "CASE " + " ".join(f"WHEN old = {i} AND n = {n} THEN {left}" for i, n, _, left in inside) + " END"
-        which = F.array(*[F.struct(F.lit(i).alias("old"), F.lit(n).alias("n"), F.lit(b).alias("block")) for i, n, b, _ in inside])
-        mine = F.filter(which, lambda c: (c["old"] == F.col("old")) & (c["block"] == F.col("block")))
-        cut_blocks = rows.withColumn("block", block).withColumn("cut", F.explode(F.transform(mine, lambda c: c["n"])))
+        cut_rows = rows.sparkSession.createDataFrame(inside, "old int, cut int, block int, reach bigint")
+        # A row for each transfer.
+        cut_blocks = rows.withColumn("block", block).join(F.broadcast(cut_rows), ["old", "block"])
         # Equal keys cannot be parted; sums by key come first, so a key held by very many rows is one row.
-        keys = cut_blocks.groupBy("old", "cut", "key").agg(F.sum("size").alias("size"))
+        keys = cut_blocks.groupBy("old", "cut", "reach", "key").agg(F.sum("size").alias("size"))
         order = Window.partitionBy("old", "cut").orderBy("key")
         upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         # A row goes to the side on which more of it lies.
         middle = keys.withColumn("middle", upto - F.col("size") / 2)
-        beyond = F.col("middle") > F.expr(at.replace("n =", "cut ="))
+        beyond = F.col("middle") > F.col("reach")
         found = middle.groupBy("old", "cut").agg(F.min(F.when(beyond, F.col("key"))).alias("first"), F.max("key").alias("last"))
         for i, n, first, last in found.collect():
             bound = first if first is not None else last + 1
@@ -170,7 +210,7 @@ def reshard(
     keyed = docs.withColumns({old_name: old.cast("int"), key_name: F.xxhash64(*identity)})
     rows = keyed.select(F.col(old_name).alias("old"), F.col(key_name).alias("key"), size.cast("bigint").alias("size"))
     made = plan(rows, old_shards, capacities, new_shards)
-    placed = keyed.withColumn("shard", made.shard(F.col(old_name), F.col(key_name))).drop(old_name)
+    placed = made.place(keyed, old_name, key_name).drop(old_name)
     affected = made.affected(old_shards)
     if not affected:
         return placed, made

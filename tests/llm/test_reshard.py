@@ -42,6 +42,23 @@ def test_flow_moves_the_fewest_bytes():
         reshard.transfers([5], [4])
 
 
+def test_flow_of_very_many_shards():
+    """Few transfers, and the bytes that cannot stay are those that move."""
+    rng = random.Random(2)
+    sizes = [rng.randrange(10**9) for _ in range(4000)]
+    for new in (3000, 4000, 5000):
+        capacities = reshard.even_capacities(sum(sizes), new)
+        flow = reshard.transfers(sizes, capacities)
+        assert len(flow) <= 2 * (len(sizes) + new) and all(n > 0 for n in flow.values())
+        out, into = defaultdict(int), defaultdict(int)
+        for (i, j), n in flow.items():
+            out[i] += n
+            into[j] += n
+        assert [out[i] for i in range(len(sizes))] == sizes and [into[j] for j in range(new)] == capacities
+        stay = sum(min(a, b) for a, b in zip(sizes, capacities))
+        assert sum(n for (i, j), n in flow.items() if i != j) == sum(sizes) - stay
+
+
 def test_query(spark):
     docs = {r.doc_id: r for r in table(spark, SF, "documents").collect()}
     rows = QUERIES["op8_min_cost_reshard"](spark, SF).collect()
