@@ -22,7 +22,9 @@ MISSED = 0.0005
 #: Rows that a bucket has on average if vectors lie evenly.
 BUCKET_ROWS = 8
 #: Rows of a bucket that meet at once; a larger bucket is compared block by block, in many tasks.
-BLOCK = 256
+BLOCK = 2048
+#: Rows of a block that meet all others in one step.
+STRIP = 256
 #: Half width of the confidence bounds, in standard deviations of the estimate.
 BOUND = 4.0
 #: Runs of this many rows or fewer are compared as single pairs, together with their neighbours.
@@ -30,9 +32,9 @@ SHORT = 24
 PAIRS = 1 << 14
 
 
-def rotations(size: int, bits: int) -> np.ndarray:
+def rotations(size: int, bits: int, seed: int = SEED) -> np.ndarray:
     """Random orthonormal bases below each other, at least ``bits`` rows."""
-    rng = np.random.default_rng(SEED)
+    rng = np.random.default_rng(seed)
     made = [np.linalg.qr(rng.standard_normal((size, size)))[0] for _ in range(-(-bits // size))]
     return np.concatenate(made)
 
@@ -57,8 +59,8 @@ class Codes:
     its error is at most about sqrt((1 - factor^2) / (factor^2 (n - 1))) in standard deviations.
     """
 
-    def __init__(self, size: int, bits: int):
-        self.basis = rotations(size, bits)
+    def __init__(self, size: int, bits: int, seed: int = SEED):
+        self.basis = rotations(size, bits, seed)
         self.n = len(self.basis)
 
     def rotated(self, x: np.ndarray) -> np.ndarray:
@@ -66,6 +68,15 @@ class Codes:
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
         return unit @ self.basis.T / math.sqrt(self.n / len(self.basis[0]))
 
+    def packed(self, rotated: np.ndarray) -> pa.Array:
+        """Codes to be stored, eight signs a byte."""
+        return pa.array([row.tobytes() for row in np.packbits(rotated >= 0, axis=1)], pa.binary())
+
+    def corners(self, codes: pa.Array) -> np.ndarray:
+        """The corners that stored codes stand for."""
+        signs = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(len(codes), -1)
+        return (np.unpackbits(signs, axis=1, count=self.n) * 2.0 - 1) / math.sqrt(self.n)
+
     def factor(self, rotated: np.ndarray) -> np.ndarray:
         return np.abs(rotated).sum(axis=1) / math.sqrt(self.n)
 
@@ -109,58 +120,56 @@ class Comparison:
     def __init__(self, codes: Codes, threshold: float):
         self.codes, self.threshold = codes, threshold
 
-    def single(self, x: np.ndarray, i: np.ndarray, j: np.ndarray, rotated: np.ndarray, factor: np.ndarray) -> np.ndarray:
-        """Which of the pairs are links: bounds first, then exactly those that the bounds leave open."""
-        code = np.where(rotated[i] >= 0, 1.0, -1.0) / math.sqrt(self.codes.n)
-        estimate = np.einsum("ij,ij->i", code, rotated[j]) / factor[i]
-        links = estimate + self.codes.width(factor[i]) >= self.threshold
-        links[links] = _cosine(x[i[links]], x[j[links]]) >= self.threshold
-        return links
-
-    def of_runs(self, x: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Links ``i < j`` between the rows of each run of consecutive rows."""
-        rotated = self.codes.rotated(x)
-        factor = self.codes.factor(rotated)
-        found = [(np.zeros(0, int), np.zeros(0, int))]
+    def exact(self, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The links among the pairs that their bounds leave open."""
+        for at in range(0, len(i), PAIRS):
+            a, b = i[at : at + PAIRS], j[at : at + PAIRS]
+            links = _cosine(x[a], x[b]) >= self.threshold
+            yield a[links], b[links]
+
+    def of_runs(self, x: np.ndarray, corners: np.ndarray, factor: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Links ``i < j`` between the rows of each run of consecutive rows, some at a time.
+
+        ``corners`` and ``factor`` are what the rows' codes tell: bounds come from those of ``i``, and vectors
+        are multiplied only if the upper bound reaches the threshold.
+        """
+        rotated, width = self.codes.rotated(x), self.codes.width(factor)
         short, starts = lengths <= SHORT, np.cumsum(lengths) - lengths
         rows = np.flatnonzero(np.repeat(short, lengths))
         i, j = _pairs(lengths[short])
         for at in range(0, len(i), PAIRS):
             a, b = rows[i[at : at + PAIRS]], rows[j[at : at + PAIRS]]
-            links = self.single(x, a, b, rotated, factor)
-            found.append((a[links], b[links]))
+            left = np.einsum("ij,ij->i", corners[a], rotated[b]) / factor[a] + width[a] >= self.threshold
+            yield from self.exact(x, a[left], b[left])
         for start, length in zip(starts[~short], lengths[~short]):
-            run = slice(start, start + length)
-            code = np.where(rotated[run] >= 0, 1.0, -1.0) / math.sqrt(self.codes.n)
-            estimate = code @ rotated[run].T / factor[run, None]
-            a, b = np.nonzero(np.triu(estimate + self.codes.width(factor[run])[:, None] >= self.threshold, 1))
-            for at in range(0, len(a), PAIRS):
-                c, d = a[at : at + PAIRS] + start, b[at : at + PAIRS] + start
-                links = _cosine(x[c], x[d]) >= self.threshold
-                found.append((c[links], d[links]))
-        return tuple(np.concatenate(side) for side in zip(*found))
+            for top in range(start, start + length, STRIP):
+                strip, rest = slice(top, min(top + STRIP, start + length)), slice(top, start + length)
+                estimate = corners[strip] @ rotated[rest].T / factor[strip, None]
+                a, b = np.nonzero(np.triu(estimate + width[strip, None] >= self.threshold, 1))
+                yield from self.exact(x, a + top, b + top)
 
 
 def _links(classes: DataFrame, size: int, threshold: float) -> DataFrame:
     """Per class ``rep``: ``links`` (vectors in linked classes) and ``root``, in parts of which many may be of one class."""
     bits, tables = layout(classes.count(), threshold)
-    codes = Codes(size, bits * tables)
-    comparison = Comparison(codes, threshold)
+    codes, stored = Codes(size, bits * tables), Codes(size, size, SEED + 1)
+    comparison = Comparison(stored, threshold)
     kind = classes.schema["rep"].dataType.simpleString()
     vector = classes.schema["vector"].dataType.simpleString()
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(bits)
         for batch in batches:
-            signs = codes.rotated(matrix(batch.column("vector"), size).astype(np.float64)) >= 0
-            signs = signs[:, : bits * tables].reshape(len(signs), tables, bits)
+            x = matrix(batch.column("vector"), size).astype(np.float64)
+            signs = codes.rotated(x)[:, : bits * tables].reshape(len(x), tables, bits) >= 0
             keys = (signs * weights).sum(axis=2).astype(np.int32)
             column = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, tables, dtype=np.int32)), pa.array(keys.reshape(-1)))
-            columns = [*(batch.column(c) for c in ("label", "rep", "n", "vector")), column]
-            yield pa.RecordBatch.from_arrays(columns, ["label", "rep", "n", "vector", "keys"])
+            rotated = stored.rotated(x)
+            columns = [*(batch.column(c) for c in ("label", "rep", "n", "vector")), column, stored.packed(rotated), pa.array(stored.factor(rotated))]
+            yield pa.RecordBatch.from_arrays(columns, ["label", "rep", "n", "vector", "keys", "code", "factor"])
 
     label = classes.schema["label"].dataType.simpleString()
-    coded = classes.mapInArrow(keyed, f"label {label}, rep {kind}, n bigint, vector {vector}, keys array<int>")
+    coded = classes.mapInArrow(keyed, f"label {label}, rep {kind}, n bigint, vector {vector}, keys array<int>, code binary, factor double")
     coded = written(coded, "codes")
     placed = coded.select("label", "rep", F.posexplode("keys").alias("t", "key"))
     sizes = placed.groupBy("label", "t", "key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
@@ -185,23 +194,24 @@ def _links(classes: DataFrame, size: int, threshold: float) -> DataFrame:
         starts = starts_of(rows)
         lengths = np.diff(np.concatenate([starts, [rows.num_rows]]))
         x = matrix(rows.column("vector"), size).astype(np.float64)
-        i, j = comparison.of_runs(x, lengths)
-        t, lo, hi, b, n = (rows.column(c).to_numpy() for c in ("t", "lo", "hi", "b", "n"))
+        t, lo, hi, b, n, factor = (rows.column(c).to_numpy() for c in ("t", "lo", "hi", "b", "n", "factor"))
         label, keys = rows.column("label").dictionary_encode().indices.to_numpy(), matrix(rows.column("keys"), tables)
-        # Rows of one block meet in the group of that block alone; other labels only share a hash.
-        valid = (label[i] == label[j]) & ((lo[i] == hi[i]) | (b[i] != b[j]))
-        i, j = i[valid], j[valid]
-        again = np.zeros(len(i), bool)
-        for at in range(0, len(i), PAIRS):
-            few = slice(at, at + PAIRS)
-            earlier = np.arange(tables)[None, :] < t[i[few]][:, None]
-            again[few] = ((keys[i[few]] == keys[j[few]]) & earlier).any(axis=1)
-        links = np.zeros(len(n), np.int64)
-        np.add.at(links, i[~again], n[j[~again]])
-        np.add.at(links, j[~again], n[i[~again]])
-        root, linked = _roots(len(n), i, j), np.unique(np.concatenate([i, j]))
-        rep = rows.column("rep")
-        return pa.RecordBatch.from_arrays([rep.take(pa.array(linked)), pa.array(links[linked]), rep.take(pa.array(root[linked]))], ["rep", "links", "root"])
+        links, root, linked = np.zeros(len(n), np.int64), np.arange(len(n)), np.zeros(len(n), bool)
+        for i, j in comparison.of_runs(x, stored.corners(rows.column("code")), factor, lengths):
+            # Rows of one block meet in the group of that block alone; other labels only share a hash.
+            valid = (label[i] == label[j]) & ((lo[i] == hi[i]) | (b[i] != b[j]))
+            i, j = i[valid], j[valid]
+            if not len(i):
+                continue
+            earlier = np.arange(tables)[None, :] < t[i][:, None]
+            first = ~((keys[i] == keys[j]) & earlier).any(axis=1)
+            np.add.at(links, i[first], n[j[first]])
+            np.add.at(links, j[first], n[i[first]])
+            linked[i] = linked[j] = True
+            # The links so far are those of every row with its root.
+            root = _roots(len(n), np.concatenate([np.arange(len(n)), i]), np.concatenate([root, j]))
+        rep, at = rows.column("rep"), np.flatnonzero(linked)
+        return pa.RecordBatch.from_arrays([rep.take(pa.array(at)), pa.array(links[at]), rep.take(pa.array(root[at]))], ["rep", "links", "root"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -230,9 +240,10 @@ def near_duplicates(
     links reach, and ``kept`` says that it is the row's own.
 
     Equal vectors are one class, so copies are never paired. Classes meet in buckets of code bits, in several
-    tables; a pair at the threshold is missed with probability ``MISSED``, closer ones far more rarely. A pair in
-    a bucket is estimated from one side's code; unless the upper confidence bound is below the threshold, it
-    is computed exactly, so no link is wrong.
+    tables; a pair at the threshold is missed with probability ``MISSED``, closer ones far more rarely. Each class
+    has a stored code, a sign for each component after a rotation of its own, and the code's correction factor. A pair in a
+    bucket is estimated from one side's code and factor; unless the upper confidence bound is below the
+    threshold, it is computed exactly, so no link is wrong.
 
     Vectors of each size are compared among themselves. Rows without id or label or with an unusable vector link
     with nothing: no links, their own id as component, and kept. Repeated rows link with each other as equal vectors do.

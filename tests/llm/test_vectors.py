@@ -187,3 +187,27 @@ def test_bounds_hold_and_estimates_are_unbiased():
     true = np.einsum("ij,ij->i", a, b) / np.linalg.norm(a, axis=1) / np.linalg.norm(b, axis=1)
     assert abs((estimate - true).mean()) < 0.01
     assert (np.abs(estimate - true) <= codes.width(factor)).mean() > 0.999
+
+
+@pytest.mark.parametrize("size", [3, 64, 70])
+def test_stored_codes_give_back_their_corners(size):
+    codes = rotated_codes.Codes(size, size, 7)
+    rotated = codes.rotated(np.random.default_rng(5).standard_normal((50, size)))
+    corners = codes.corners(codes.packed(rotated))
+    assert np.allclose(corners, np.where(rotated >= 0, 1, -1) / math.sqrt(size))
+    assert np.allclose((corners * rotated).sum(axis=1), codes.factor(rotated))
+
+
+def test_a_run_of_many_strips(monkeypatch):
+    """Links of long and of short runs, whole although they come in small steps."""
+    monkeypatch.setattr(rotated_codes, "STRIP", 32)
+    monkeypatch.setattr(rotated_codes, "PAIRS", 50)
+    x, _ = clustered(400)
+    codes = rotated_codes.Codes(x.shape[1], x.shape[1], 7)
+    rotated = codes.rotated(x)
+    lengths = np.array([1, 5, 300, 20, 74])
+    found = rotated_codes.Comparison(codes, 0.98).of_runs(x, codes.corners(codes.packed(rotated)), codes.factor(rotated), lengths)
+    got = [(int(a), int(b)) for i, j in found for a, b in zip(i, j)]
+    unit, run = x / np.linalg.norm(x, axis=1, keepdims=True), np.repeat(np.arange(5), lengths)
+    near = np.triu((unit @ unit.T >= 0.98) & (run[:, None] == run[None, :]), 1)
+    assert sorted(got) == [tuple(map(int, p)) for p in np.argwhere(near)] and got
