@@ -130,6 +130,11 @@ def enough(query: np.ndarray, needed: np.ndarray) -> int:
     return int(examined)
 
 
+def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products row by row, added up in the order of the components, so that a pair has one score everywhere."""
+    return np.add.accumulate(a * b, axis=1)[:, -1]
+
+
 def best(query: np.ndarray, other: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     """Positions of each query's ``k`` best, largest score first, then smallest id, each id once."""
     order = np.lexsort((other, -score, query))
@@ -162,7 +167,7 @@ class _Best:
         # The product of matrices rounds differently from leaf to leaf; the score that counts is computed by pairs.
         floor = floor - ROUNDING * (1 + np.abs(scores).max(axis=1))
         i, j = np.nonzero((scores >= floor[:, None]) & (query[:, None] != other[None, :]))
-        self.parts.append((query[i], other[j], np.einsum("ij,ij->i", queries[i], rows[j])))
+        self.parts.append((query[i], other[j], inner(queries[i], rows[j])))
         self.rows += len(i)
 
     def compact(self) -> tuple[np.ndarray, ...]:

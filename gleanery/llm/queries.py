@@ -105,7 +105,22 @@ def op7_cotraining_quality(spark, sf_dir):
     return quality.with_quality(docs, model, "quality").select("doc_id", "quality.*")
 
 
-@operators.add()
+#: All pairs. On tables of up to 2,000 rows a query looks at every row; on larger ones a few neighbours may differ.
+SQL_NEIGHBOURS = """
+    WITH vectors AS (
+        SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, o.vec_id, max(list_inner_product(q.v, o.v)) AS score
+        FROM vectors q JOIN vectors o ON len(q.v) = len(o.v) AND q.vec_id <> o.vec_id
+        WHERE q.vec_id % 20 = 0 GROUP BY q.vec_id, o.vec_id)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 20
+"""
+
+
+@operators.add(SQL_NEIGHBOURS)
 def op5_forest_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
