@@ -29,8 +29,10 @@ RECALL, MEASURED = 0.9, 256
 #: Standard errors by which the measured queries must be above ``RECALL``.
 SURE = 3.0
 #: Candidates of a task that are gathered before all but each query's best are dropped.
-GATHERED = 1_000_000
+GATHERED = 300_000
 ROUNDING = 1e-9
+#: Queries whose distances to all planes are held at once.
+AT_ONCE = 16
 SEED = 7
 
 
@@ -82,8 +84,8 @@ def search(trees: list[Tree], queries: np.ndarray, sizes: list[np.ndarray], exam
     inner = trees[0].inner
     planes = np.concatenate([t.normals for t in trees])
     offsets = np.concatenate([t.offsets for t in trees])
-    for start in range(0, len(queries), 64):
-        for distances in (queries[start : start + 64] @ planes.T - offsets).tolist():
+    for start in range(0, len(queries), AT_ONCE):
+        for distances in (queries[start : start + AT_ONCE] @ planes.T - offsets).tolist():
             queue = [(0.0, tree, 0) for tree in range(len(trees))]
             found, seen = [], 0
             while queue and seen < examined:
@@ -298,16 +300,17 @@ def _scored(given: DataFrame, queries: DataFrame, size: int, k: int, trees: int,
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = lengthened(matrix(batch.column("vector"), size), False)
-            for at in range(0, len(x), 128):
-                found = list(search(shared.value, x[at : at + 128], list(sizes.value), examined))
+            for at in range(0, len(x), 32):
+                found = list(search(shared.value, x[at : at + 32], list(sizes.value), examined))
                 row = np.repeat(np.arange(at, at + len(found)), [len(f) for f in found])
                 leaf = np.array([tree * sizes.value.shape[1] + leaf for f in found for tree, leaf in f], np.int64)
                 part = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), part.column("vec_id"), part.column("vector")], ["leaf", "vec_id", "vector"])
 
-    looked = asked.mapInArrow(look, schema)
-    both = leaves.withColumn("asks", F.lit(1)).unionByName(looked.withColumn("asks", F.lit(0)))
+    # Few rows, each of which looks at many leaves.
     tasks = max(2, int(session.conf.get("spark.sql.shuffle.partitions")))
+    looked = asked.repartition(tasks, "vec_id").mapInArrow(look, schema)
+    both = leaves.withColumn("asks", F.lit(1)).unionByName(looked.withColumn("asks", F.lit(0)))
     both = both.repartition(tasks, "leaf").sortWithinPartitions("leaf", "asks", "vec_id")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
