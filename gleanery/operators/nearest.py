@@ -9,13 +9,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import best_entry, fuzz_ratio, letter_counts, score_bounds
+from ..functions.similarity import Entries, fuzz_ratio, letter_counts, score_bounds
 from ..session import scratch_path
 
 #: Entries of similar letters that lie in one block; also the bound on the arrays a task holds.
 BLOCK = 256
 #: Names that meet some blocks' outlines together, and blocks whose outlines are met together, about.
 NAMES, OUTLINES = 256, 512
+#: So many times ``NAMES`` go together where there are more groups than tasks, so that a block is read for fewer groups.
+MORE = 16
+#: Results that a task hands on together, about.
+FOUND = 1 << 13
 #: Stretches of these many characters that at most so many entries have lead to a first entry for a name.
 STRETCHES, RARE = (3, 6), 64
 
@@ -65,61 +69,76 @@ def _grouped(df: DataFrame, group: str, key: str, groups: int, columns: list[str
     return listed.select(group, *[F.col(f"_rows.{c}").alias(f"{c}s") for c in columns])
 
 
-def _outline_bounds(name: str, outlines: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
-    return score_bounds(letter_counts([name])[0], len(name), outlines, least, most)
+def _outline_bounds(row) -> Iterator[tuple[int, np.ndarray]]:
+    """The bounds of some hundred names of a row at a time in each of its outlines, and the place of the first name."""
+    outlines, least, most = np.stack(row.outlines), np.asarray(row.leasts), np.asarray(row.mosts)
+    for start in range(0, len(row.names), 256):
+        names = row.names[start : start + 256]
+        lengths = np.fromiter(map(len, names), np.int64, len(names))
+        yield start, score_bounds(letter_counts(names), lengths, outlines, least, most)
 
 
 def _first_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of the outlines in a row, the one where each name may score most."""
     for batch in batches:
         for row in batch.itertuples(index=False):
-            outlines, least, most = np.stack(row.outlines), np.asarray(row.leasts), np.asarray(row.mosts)
-            found = []
-            for name in row.names:
-                bounds = _outline_bounds(name, outlines, least, most)
-                at = int(bounds.argmax())
-                found.append((name, int(bounds[at]), int(row.blocks[at])))
-            yield pd.DataFrame(found, columns=["name", "bound", "block"])
+            blocks = np.asarray(row.blocks)
+            for start, bounds in _outline_bounds(row):
+                at = bounds.argmax(axis=1)
+                yield pd.DataFrame({"name": row.names[start : start + 256], "bound": bounds.max(axis=1), "block": blocks[at]})
 
 
 def _open_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of the outlines in a row, those where a name may do better than it did in its first block."""
+    """For each of the outlines in a row the names that may do better there than they did in their first block."""
     for batch in batches:
         for row in batch.itertuples(index=False):
-            outlines, least, most, blocks = np.stack(row.outlines), np.asarray(row.leasts), np.asarray(row.mosts), np.asarray(row.blocks)
-            found = []
-            for name, score, neg_id, first in zip(row.names, row.scores, row.neg_ids, row.firsts):
-                # A tie may still be won by a lower id.
-                at = np.flatnonzero((_outline_bounds(name, outlines, least, most) >= score) & (blocks != first))
-                found += [(name, score, neg_id, int(blocks[i])) for i in at.tolist()]
-            yield pd.DataFrame(found, columns=["name", "score", "neg_id", "block"])
-
+            blocks, names = np.asarray(row.blocks), np.asarray(row.names, object)
+            scores, neg_ids, firsts = np.asarray(row.scores), np.asarray(row.neg_ids), np.asarray(row.firsts)
+            # A tie may still be won by a lower id.
+            found = [
+                (bounds >= scores[s : s + 256, None]) & (blocks[None, :] != firsts[s : s + 256, None]) for s, bounds in _outline_bounds(row)
+            ]
+            met = np.concatenate(found)
+            at = [np.flatnonzero(column) for column in met.T]
+            opened = [(int(b), names[a], scores[a], neg_ids[a]) for b, a in zip(blocks, at) if len(a)]
+            yield pd.DataFrame(opened, columns=["block", "names", "scores", "neg_ids"])
+
+
+def _compared(listed: DataFrame, blocks: DataFrame, held: int, known: bool) -> DataFrame:
+    """The best entry of a block for the ``names`` of a row that meet it, if it wins over what is ``known`` of the name.
+
+    ``held`` is the number of blocks. Names for whom no entry was compared are left out if something is known of them.
+    """
 
-def _compared(met: DataFrame, blocks: DataFrame, parts: int, known: bool) -> DataFrame:
-    """The best entry of a block for each name that meets it, if it wins over what is ``known`` of the name."""
+    columns = {"name": "str", "block": "Int64", "score": "Int32", "neg_id": "Int64", "match_id": "Int64", "match_title": "str", "compared": "Int64"}
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = []
+
+        def taken() -> pd.DataFrame:
+            rows = pd.DataFrame(found, columns=[*columns]).astype({c: t for c, t in columns.items() if t != "str"})
+            found.clear()
+            return rows
+
         for batch in batches:
-            found = []
             for row in batch.itertuples(index=False):
-                counts = letter_counts(row.titles)
-                for i, name in enumerate(row.names):
-                    bar = (int(row.scores[i]), int(row.neg_ids[i])) if known else None
-                    winner, compared = best_entry(name, row.ids, row.titles, counts, bar)
-                    found.append((name, int(row.block), *(winner or (None, None, None, None)), compared))
-            yield pd.DataFrame(found, columns=["name", "block", "score", "neg_id", "match_id", "match_title", "compared"]).astype(
-                {"score": "Int32", "neg_id": "Int64", "match_id": "Int64"}
-            )
-
-    columns = ["name", "score", "neg_id"] if known else ["name"]
-    # Names of one block in groups, so that a block's entries are counted once for some hundred names.
-    salted = met.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)))
-    listed = salted.groupBy("block", "part").agg(F.collect_list(F.struct(*columns)).alias("_rows"))
-    listed = listed.select("block", *[F.col(f"_rows.{c}").alias(f"{c}s") for c in columns])
-    tasks = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Few bytes but much work per row: a fixed number of tasks, which Spark does not merge by size.
-    paired = listed.join(blocks.select("block", "ids", "titles"), "block").repartition(tasks, F.xxhash64("block", F.col("names")[0]))
-    return paired.mapInPandas(best, f"name string, block bigint, {_BEST}")
+                winners = Entries(row.ids, row.titles).best(row.names, (row.scores, row.neg_ids) if known else None)
+                found += [
+                    (name, int(row.block), *(winner or (None, None, None, None)), compared)
+                    for name, (winner, compared) in zip(row.names, winners)
+                    if compared or not known
+                ]
+                if len(found) >= FOUND:
+                    yield taken()
+        yield taken()
+
+    # Few bytes but much work per row: a fixed number of tasks, which Spark does not merge by size. Where blocks are few, each goes
+    # to several tasks.
+    tasks = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(1, -(-2 * tasks // max(held, 1)))
+    met = listed.withColumn("salt", F.pmod(F.xxhash64(F.col("names")[0]), F.lit(salts)).cast("int")).repartition(tasks, "block", "salt")
+    copies = blocks.select("block", "ids", "titles", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    return met.join(copies.repartition(tasks, "block", "salt"), ["block", "salt"]).mapInPandas(best, f"name string, block bigint, {_BEST}")
 
 
 def _stretches(df: DataFrame, text: str, key: str) -> DataFrame:
@@ -156,17 +175,28 @@ def _best_of(score: Column) -> Column:
 def _searched(names: DataFrame, entries: DataFrame, block: int) -> DataFrame:
     """``name, best`` and how many entries the name was ``compared`` with, for distinct names."""
     blocks = _blocks(entries, block)
-    some, parts = blocks.select("block").limit(2).collect(), max(1, -(-names.count() // NAMES))
-    if len(some) < 2:
-        met = names.select("name", F.lit(some[0]["block"] if some else 0).alias("block"))
-        return _compared(met, blocks, parts, known=False).select("name", _best_of(F.col("score")).alias("best"), "compared")
-    groups = -(-blocks.count() // OUTLINES)
+    held, size = blocks.count(), names.count()
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Groups of many names where these still make some for each task.
+    parts = max(1, -(-size // (NAMES * MORE)), min(tasks, -(-size // NAMES)))
+
+    def listed(met: DataFrame) -> DataFrame:
+        """Names of one block in groups, so that a block's entries are counted once for some hundred names."""
+        salted = met.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)))
+        return salted.groupBy("block", "part").agg(F.collect_list("name").alias("names")).select("block", "names")
+
+    if held < 2:
+        only = blocks.select("block").first()
+        met = names.select("name", F.lit(only["block"] if only else 0).alias("block"))
+        return _compared(listed(met), blocks, held, known=False).select("name", _best_of(F.col("score")).alias("best"), "compared")
+    groups = -(-held // OUTLINES)
     outlined = _grouped(blocks, "outline_group", "block", groups, ["block", "outline", "least", "most"])
 
     def meetings(rows: DataFrame, columns: list[str]) -> DataFrame:
-        listed = _grouped(rows, "name_group", "name", parts, columns)
-        met = listed.withColumn("outline_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
-        return met.join(outlined, "outline_group")
+        grouped = _grouped(rows, "name_group", "name", parts, columns)
+        met = grouped.withColumn("outline_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
+        # Much work per row here too.
+        return met.join(outlined, "outline_group").repartition(tasks, "name_group", "outline_group")
 
     path = scratch_path(names.sparkSession, "seeds")
     _seeds(names, entries).write.parquet(path)
@@ -176,11 +206,11 @@ def _searched(names: DataFrame, entries: DataFrame, block: int) -> DataFrame:
     if groups > 1:
         first = first.groupBy("name").agg(F.max_by("block", F.struct("bound", "block")).alias("block"))
     path = scratch_path(names.sparkSession, "first")
-    _compared(first.select("name", "block"), blocks, parts, known=False).unionByName(seeds).write.parquet(path)
+    _compared(listed(first.select("name", "block")), blocks, held, known=False).unionByName(seeds).write.parquet(path)
     started = names.sparkSession.read.schema(f"name string, block bigint, {_BEST}").parquet(path)
     rest = meetings(started.withColumnRenamed("block", "first"), ["name", "score", "neg_id", "first"])
-    rest = rest.mapInPandas(_open_blocks, "name string, score int, neg_id bigint, block bigint")
-    later = _compared(rest, blocks, parts, known=True)
+    rest = rest.mapInPandas(_open_blocks, "block bigint, names array<string>, scores array<int>, neg_ids array<bigint>")
+    later = _compared(rest, blocks, held, known=True)
     both = started.unionByName(later).groupBy("name")
     return both.agg(F.max(_best_of(F.col("score"))).alias("best"), F.sum("compared").alias("compared"))
 

@@ -2,10 +2,12 @@ import datetime as dt
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from gleanery import operators as op
+from gleanery.functions import similarity
 from gleanery.operators import nearest
 from gleanery.operators.export import CSV_OPTIONS
 
@@ -191,6 +193,33 @@ def test_nearest_name_compares_few_pairs(spark):
     assert nearest._searched(spark.createDataFrame([("a",)], "name string"), entries.limit(0), 64).count() == 0
 
 
+@pytest.mark.parametrize("known", [False, True])
+def test_names_against_the_entries_of_a_block_at_once(known):
+    """Names up to and beyond a machine word, equal titles, empty texts, characters that entries lack."""
+    draw = random.Random(7)
+    word = lambda most: "".join(draw.choices("ab!жЖ\U0001f600", k=draw.randint(0, most)))
+    for size in (0, 1, 40):
+        titles = [word(9) for _ in range(size)]
+        ids = draw.sample(range(-50, 200), size)
+        names = [word(9) for _ in range(50)] + ["", "xyz", word(64) * 7, "ab" * 32, "a" * 64, "a" * 65, "b" * 63]
+        bars = [(draw.randint(0, 100), draw.randint(-200, 50)) for _ in names]
+        found = similarity.Entries(ids, titles).best(names, tuple(zip(*bars)) if known else None)
+        for name, bar, (winner, compared) in zip(names, bars, found, strict=True):
+            want = max(((brute_ratio(name, t), -i, i, t) for i, t in zip(ids, titles)), default=None)
+            assert winner == (None if want and known and want[:2] <= bar else want)
+            assert compared <= size
+
+
+def test_names_meet_an_open_block_together():
+    """One row for a block and a group of names: a row for each name would be grouped once more, and each group given a copy of the block."""
+    names, block = [f"name {i}" for i in range(600)], lambda title: similarity.letter_counts([title])[0].astype("int32")
+    row = {"names": names, "scores": [50] * 600, "neg_ids": [-1] * 600, "firsts": [1] * 599 + [0], "blocks": [0, 1, 2]}
+    row |= {"outlines": [block("name 0123456789"), block("name 1"), block("xyz")], "leasts": [6, 6, 3], "mosts": [8, 6, 3]}
+    found = pd.concat(nearest._open_blocks(iter([pd.DataFrame([row])])))
+    assert [(r.block, len(r.names)) for r in found.itertuples()] == [(0, 599), (1, 1)]
+    assert [*found["names"].iloc[1]] == names[-1:]
+
+
 def _by_loop(table, loads, only_live):
     """The loads one after the other, in plain Python."""
     state = [dict(r) for r in table]
