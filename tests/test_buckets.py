@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 import re
 
@@ -85,3 +86,28 @@ def test_first_of_keys_over_restarts(spark, tmp_path):
     # Too late to count, and met again after its time.
     assert run(("x", 7, day(3)), ("a", 8, day(10, 1))) == [("", 4), ("a", 1), ("a", 8), ("b", 3), ("c", 5), ("d", 6)]
     assert run(("a", 9, day(10, 2))) == [("", 4), ("a", 1), ("a", 8), ("b", 3), ("c", 5), ("d", 6)]
+
+
+def test_first_of_keys_with_many_keys_in_a_group(spark, tmp_path, monkeypatch):
+    """Keys share a state: each has its own time, and a group of Arrow batches is one group."""
+    monkeypatch.setattr("gleanery.streaming.dedupe.GROUPS", 2)
+    schema, day = "key string, n int, ts timestamp", lambda d: dt.datetime(2024, 1, d)
+    landed, out, state = (str(tmp_path / f) for f in ("in", "out", "state"))
+    seen = []
+
+    def run(*rows):
+        spark.createDataFrame(list(rows), schema).repartition(3).write.mode("append").parquet(landed)
+        found = first_of_keys(spark.readStream.schema(schema).parquet(landed), "key", "ts", ["n"], "1 day", 2 * 86_400_000)
+        query = found.writeStream.trigger(availableNow=True).option("checkpointLocation", state).format("parquet").start(out)
+        query.awaitTermination()
+        seen.append(max(p["stateOperators"][0]["numRowsTotal"] for p in map(lambda p: json.loads(p.json), query.recentProgress) if p["stateOperators"]))
+        return sorted((r.key or "", r.n) for r in spark.read.schema(schema).parquet(out).collect())
+
+    want = [("", 0), *((f"k{i:03d}", i) for i in range(300))]
+    assert run(*[(f"k{i:03d}", i + m, day(1)) for m in (5, 0, 9) for i in range(300)], (None, 3, day(1)), (None, 0, day(1))) == want
+    # As many states as groups, not as keys.
+    assert seen[-1] <= 2
+    # One key goes on, the others' time runs out.
+    assert run(("k007", 0, day(3))) == want
+    assert run(("z", 1, day(5))) == [*want, ("z", 1)]
+    assert run(("k007", 0, day(5)), ("k008", 1, day(5)), (None, 7, day(5))) == sorted([*want, ("z", 1), ("k008", 1), ("", 7)])
