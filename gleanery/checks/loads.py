@@ -124,8 +124,9 @@ def _backfill(spark, sf_dir, only_live):
     monthly = rows.withColumn("month", F.explode(due))
     created = F.expr("timestamp_ntz'2021-01-15' + make_ym_interval(0, month)")
     actives.load_actives_history(store, monthly.withColumn("created_at", created).drop("month"), _codes(spark, sf_dir), only_live)
-    bridge = store.read(actives.BRIDGE).withColumnRenamed("active_id", "id")
-    return store.read(actives.TABLE).join(bridge, "id", "left").select("object_id", "created_at", "deleted_at", "updated_at", "oecd_id")
+    # Ids are hex digits: as bytes they are half as long to move.
+    bridge = store.read(actives.BRIDGE).select(F.unhex("active_id").alias("id"), "oecd_id")
+    return store.read(actives.TABLE).withColumn("id", F.unhex("id")).join(bridge, "id", "left").select("object_id", "created_at", "deleted_at", "updated_at", "oecd_id")
 
 
 @checks.add(_backfill_sql("last"))

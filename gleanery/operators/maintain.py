@@ -5,7 +5,7 @@ Every table keeps its history: a deleted row stays, with ``deleted_at`` set.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedupe import latest_per_key
@@ -65,20 +65,19 @@ def keyed_replace_all(table: DataFrame, loads: DataFrame, key: str, at: str = "c
 
     All in one plan: the end of a row is the last later load that holds its key, since each of them stamps it
     again; with ``only_live`` it is the next one. Rows of ``loads`` are created by the load of their ``at``, stored
-    rows before all of them. Keys and loads are made distinct before they are ordered, so a key with most of
-    the rows is as many rows as there are loads. A NULL key is no key: such rows are never ended.
+    rows before all of them. A key has one row with its loads, each once, put together before they are moved, so a key with
+    most of the rows is as many times as there are loads. A NULL key is no key: such rows are never ended.
     """
-    held = loads.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("_key"), F.col(at).alias("_at")).distinct()
-    in_order = Window.partitionBy("_key").orderBy("_at")
-    end = F.lead("_at").over(in_order) if only_live else F.max("_at").over(Window.partitionBy("_key"))
-    ends = held.withColumns({"_end": end, "_first": F.row_number().over(in_order)})
+    held = loads.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("_key"), F.col(at).alias("_at"))
+    ends = spread(held.groupBy("_key").agg(F.array_sort(F.collect_set("_at")).alias("_ats")), "_key")
 
-    later = spread(ends.select("_key", "_at", "_end").where(F.col("_end") > F.col("_at")), "_key", "_at")
-    fresh = loads.join(later, (F.col(key) == F.col("_key")) & (F.col(at) == F.col("_at")), "left")
+    # The place is counted from one, so it is that of the next load, counted from zero.
+    following = F.get("_ats", F.array_position("_ats", F.col(at)).cast("int"))
+    end = following if only_live else F.when(F.array_max("_ats") > F.col(at), F.array_max("_ats"))
+    fresh = loads.join(ends, F.col(key) == F.col("_key"), "left").withColumn("_end", F.when(F.col(at).isNotNull(), end))
     fresh = fresh.select(*[c for c in loads.columns if c not in ("deleted_at", "updated_at")], F.col("_end").alias("deleted_at"), F.col("_end").alias("updated_at"))
 
-    first = ends.where("_first = 1").select("_key", (F.col("_at") if only_live else F.col("_end")).alias("_end"))
-    stored = table.join(spread(first, "_key"), F.col(key) == F.col("_key"), "left")
+    stored = table.join(ends, F.col(key) == F.col("_key"), "left").withColumn("_end", F.array_min("_ats") if only_live else F.array_max("_ats"))
     hit = F.col("_end").isNotNull()
     if only_live:
         hit = hit & F.col("deleted_at").isNull()

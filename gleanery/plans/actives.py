@@ -26,12 +26,15 @@ from ..operators import (
     lookup,
     not_yet_stored,
     split_parent_child,
+    surrogate_key,
     total_items,
     unnest_map,
 )
 from ..sources import TableStore, gate, merge_hits, stage
 
 TABLE, BRIDGE = "rosrid_active", "rosrid_active_oecd"
+#: What a result's id is made of.
+ID_PARTS = ["object_id", "rosrid_university_id", "kind", "ordinal", "created_at"]
 
 
 def documents_of_hits(requests: DataFrame, hits: DataFrame) -> DataFrame:
@@ -101,12 +104,14 @@ def split_actives(
     """
     parents, children = split_parent_child(
         rows,
-        ["object_id", "rosrid_university_id", "kind", "ordinal", "created_at"],
+        ID_PARTS,
         {"oecd": ["code"]},
         "active_id",
     )
-    found, rejects = lookup(children["oecd"], codes, "code", "code", {"id": "oecd_id"}, strict)
-    return parents, found.where("oecd_id IS NOT NULL").select("active_id", "oecd_id"), rejects
+    # Ids are hex digits: as bytes they are half as long to move.
+    packed = children["oecd"].withColumn("active_id", F.unhex("active_id"))
+    found, rejects = lookup(packed, codes, "code", "code", {"id": "oecd_id"}, strict)
+    return parents, found.where("oecd_id IS NOT NULL").select(F.lower(F.hex("active_id")).alias("active_id"), "oecd_id"), rejects
 
 
 def load_actives(
@@ -144,10 +149,13 @@ def load_actives_history(store: TableStore, rows: DataFrame, codes: DataFrame, o
         if size == 0:
             return 0
         parents, bridge, _ = split_actives(batch, codes)
-        store.append(BRIDGE, not_yet_stored(store.read(BRIDGE), bridge, "active_id"))
+        held = store.read(BRIDGE)
+        store.append(BRIDGE, bridge if held.isEmpty() else not_yet_stored(held, bridge, "active_id"))
         stored = store.read_live(TABLE) if only_live else store.read(TABLE)
         loads = batch.select("created_at").distinct()
-        state = keyed_replace_all(stored.join(loads, "created_at", "left_anti"), parents, "object_id", only_live=only_live)
+        # Ids are 32 characters that nothing makes shorter: new rows get theirs once they have been moved.
+        state = keyed_replace_all(stored.join(loads, "created_at", "left_anti"), parents.drop("id"), "object_id", only_live=only_live)
+        state = state.withColumn("id", F.coalesce("id", surrogate_key(*ID_PARTS)))
         if only_live:
             # The archive stays as it is, so what an earlier try of these loads has put there is not added again.
             archived = store.read(TABLE).where("deleted_at IS NOT NULL").join(loads, "created_at", "left_semi")

@@ -18,6 +18,10 @@ from ..schemas import TABLES
 from ..session import remove_path, scratch_path
 
 LIVE = "live"
+#: Ids are hex digits, which only a codec with entropy coding makes half as long.
+CODEC = "zstd"
+#: Repeated rows of which copies of this many hashes (8 bytes each) go to every task, at most.
+REPEATS = 1 << 17
 
 
 class TableStore:
@@ -62,7 +66,7 @@ class TableStore:
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows; nothing stored is read or written again."""
-        self._typed(name, rows).write.mode("append").partitionBy("part").parquet(self._path(name))
+        self._typed(name, rows).write.mode("append").option("compression", CODEC).partitionBy("part").parquet(self._path(name))
 
     def replace_live(self, name: str, rows: DataFrame) -> None:
         """Put ``rows``, a next state of the live rows, in their place; ended ones join those of their days."""
@@ -70,7 +74,8 @@ class TableStore:
             days = [p for p in parts if p != LIVE]
             # Rows of another load of such a day, or of a try that broke off.
             earlier = self._stored(name).where(F.col("part").isin(days))
-            self._overwrite(name, state.where(F.col("part") != LIVE).unionByName(earlier).distinct(), days)
+            with self._once(state.where(F.col("part") != LIVE).unionByName(earlier)) as ended:
+                self._overwrite(name, ended, days)
             self._overwrite_live(name, state, parts)
 
     def replace(self, name: str, rows: DataFrame) -> None:
@@ -78,7 +83,8 @@ class TableStore:
         before = self._parts(self._stored(name))
         with self._state(name, rows) as (state, parts):
             days = [p for p in parts if p != LIVE]
-            self._overwrite(name, state.where(F.col("part") != LIVE).distinct(), days)
+            with self._once(state.where(F.col("part") != LIVE)) as ended:
+                self._overwrite(name, ended, days)
             self._overwrite_live(name, state, parts)
             for part in set(before) - {LIVE, *parts}:
                 remove_path(self.spark, f"{self._path(name)}/part={part}")
@@ -92,16 +98,33 @@ class TableStore:
     def _state(self, name: str, rows: DataFrame) -> Iterator[tuple[DataFrame, list[str]]]:
         path = scratch_path(self.spark, f"state-{name}")
         typed = self._typed(name, rows)
-        typed.write.partitionBy("part").parquet(path)
+        typed.write.option("compression", CODEC).partitionBy("part").parquet(path)
         state = self.spark.read.schema(typed.schema).parquet(path)
         yield state, self._parts(state)
         # Not after a failure: the copy may then be the only one of a part.
         remove_path(self.spark, path)
 
+    @contextmanager
+    def _once(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """Each of the rows once. Hashes are moved to find repeats, and of the rows only those whose hash comes again, while such hashes are few."""
+        path, columns = scratch_path(self.spark, "repeats"), rows.columns
+        hashed = rows.withColumn("_hash", F.xxhash64(*columns))
+        hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_hash").write.parquet(path)
+        again = self.spark.read.schema("_hash bigint").parquet(path)
+        repeats = again.count()
+        if repeats > REPEATS:
+            yield rows.distinct()
+        elif repeats:
+            found = lambda how: hashed.join(F.broadcast(again), "_hash", how).select(*columns)
+            yield found("left_anti").unionByName(found("left_semi").distinct())
+        else:
+            yield rows
+        remove_path(self.spark, path)
+
     def _overwrite(self, name: str, rows: DataFrame, parts: list[str]) -> None:
         """Replace ``parts``, those that ``rows`` lie in."""
         if parts:
-            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
             writer.partitionBy("part").parquet(self._path(name))
 
     def _overwrite_live(self, name: str, state: DataFrame, parts: list[str]) -> None:

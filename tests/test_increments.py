@@ -221,7 +221,7 @@ def test_text_segments_of_nothing(spark):
 @pytest.mark.parametrize("query, name", [(storage.staged_roundtrip, "documents"), (storage.document_files, "conversations")])
 def test_staged_rows_go_to_as_many_tasks_as_they_fill(spark, tmp_path, monkeypatch, query, name):
     """With three tasks whatever the size, one of them would read a third of the table."""
-    text = F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("text")
+    text = F.concat(*[F.sha2(F.concat("id", F.lit(f" {i}")), 512) for i in range(10)]).alias("text")
     rows = spark.range(0, 4000, 1, 8).select(F.col("id").alias("doc_id"), F.col("id").alias("conv_id"), F.lit(0).cast("bigint").alias("turn"), F.lit("user").alias("role"), F.lit("en").alias("lang"), text)
     rows.write.parquet(str(tmp_path / f"{name}.parquet"))
     paths = []

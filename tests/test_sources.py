@@ -255,3 +255,18 @@ def test_stage_reads_what_it_wrote(spark):
 
 def _check_stage(batch, size):
     assert size == 5 and batch.columns == ["id", "t"] and batch.count() == 5
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_ended_rows_are_put_in_place_once(spark, tmp_path, monkeypatch, few):
+    """Repeats are found by hashes: rows without them are not moved, whether there are some repeats or many."""
+    monkeypatch.setattr("gleanery.sources.store.REPEATS", few)
+    store = src.TableStore(spark, str(tmp_path / "store"))
+    at, values = dt.datetime(2023, 1, 1), [("a", "x", 0), ("a", "x", 0), ("a", "y", 0), (None, "x", 0), (None, "x", 0), ("b", None, 1), ("b", None, 1)]
+    rows = spark.createDataFrame([(i, t, at if not live else None) for i, t, live in values], "id string, title string, deleted_at timestamp_ntz")
+    store.replace("hh_vacancy", rows)
+    found = sorted(((r.id, r.title) for r in store.read("hh_vacancy").collect()), key=repr)
+    assert found == sorted([("a", "x"), ("a", "y"), (None, "x"), ("b", None), ("b", None)], key=repr)
+    with store._once(store.read("hh_vacancy").where("id = 'a'")) as once:
+        plan = once._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
