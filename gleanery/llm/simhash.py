@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.skew import spread
+from ..operators.skew import shuffled, spread
 from .common import unused, written
 from .components import components
 
@@ -93,23 +93,24 @@ def links(fingerprints: DataFrame, segments: int = SEGMENTS, paired_rows: int =
     cell of the grid with few fingerprints compares its pairs. In a crowded one every fingerprint
     names itself and its 64 neighbours at one bit as centres: those with a centre in common differ
     in two bits at most, and two that differ in two bits have one in common. So all around a centre
-    are linked with the least of them, and no pairs are formed.
+    are linked with the least of them, and no pairs are formed. Neither cells nor centres are broadcast: there are
+    33 and 65 of them for a fingerprint.
     """
     around, home = _cells(segments)
     cells = fingerprints.select("fp", home.alias("home")).select("fp", F.explode(around).alias("cell"))
     sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(cells.join(spread(sizes, "cell"), "cell"), "cells")
+    shared = written(shuffled(cells).join(spread(sizes, "cell"), "cell"), "cells")
     few = shared.where(F.col("n") <= paired_rows)
     left = few.select("cell", F.col("fp").alias("a"))
     right = few.select("cell", F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS
-    pairs = left.join(right, "cell").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    pairs = shuffled(left).join(right, "cell").where((F.col("a") < F.col("b")) & near).select("a", "b")
 
     flips = F.array(F.lit(0).cast("bigint"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("bigint") for i in range(64)])
     crowded = shared.where(F.col("n") > paired_rows).select("fp").distinct()
     centred = crowded.select("fp", F.explode(F.transform(flips, lambda x: F.col("fp").bitwiseXOR(x))).alias("centre"))
     least = centred.groupBy("centre").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    starred = centred.join(spread(least, "centre"), "centre").where("fp <> least")
+    starred = shuffled(centred).join(spread(least, "centre"), "centre").where("fp <> least")
     return pairs.unionByName(starred.select(F.col("least").alias("a"), F.col("fp").alias("b"))).distinct()
 
 
@@ -118,7 +119,7 @@ def _classified(docs: DataFrame) -> DataFrame:
     rows = written(with_fingerprint(docs).withColumnRenamed("fingerprint", "fp"), "fingerprints")
     groups = written(rows.groupBy("fp").agg(F.min("id").alias("first")), "groups")
     roots = components(links(groups.select("fp"))).withColumnRenamed("node", "fp")
-    member = groups.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    member = groups.join(shuffled(roots), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = member.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = member.join(spread(least, "root"), "root").select("fp", "root", "component_id")
     return rows.join(spread(classes, "fp"), "fp", "left")

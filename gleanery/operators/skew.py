@@ -20,6 +20,15 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     return df.withColumn("_spread", F.xxhash64(*key)).repartition("_spread").drop("_spread")
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df``, whose next join shuffles both sides, however small Spark takes one of them to be.
+
+    For sides whose size Spark cannot know: it counts exploded rows as if there was one for each array, and rows of
+    a compressed file by the file's bytes. Broadcast, such a side may not fit the driver. Hot partitions are still split.
+    """
+    return df.hint("merge")
+
+
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     """Each key once, combined map-side, ready for a join by the key."""
     return spread(df.select(key).distinct(), key)

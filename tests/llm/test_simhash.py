@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from gleanery.checks.base import table
-from gleanery.llm import simhash
+from gleanery.llm import common, simhash
 from gleanery.llm.components import components
 from gleanery.llm.queries import QUERIES
 
@@ -103,6 +103,26 @@ def test_plan_has_no_cross_join(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_no_exploded_side_is_broadcast(spark, monkeypatch):
+    """Spark takes the cells, centres and edges of a few hundred fingerprints for small, whatever they explode to."""
+    plans = []
+
+    def kept(df):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    recorded = lambda df, label: common.written(kept(df), label)
+    monkeypatch.setattr("gleanery.llm.simhash.written", recorded)
+    monkeypatch.setattr("gleanery.llm.components.written", recorded)
+    monkeypatch.setattr("gleanery.llm.components.SENT", 10)
+    values = [(7 << place) + (1 << bit) for place in (28, 32, 36, 40) for bit in range(20)] + [7 << 50, (7 << 50) + 3]
+    links = kept(simhash.links(spark.createDataFrame([(v,) for v in values], "fp bigint")))
+    found = kept(components(links))
+    assert found.select("root").distinct().count() == 5 and found.count() == len(values)
+    assert sum("SortMergeJoin" in plan for plan in plans) >= 4 and not any("BroadcastHashJoin" in plan for plan in plans)
+
+
 def test_of_rows_with_one_id_and_text_the_least_stays(spark):
     rows = [(1, "one two three four", source) for source in ("c", None, "b", "a", "b")] + [(None, None, "z"), (None, None, "y")]
     for parts in (1, 2, 5):
