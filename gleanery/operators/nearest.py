@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import Entries, fuzz_ratio, letter_counts, score_bounds
 from ..session import scratch_path
+from .skew import shuffled, spread
 
 #: Entries of similar letters that lie in one block; also the bound on the arrays a task holds.
 BLOCK = 256
@@ -142,9 +143,11 @@ def _compared(listed: DataFrame, blocks: DataFrame, held: int, known: bool) -> D
 
 
 def _stretches(df: DataFrame, text: str, key: str) -> DataFrame:
+    """The different stretches of each text, by their hashes; some dozen rows for each of ``df``, which Spark takes for one."""
+
     def of(size: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (size - 1), F.lit(1)))
-        return F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(size)))
+        return F.transform(starts, lambda i: F.xxhash64(F.substring(F.col(text), i, F.lit(size))))
 
     return df.select(key, F.explode(F.array_distinct(F.concat(*map(of, STRETCHES)))).alias("stretch"))
 
@@ -156,11 +159,11 @@ def _seeds(names: DataFrame, entries: DataFrame) -> DataFrame:
     """
     held = _stretches(entries, "title", "id")
     rare = held.groupBy("stretch").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= RARE)
-    leads = held.join(rare.select("stretch"), "stretch")
-    shared = _stretches(names, "name", "name").join(leads, "stretch").groupBy("name", "id").agg(F.count(F.lit(1)).alias("n"))
+    leads = shuffled(held).join(spread(rare.select("stretch"), "stretch"), "stretch")
+    shared = shuffled(_stretches(names, "name", "name")).join(leads, "stretch").groupBy("name", "id").agg(F.count(F.lit(1)).alias("n"))
     first = shared.groupBy("name").agg(F.max_by("id", F.struct("n", -F.col("id"))).alias("id"))
     titles = entries.groupBy("id").agg(F.min("title").alias("title"))
-    scored = first.join(titles, "id").withColumn("score", fuzz_ratio(F.col("name"), F.col("title")))
+    scored = first.join(shuffled(titles), "id").withColumn("score", fuzz_ratio(F.col("name"), F.col("title")))
     return scored.select(
         "name", F.lit(-1).cast("bigint").alias("block"), "score", (-F.col("id")).alias("neg_id"), F.col("id").alias("match_id"),
         F.col("title").alias("match_title"), F.lit(1).cast("bigint").alias("compared"),
@@ -196,12 +199,12 @@ def _searched(names: DataFrame, entries: DataFrame, block: int) -> DataFrame:
         grouped = _grouped(rows, "name_group", "name", parts, columns)
         met = grouped.withColumn("outline_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
         # Much work per row here too.
-        return met.join(outlined, "outline_group").repartition(tasks, "name_group", "outline_group")
+        return shuffled(met).join(outlined, "outline_group").repartition(tasks, "name_group", "outline_group")
 
     path = scratch_path(names.sparkSession, "seeds")
     _seeds(names, entries).write.parquet(path)
     seeds = names.sparkSession.read.schema(f"name string, block bigint, {_BEST}").parquet(path)
-    led = names.join(seeds.select("name"), "name", "left_anti")
+    led = names.join(shuffled(seeds.select("name")), "name", "left_anti")
     first = meetings(led, ["name"]).mapInPandas(_first_blocks, "name string, bound int, block bigint")
     if groups > 1:
         first = first.groupBy("name").agg(F.max_by("block", F.struct("bound", "block")).alias("block"))
@@ -240,7 +243,7 @@ def nearest_name(
 
     # A different text reaches 100 only by rounding, from 100 characters on, so an equal one wins.
     equal = entries.where("title <> ''").groupBy("title").agg(F.min("id").alias("equal_id"))
-    split = distinct.join(equal, F.col("name") == F.col("title"), "left")
+    split = distinct.join(shuffled(equal), F.col("name") == F.col("title"), "left")
     settled = F.col("equal_id").isNotNull()
     exact = split.where(settled).select("name", F.col("equal_id").alias("match_id"), F.col("title").alias("match_title"), F.lit(100).alias("score"))
     found = _searched(split.where(~settled).select("name"), entries, block)

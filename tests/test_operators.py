@@ -179,6 +179,18 @@ def test_nearest_name_against_brute_force(spark, monkeypatch, block, outlines):
     assert rows(best) == sorted(want, key=repr)
 
 
+def test_nearest_name_broadcasts_no_exploded_side(spark, monkeypatch):
+    """Spark takes the stretches of a text, and the groups of names that meet all outlines, for one row each."""
+    monkeypatch.setattr("gleanery.operators.nearest.OUTLINES", 2)
+    texts = [f"Customer#{i:09d} of {i % 25}" for i in range(400)]
+    entries = spark.createDataFrame(list(enumerate(texts)), "id bigint, title string")
+    names = spark.createDataFrame([(f"Supplier#{i * 7:09d} of {i % 25}",) for i in range(50)], "name string")
+    for found, key, least in [(nearest._seeds(names, entries), "stretch", 2), (op.nearest_name(names, "name", entries, block=16), "outline_group", 1)]:
+        assert found.count() <= 50 and found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count(f"SortMergeJoin [{key}#") >= least and f"BroadcastHashJoin [{key}#" not in plan
+
+
 def test_nearest_name_compares_few_pairs(spark):
     draw = random.Random(5)
     syllables = ["ka", "ro", "min", "tel", "us", "bra", "ov", "sk", "en", "lu", "ti", "gor"]
