@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from gleanery.checks.base import table
-from gleanery.llm import langid, quality, simhash
+from gleanery.llm import common, langid, quality, simhash
 
 from .test_secrets import masked
 
@@ -64,3 +64,19 @@ def test_odd_rows_pass_every_stage(spark, odd_docs, no_docs, name, stage):
         assert found.columns == odd_docs.columns
     assert 0 < found.count()
     assert stage(spark, no_docs, SF).count() == 0
+
+
+def test_near_duplicates_broadcast_no_exploded_side(spark, monkeypatch):
+    plans = []
+
+    def recorded(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.written(df, label)
+
+    monkeypatch.setattr("gleanery.llm.simhash.written", recorded)
+    monkeypatch.setattr("gleanery.llm.components.written", recorded)
+    docs = table(spark, SF, "documents").where("doc_id < 40")
+    assert 0 < corpus_pipeline.simhash_dedup(spark, docs, SF).count() <= docs.count()
+    for key in ("cell", "centre"):
+        assert any(f"SortMergeJoin [{key}#" in plan for plan in plans)
+        assert not any(f"BroadcastHashJoin [{key}#" in plan for plan in plans)
